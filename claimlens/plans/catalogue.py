@@ -309,7 +309,8 @@ def _flat_audit(log: DataFrame) -> DataFrame:
         "event_type", "entity_type", "entity_id", "model_version", r6("score").alias("score"),
         F.array_join("details.contributing_factors", ",").alias("contributing_factors"),
         F.col("details.threshold").alias("threshold"), F.col("details.manufacturer_name").alias("manufacturer_name"),
-        F.col("details.total_claims").alias("total_claims"),
+        # double, not nullable bigint: engines disagree on how a null integer reads back
+        F.col("details.total_claims").cast("double").alias("total_claims"),
         r6("details.repair_claim_rate").alias("repair_claim_rate"), ts_text("created_at").alias("created_at"),
     )
 

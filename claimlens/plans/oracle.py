@@ -126,12 +126,12 @@ def _audit() -> str:
     return """audit AS (
   SELECT 'fraud_flag' AS event_type, 'claim' AS entity_type, claim_id AS entity_id, model_version,
     round(fraud_score, 6) AS score, array_to_string(contributing_factors, ',') AS contributing_factors,
-    0.7 AS threshold, CAST(NULL AS VARCHAR) AS manufacturer_name, CAST(NULL AS BIGINT) AS total_claims,
+    0.7 AS threshold, CAST(NULL AS VARCHAR) AS manufacturer_name, CAST(NULL AS DOUBLE) AS total_claims,
     CAST(NULL AS DOUBLE) AS repair_claim_rate, '2025-01-01 00:00:00' AS created_at
   FROM results WHERE is_suspected_fraud
   UNION ALL
   SELECT 'quality_flag', 'manufacturer', manufacturer_id, 'distance-v1', round(quality_score, 6), NULL,
-    2.0, manufacturer_name, total_claims, round(repair_claim_rate, 6), '2025-01-01 00:00:00'
+    2.0, manufacturer_name, CAST(total_claims AS DOUBLE), round(repair_claim_rate, 6), '2025-01-01 00:00:00'
   FROM quality WHERE quality_score > 2.0)"""
 
 
