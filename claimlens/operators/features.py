@@ -6,7 +6,7 @@ rows as scalar subqueries, never through ``collect``.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -147,17 +147,31 @@ class FeatureSet:
     params: DataFrame  # scaler params (one row)
 
 
-def engineer_features(
-    enriched: DataFrame, contracts: DataFrame, settings: RunSettings = RunSettings()
-) -> FeatureSet:
-    """The whole feature chain: frequency, start date, days, one-hot, impute, scale.
+def feature_base(enriched: DataFrame, contracts: DataFrame) -> DataFrame:
+    """Unscaled features: frequency, start date, days, one-hot.
 
     Frequency is computed before the contract join so the count table reads only
     the enriched claims.
     """
     base = with_manufacturer_frequency(enriched.withColumn(RAW_AMOUNT, F.col("claim_amount")))
     base = with_days_feature(with_contract_start(base, contracts))
-    base = one_hot_encode(base)
+    return one_hot_encode(base)
+
+
+def engineer_features(
+    enriched: DataFrame,
+    contracts: DataFrame,
+    settings: RunSettings = RunSettings(),
+    materialize: Callable[[DataFrame, str], DataFrame] | None = None,
+) -> FeatureSet:
+    """The whole feature chain: frequency, start date, days, one-hot, impute, scale.
+
+    ``materialize`` (if given) stores the unscaled base once; the median and
+    mean/std passes then scan that table instead of re-running the joins.
+    """
+    base = feature_base(enriched, contracts)
+    if materialize is not None:
+        base = materialize(base, "feature_base")
     base = impute_median(base, CONTINUOUS_FEATURES, settings)
     scaled = standard_scale(base, CONTINUOUS_FEATURES)
     return FeatureSet(scaled.frame, scaled.params)

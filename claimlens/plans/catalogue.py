@@ -23,7 +23,9 @@ from ..operators import scoring as S
 from ..operators.ingest import apply_watermark, latest_version
 from ..sources import warranty_views as views
 from ..sources.score_lines import parse_score_lines
+from ..sources.tables import read_table
 from . import warranty as W
+from .stages import stage
 
 WATERMARK = "2000-01-01T00:00:00Z"
 AUDIT_FROM, AUDIT_TO = "2024-12-31", "2025-01-01"
@@ -47,8 +49,21 @@ def _inputs(spark: SparkSession, sf: str) -> W.Inputs:
     return W.view_inputs(spark, sf)
 
 
+def _features(spark: SparkSession, sf: str) -> FE.FeatureSet:
+    """Scaled features; the unscaled base and the scaled frame are stage tables."""
+    base = stage(spark, sf, "feature_base", lambda: FE.feature_base(_enriched(spark, sf), _inputs(spark, sf).contracts))
+    fs = FE.standard_scale(FE.impute_median(base))
+    frame = stage(spark, sf, "features", lambda: fs.frame)
+    return FE.FeatureSet(frame, fs.params)
+
+
 def _results(spark: SparkSession, sf: str) -> DataFrame:
-    return W.claim_results(_inputs(spark, sf))
+    """Per-claim results, stored once per run like the serving table."""
+    def build():
+        scored = W.score_features(_features(spark, sf))
+        return S.fraud_results(scored, RunSettings().model_version, W.CATALOGUE_RUN_TS)
+
+    return stage(spark, sf, "fraud_results", build)
 
 
 def _quality(spark: SparkSession, sf: str) -> DataFrame:
@@ -66,7 +81,7 @@ def contract_versions(spark: SparkSession, sf: str) -> DataFrame:
     """Contracts as ingested on two days: open orders were re-issued 60 days
     later as premium contracts, so they have two versions."""
     base = views.contracts(spark, sf)
-    orders = spark.read.parquet(f"{sf}/orders.parquet").filter(F.col("o_orderstatus") == "O")
+    orders = read_table(spark, sf, "orders").filter(F.col("o_orderstatus") == "O")
     reissued = base.join(
         orders.select(F.format_string("CONTRACT-%09d", F.col("o_orderkey")).alias("contract_id")), "contract_id", "left_semi"
     ).withColumns(
@@ -123,10 +138,7 @@ def q_retry_replay(spark, sf):
 # -- features -------------------------------------------------------------------
 
 def _feature_base(spark, sf):
-    inp = _inputs(spark, sf)
-    enriched = E.enrich_claims(inp.claims, inp.catalog)
-    base = FE.with_manufacturer_frequency(enriched)
-    return FE.one_hot_encode(FE.with_days_feature(FE.with_contract_start(base, inp.contracts)))
+    return stage(spark, sf, "feature_base", lambda: FE.feature_base(_enriched(spark, sf), _inputs(spark, sf).contracts))
 
 
 def q_manufacturer_frequency(spark, sf):
@@ -169,14 +181,14 @@ def q_inverse_scale(spark, sf):
 
 
 def q_feature_matrix(spark, sf):
-    fm = FE.feature_matrix(W.claim_features(_inputs(spark, sf)).frame)
+    fm = FE.feature_matrix(_features(spark, sf).frame)
     return fm.select("claim_id", *[r6(c).alias(c) for c in CONTINUOUS_FEATURES], *one_hot_columns())
 
 
 # -- scoring ---------------------------------------------------------------------
 
 def _scored(spark, sf):
-    return S.normalize_scores(S.distance_score(W.claim_features(_inputs(spark, sf)).frame))
+    return S.normalize_scores(S.distance_score(_features(spark, sf).frame))
 
 
 def q_minmax_scores(spark, sf):
@@ -189,7 +201,7 @@ def q_fraud_flags(spark, sf):
 
 
 def q_contributing_factors(spark, sf):
-    f = S.contributing_factors(W.claim_features(_inputs(spark, sf)).frame)
+    f = S.contributing_factors(_features(spark, sf).frame)
     return f.select("claim_id", F.array_join("contributing_factors", ",").alias("contributing_factors"))
 
 
@@ -212,7 +224,7 @@ def score_lines(spark: SparkSession, sf: str) -> DataFrame:
     The score text is quantity + discount/100 written out digit by digit, so
     both engines render identical text; the line shape follows the line number.
     """
-    line = spark.read.parquet(f"{sf}/lineitem.parquet")
+    line = read_table(spark, sf, "lineitem")
     claim_id = F.concat_ws(
         "-", F.lit("CLAIM"), *[F.col(c).cast("string") for c in ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")],
         F.date_format("l_shipdate", "yyyyMMdd"),

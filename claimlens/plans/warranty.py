@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..config import RunSettings
 from ..operators.enrich import dedupe_catalog, enrich_claims
-from ..operators.features import FeatureSet, engineer_features
+from ..operators.features import FeatureSet, engineer_features  # noqa: F401
 from ..operators.ingest import latest_version
 from ..operators.quality import quality_results
 from ..operators.scoring import contributing_factors, distance_score, flag_fraud, fraud_results, normalize_scores

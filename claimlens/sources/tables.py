@@ -11,8 +11,21 @@ TABLES = (
 
 
 def read_table(spark: SparkSession, base_dir: str, name: str) -> DataFrame:
-    """Scan ``<base_dir>/<name>.parquet``."""
-    return spark.read.parquet(f"{base_dir.rstrip('/')}/{name}.parquet")
+    """Scan ``<base_dir>/<name>.parquet``, spread over the cluster if under-split."""
+    return spread(spark.read.parquet(f"{base_dir.rstrip('/')}/{name}.parquet"))
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Give a scan at least one partition per core.
+
+    A file with one row group is read by one task, and every narrow step after
+    it (projections, broadcast joins) would run in that task. Large inputs have
+    far more splits than cores, so for them this is a no-op and adds no shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores)
 
 
 def read_partitioned(spark: SparkSession, path: str, dt: str | None = None) -> DataFrame:
