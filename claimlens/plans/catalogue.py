@@ -388,6 +388,23 @@ def q_quality_prompts(spark, sf):
     )
 
 
+def q_forest_scores(spark, sf):
+    """M1 + M2: random cut forest trained on a hash sample, scoring every claim."""
+    from ..config import feature_columns
+    from ..operators.forest import sample_for_trees, score_forest, train_forest
+
+    settings = RunSettings()
+    frame = FE.feature_matrix(_features(spark, sf).frame)
+    cols = feature_columns()
+    sample = sample_for_trees(frame, cols, settings.num_trees, settings.num_samples_per_tree, settings.seed)
+    nodes = stage(spark, sf, "forest_nodes", lambda: train_forest(sample, settings.seed))
+    # raw scores are stored once: normalising needs their global min and max
+    raw = stage(spark, sf, "forest_raw_scores", lambda: score_forest(frame, nodes, cols).select("claim_id", "raw_score"))
+    scored = S.normalize_scores(raw)
+    return S.flag_fraud(scored).select("claim_id", r6("raw_score").alias("raw_score"),
+                                       r6("fraud_score").alias("fraud_score"), "is_suspected_fraud")
+
+
 def q_export_rows(spark, sf):
     r = _results(spark, sf).select("claim_id", "fraud_score", "contributing_factors")
     out = QY.export_rows(r, limit=None)
@@ -436,4 +453,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "fraud_prompts": q_fraud_prompts,
     "quality_prompts": q_quality_prompts,
     "export_rows": q_export_rows,
+    "forest_scores": q_forest_scores,
 }
