@@ -25,7 +25,7 @@ from ..sources import warranty_views as views
 from ..sources.score_lines import parse_score_lines
 from ..sources.tables import read_table
 from . import warranty as W
-from .stages import stage
+from .stages import stage, stage_path
 
 WATERMARK = "2000-01-01T00:00:00Z"
 AUDIT_FROM, AUDIT_TO = "2024-12-31", "2025-01-01"
@@ -405,6 +405,22 @@ def q_forest_scores(spark, sf):
                                        r6("fraud_score").alias("fraud_score"), "is_suspected_fraud")
 
 
+def q_streaming_ingest(spark, sf):
+    """The claims table delivered as files, ingested by a stream (availableNow)."""
+    from ..streaming.incremental import ingest_available
+    from .stages import stage_root
+
+    source = stage(spark, sf, "claims_files", lambda: views.claims(spark, sf))
+    root = f"{stage_root(spark)}/stream-{abs(hash(sf)) % 10**8}"
+    import uuid
+
+    run = f"{root}/{uuid.uuid4().hex[:8]}"
+    ingest_available(spark, stage_path(spark, sf, "claims_files"), f"{run}/table", f"{run}/_checkpoint",
+                     schema=source.schema, fmt="parquet")
+    out = spark.read.parquet(f"{run}/table")
+    return out.select("claim_id", ts_text("updated_at").alias("updated_at"))
+
+
 def q_export_rows(spark, sf):
     r = _results(spark, sf).select("claim_id", "fraud_score", "contributing_factors")
     out = QY.export_rows(r, limit=None)
@@ -454,4 +470,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "quality_prompts": q_quality_prompts,
     "export_rows": q_export_rows,
     "forest_scores": q_forest_scores,
+    "streaming_ingest": q_streaming_ingest,
 }

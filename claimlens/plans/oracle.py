@@ -319,5 +319,7 @@ SELECT q.manufacturer_id, concat_ws({_NL},
 FROM quality q LEFT JOIN cat_text c ON q.manufacturer_id = c.manufacturer_id
 LEFT JOIN sku_text s ON q.manufacturer_id = s.manufacturer_id
 WHERE q.quality_score > 2.0"""
+    q["streaming_ingest"] = f"""WITH {sql_views()}
+SELECT claim_id, strftime(updated_at, '%Y-%m-%d %H:%M:%S') AS updated_at FROM claims"""
     q["export_rows"] = chain + "\nSELECT claim_id, round(fraud_score, 6) AS fraud_score, to_json(contributing_factors) AS contributing_factors FROM results"
     return q

@@ -41,6 +41,11 @@ def stage(spark: SparkSession, source: str, name: str, build: Callable[[], DataF
     return spark.read.parquet(path)
 
 
+def stage_path(spark: SparkSession, source: str, name: str) -> str:
+    """Where a built stage lives (raises if it was not built in this application)."""
+    return _PATHS[(spark.sparkContext.applicationId, source, name)]
+
+
 def forget(spark: SparkSession) -> None:
     """Drop this application's stage registrations (tables stay until the run folder is cleaned)."""
     app = spark.sparkContext.applicationId

@@ -1,0 +1 @@
+"""Writers for stage outputs, results, audit log, exports and manifests."""
