@@ -15,10 +15,12 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..config import RunSettings
+from ..config import RunSettings, feature_columns
 from ..operators.audit import audit_entries
 from ..operators.enrich import enrich_claims
-from ..operators.features import engineer_features, feature_matrix
+from ..operators.features import engineer_features, feature_matrix, feature_metadata, scaler_params_map
+from ..operators.scoring import flag_fraud, normalize_scores
+from ..sinks.writers import write_json_document, write_manifest, write_training_csv
 from ..operators.quality import quality_results, sku_breakdown
 from ..operators.scoring import fraud_results
 from ..session import ensure_checkpoint_dir
@@ -52,15 +54,27 @@ def run_batch(
     settings: RunSettings = RunSettings(),
     run_ts: _dt.datetime | None = None,
     folder: str | None = None,
+    scorer: str = "distance",
 ) -> BatchRun:
-    """enrich -> features -> score/explain -> results -> quality -> audit."""
+    """enrich -> features -> score/explain -> results -> quality -> audit.
+
+    ``scorer="forest"`` trains the random cut forest on a hash sample (writing
+    the node table, the headerless training CSV and a manifest) and scores every
+    claim with it instead of the distance scorer.
+    """
     run_ts = run_ts or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
     run = BatchRun(folder or run_folder(spark))
     enriched = run.store(spark, enrich_claims(inputs.claims, inputs.catalog), "enriched")
     fs = engineer_features(enriched, inputs.contracts, settings, lambda df, name: run.store(spark, df, name))
     features = run.store(spark, fs.frame, "features")
-    run.store(spark, feature_matrix(features), "feature_matrix")
-    scored = W.score_features(W.FeatureSet(features, fs.params), settings)
+    matrix = run.store(spark, feature_matrix(features), "feature_matrix")
+    params_path = f"{run.folder}/scaler_params"
+    write_json_document(scaler_params_map(fs.params), params_path)
+    write_json_document(feature_metadata(spark, params_path, run_ts.isoformat()), f"{run.folder}/feature_metadata")
+    if scorer == "forest":
+        scored = _forest_scored(spark, run, features, matrix, settings, run_ts)
+    else:
+        scored = W.score_features(W.FeatureSet(features, fs.params), settings)
     results = run.store(spark, fraud_results(scored, settings.model_version, run_ts), "fraud_results")
     quality = run.store(
         spark, quality_results(results, settings.model_version, run_ts, settings.quality_threshold), "quality_results"
@@ -72,3 +86,21 @@ def run_batch(
         "audit_log",
     )
     return run
+
+
+def _forest_scored(spark, run: BatchRun, features: DataFrame, matrix: DataFrame, settings: RunSettings, run_ts):
+    from ..operators.forest import sample_for_trees, score_forest, train_forest
+    from ..operators.scoring import contributing_factors
+
+    cols = feature_columns()
+    t0 = time.time()
+    sample = sample_for_trees(matrix, cols, settings.num_trees, settings.num_samples_per_tree, settings.seed)
+    records = write_training_csv(sample.select("claim_id", *[sample["x"][i].alias(c) for i, c in enumerate(cols)]),
+                                 f"{run.folder}/training_csv")
+    nodes = run.store(spark, train_forest(sample, settings.seed), "forest_nodes")
+    write_manifest(spark, f"{run.folder}/model/manifest", f"claimlens-forest-{run_ts:%Y%m%d%H%M%S}",
+                   run.tables["forest_nodes"], time.time() - t0, records, settings.num_trees,
+                   settings.num_samples_per_tree, len(cols), run_ts)
+    raw = run.store(spark, score_forest(features, nodes, cols), "forest_scored")
+    scored = flag_fraud(normalize_scores(raw), settings.fraud_threshold)
+    return contributing_factors(scored)
