@@ -68,3 +68,29 @@ def nan_to_null(df: DataFrame) -> DataFrame:
 def with_partition_date(df: DataFrame, dt: str) -> DataFrame:
     """Attach the ``dt`` partition value (any stale ``dt`` column is replaced, D5)."""
     return df.drop("dt").withColumn("dt", F.lit(dt))
+
+
+def extract(spark, path: str, entity: str, since: str | _dt.datetime | None = None):
+    """S2 + F1: read an entity's CSV with its schema, keep rows updated since
+    the watermark; returns (clean rows, corrupt rows, observation).
+
+    The observation counts corrupt lines while the clean rows are written (a
+    query over the corrupt column alone is not allowed on raw CSV).
+    """
+    from pyspark.sql import Observation
+
+    from ..sources.files import read_entity_csv
+
+    obs = Observation(f"extract_{entity}")
+    raw = read_entity_csv(spark, path, entity).observe(
+        obs, F.count_if(F.col(CORRUPT_COLUMN).isNotNull()).alias("corrupt")
+    )
+    good, bad = split_corrupt(raw)
+    return apply_watermark(nan_to_null(good), since), bad, obs
+
+
+def stage_status(rows_written: int, errors: int = 0, failed: bool = False) -> str:
+    """Success / partial_failure / failure of a stage from its counters."""
+    if failed:
+        return "failure"
+    return "partial_failure" if errors else "success"
