@@ -37,6 +37,8 @@ class ResultFilters:
     score_min: float | None = None
     score_max: float | None = None
     reason: str | None = None
+    # The reference's "flagged" lists return every row by score; opt in to filter on the flag
+    flagged_only: bool = False
 
 
 def reason_of(kind: str) -> Column:
@@ -73,6 +75,8 @@ def filter_results(df: DataFrame, filters: ResultFilters, kind: str = "fraud") -
         out = out.filter(score.isNull() | (score <= F.lit(float(filters.score_max))))
     if filters.reason:
         out = out.filter(reason_of(kind) == F.lit(filters.reason))
+    if filters.flagged_only:
+        out = out.filter(F.col("is_suspected_fraud" if kind == "fraud" else "is_quality_concern"))
     return out
 
 

@@ -29,6 +29,9 @@ def test_filters(fraud):
     # null score passes a score range
     assert ids(QY.filter_results(fraud, QY.ResultFilters(score_min=0.5))) == ["CLAIM-00001", "CLAIM-00003"]
     assert ids(QY.filter_results(fraud, QY.ResultFilters(reason="Suspected fraud"))) == ["CLAIM-00001"]
+    # No flag filter by default; opt-in filter keeps flagged rows only
+    assert len(ids(QY.filter_results(fraud, QY.ResultFilters()))) == 3
+    assert ids(QY.filter_results(fraud, QY.ResultFilters(flagged_only=True))) == ["CLAIM-00001"]
 
 
 def test_date_only_upper_bound_covers_day(fraud):
