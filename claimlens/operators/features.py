@@ -76,13 +76,20 @@ def one_hot_encode(df: DataFrame, categorical: Sequence[tuple[str, Sequence[str]
 
 
 def impute_median(
-    df: DataFrame, cols: Sequence[str] = CONTINUOUS_FEATURES, settings: RunSettings = RunSettings()
+    df: DataFrame,
+    cols: Sequence[str] = CONTINUOUS_FEATURES,
+    settings: RunSettings = RunSettings(),
+    medians: DataFrame | None = None,
 ) -> DataFrame:
-    """P5 + A3: null -> column median (lower median), or 0.0 for an all-null column."""
+    """P5 + A3: null -> column median (lower median), or 0.0 for an all-null column.
+
+    ``medians`` (one row, one column per feature) may be given precomputed.
+    """
     present = [c for c in cols if c in df.columns]
     if not present:
         return df
-    medians = median_table(df, present, settings.exact_median, settings.median_relative_error)
+    if medians is None:
+        medians = median_table(df, present, settings.exact_median, settings.median_relative_error)
     tagged = with_scalars(df, "_medians", medians)
     return tagged.withColumns(
         {c: F.coalesce(F.col(c).cast("double"), F.col("_medians")[c], F.lit(0.0)) for c in present}
@@ -106,10 +113,16 @@ def scaler_params(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return raw.select(*fixed)
 
 
-def standard_scale(df: DataFrame, cols: Sequence[str] = CONTINUOUS_FEATURES) -> Scaled:
-    """(x - mean) / std; columns missing from ``df`` are skipped."""
+def standard_scale(
+    df: DataFrame, cols: Sequence[str] = CONTINUOUS_FEATURES, params: DataFrame | None = None
+) -> Scaled:
+    """(x - mean) / std; columns missing from ``df`` are skipped.
+
+    ``params`` (one row from ``scaler_params``) may be given precomputed.
+    """
     present = [c for c in cols if c in df.columns]
-    params = scaler_params(df, present)
+    if params is None:
+        params = scaler_params(df, present)
     if not present:
         return Scaled(df, params)
     p = F.col("_scaler")
@@ -169,15 +182,21 @@ def engineer_features(
 ) -> FeatureSet:
     """The whole feature chain: frequency, start date, days, one-hot, impute, scale.
 
-    ``materialize`` (if given) stores the unscaled base once; the median and
-    mean/std passes then scan that table instead of re-running the joins.
+    ``materialize`` (if given) stores the unscaled base and the two one-row
+    statistics tables, so each global pass (medians, then means and deviations)
+    runs exactly once over a stored table instead of re-running the joins.
     """
     base = feature_base(enriched, contracts)
-    if materialize is not None:
-        base = materialize(base, "feature_base")
-    base = impute_median(base, CONTINUOUS_FEATURES, settings)
-    scaled = standard_scale(base, CONTINUOUS_FEATURES)
-    return FeatureSet(scaled.frame, scaled.params)
+    cols = list(CONTINUOUS_FEATURES)
+    if materialize is None:
+        scaled = standard_scale(impute_median(base, cols, settings), cols)
+        return FeatureSet(scaled.frame, scaled.params)
+    base = materialize(base, "feature_base")
+    medians = materialize(median_table(base, cols, settings.exact_median, settings.median_relative_error), "medians")
+    imputed = impute_median(base, cols, settings, medians)
+    params = materialize(scaler_params(imputed, cols), "scaler_params_table")
+    scaled = standard_scale(imputed, cols, params)
+    return FeatureSet(scaled.frame, params)
 
 
 def feature_matrix(features: DataFrame) -> DataFrame:

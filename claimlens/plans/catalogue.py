@@ -51,10 +51,13 @@ def _inputs(spark: SparkSession, sf: str) -> W.Inputs:
 
 def _features(spark: SparkSession, sf: str) -> FE.FeatureSet:
     """Scaled features; the unscaled base and the scaled frame are stage tables."""
-    base = stage(spark, sf, "feature_base", lambda: FE.feature_base(_enriched(spark, sf), _inputs(spark, sf).contracts))
-    fs = FE.standard_scale(FE.impute_median(base))
-    frame = stage(spark, sf, "features", lambda: fs.frame)
-    return FE.FeatureSet(frame, fs.params)
+    base = _feature_base(spark, sf)
+    cols = list(CONTINUOUS_FEATURES)
+    medians = stage(spark, sf, "medians", lambda: FE.median_table(base, cols))
+    imputed = FE.impute_median(base, cols, RunSettings(), medians)
+    params = stage(spark, sf, "scaler_params", lambda: FE.scaler_params(imputed, cols))
+    frame = stage(spark, sf, "features", lambda: FE.standard_scale(imputed, cols, params).frame)
+    return FE.FeatureSet(frame, params)
 
 
 def _results(spark: SparkSession, sf: str) -> DataFrame:
