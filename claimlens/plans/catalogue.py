@@ -299,7 +299,7 @@ def q_sku_breakdown(spark, sf):
 def _top(k):
     def run(spark, sf):
         t = Q.top_skus(Q.sku_breakdown(_enriched(spark, sf)), k)
-        return t.select("manufacturer_id", "sku", "repair_count", "sku_rank")
+        return t.select("manufacturer_id", "sku", "repair_count", F.col("sku_rank").cast("bigint").alias("sku_rank"))
     return run
 
 

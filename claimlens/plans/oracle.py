@@ -126,12 +126,12 @@ def _audit() -> str:
     return """audit AS (
   SELECT 'fraud_flag' AS event_type, 'claim' AS entity_type, claim_id AS entity_id, model_version,
     round(fraud_score, 6) AS score, array_to_string(contributing_factors, ',') AS contributing_factors,
-    0.7 AS threshold, CAST(NULL AS VARCHAR) AS manufacturer_name, CAST(NULL AS DOUBLE) AS total_claims,
+    CAST(0.7 AS DOUBLE) AS threshold, CAST(NULL AS VARCHAR) AS manufacturer_name, CAST(NULL AS DOUBLE) AS total_claims,
     CAST(NULL AS DOUBLE) AS repair_claim_rate, '2025-01-01 00:00:00' AS created_at
   FROM results WHERE is_suspected_fraud
   UNION ALL
   SELECT 'quality_flag', 'manufacturer', manufacturer_id, 'distance-v1', round(quality_score, 6), NULL,
-    2.0, manufacturer_name, CAST(total_claims AS DOUBLE), round(repair_claim_rate, 6), '2025-01-01 00:00:00'
+    CAST(2.0 AS DOUBLE), manufacturer_name, CAST(total_claims AS DOUBLE), round(repair_claim_rate, 6), '2025-01-01 00:00:00'
   FROM quality WHERE quality_score > 2.0)"""
 
 
@@ -321,5 +321,5 @@ LEFT JOIN sku_text s ON q.manufacturer_id = s.manufacturer_id
 WHERE q.quality_score > 2.0"""
     q["streaming_ingest"] = f"""WITH {sql_views()}
 SELECT claim_id, strftime(updated_at, '%Y-%m-%d %H:%M:%S') AS updated_at FROM claims"""
-    q["export_rows"] = chain + "\nSELECT claim_id, round(fraud_score, 6) AS fraud_score, to_json(contributing_factors) AS contributing_factors FROM results"
+    q["export_rows"] = chain + "\nSELECT claim_id, round(fraud_score, 6) AS fraud_score, CAST(to_json(contributing_factors) AS VARCHAR) AS contributing_factors FROM results"
     return q
