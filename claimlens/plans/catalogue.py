@@ -410,14 +410,13 @@ def q_forest_scores(spark, sf):
 
 def q_streaming_ingest(spark, sf):
     """The claims table delivered as files, ingested by a stream (availableNow)."""
+    import uuid
+
     from ..streaming.incremental import ingest_available
     from .stages import stage_root
 
     source = stage(spark, sf, "claims_files", lambda: views.claims(spark, sf))
-    root = f"{stage_root(spark)}/stream-{abs(hash(sf)) % 10**8}"
-    import uuid
-
-    run = f"{root}/{uuid.uuid4().hex[:8]}"
+    run = f"{stage_root(spark)}/stream-{uuid.uuid4().hex[:12]}"  # a fresh stream checkpoint per call
     ingest_available(spark, stage_path(spark, sf, "claims_files"), f"{run}/table", f"{run}/_checkpoint",
                      schema=source.schema, fmt="parquet")
     out = spark.read.parquet(f"{run}/table")

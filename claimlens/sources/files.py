@@ -36,6 +36,19 @@ def read_json_records(spark: SparkSession, path: str, schema: T.StructType, mult
         raise
 
 
+def feature_dim(spark: SparkSession, metadata_path: str) -> int:
+    """The model input dimension from the feature metadata document.
+
+    Unlike result files, missing metadata is an error: training cannot guess it.
+    """
+    from ..schemas import FEATURE_METADATA
+
+    rows = read_json_records(spark, metadata_path, FEATURE_METADATA).select("feature_dim").limit(1).collect()
+    if not rows or rows[0].feature_dim is None:
+        raise FileNotFoundError(f"no feature metadata at {metadata_path}")
+    return int(rows[0].feature_dim)
+
+
 def latest_manifest(manifests: DataFrame) -> DataFrame:
     """The newest model by its own ``created_at`` (one row; none = empty)."""
     return manifests.agg(

@@ -87,3 +87,13 @@ def test_audit_entries_one_per_flag(fraud, spark):
     assert A.new_entries_only(log, log).count() == 0
     assert A.filter_audit(log, entity_type="claim").count() == 1
     assert A.filter_audit(log, date_from="2025-01-06").count() == 0
+
+
+def test_audit_trail_join(fraud, spark):
+    log = spark.createDataFrame(
+        [("fraud_flag", "claim", "CLAIM-00001", "v1", 0.85, None, dt.datetime(2025, 1, 5))],
+        "event_type string, entity_type string, entity_id string, model_version string, score double, "
+        "details string, created_at timestamp",
+    )
+    out = {r.claim_id: r.event_type for r in A.with_audit_trail(fraud, log, "claim", "claim_id").collect()}
+    assert out == {"CLAIM-00001": "fraud_flag", "CLAIM-00002": None, "CLAIM-00003": None}

@@ -72,3 +72,16 @@ def test_manifest_and_latest_model(spark):
     assert latest_manifest(manifests).collect()[0].model_artifact_s3_path == "s3://x/m2"
     missing = read_json_records(spark, os.path.join(folder, "nope"), MODEL_MANIFEST)
     assert missing.count() == 0
+
+
+def test_feature_metadata_round_trip(spark):
+    import pytest
+
+    from claimlens.operators.features import feature_metadata
+    from claimlens.sources.files import feature_dim
+
+    folder = _tmp()
+    K.write_json_document(feature_metadata(spark, "params.json", "2025-01-01T00:00:00"), os.path.join(folder, "meta"))
+    assert feature_dim(spark, os.path.join(folder, "meta")) == 12
+    with pytest.raises(FileNotFoundError):
+        feature_dim(spark, os.path.join(folder, "missing"))
