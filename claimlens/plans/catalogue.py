@@ -101,14 +101,12 @@ def q_latest_contract_version(spark, sf):
 
 
 def q_enrich_claims(spark, sf):
-    inp = _inputs(spark, sf)
-    e = E.enrich_claims(inp.claims, inp.catalog)
+    e = _enriched(spark, sf)
     return e.select("claim_id", "sku", "manufacturer_id", "manufacturer_name", "product_category", "manufacturer_unknown")
 
 
 def q_unknown_manufacturer_counts(spark, sf):
-    inp = _inputs(spark, sf)
-    return E.unknown_manufacturer_counts(E.enrich_claims(inp.claims, inp.catalog))
+    return E.unknown_manufacturer_counts(_enriched(spark, sf))
 
 
 def q_distinct_skus(spark, sf):
@@ -145,8 +143,7 @@ def _feature_base(spark, sf):
 
 
 def q_manufacturer_frequency(spark, sf):
-    inp = _inputs(spark, sf)
-    freq = FE.manufacturer_frequency(E.enrich_claims(inp.claims, inp.catalog))
+    freq = FE.manufacturer_frequency(_enriched(spark, sf))
     return freq.select("manufacturer_id", F.col(FE.FREQUENCY).alias(FE.FREQUENCY))
 
 
@@ -256,8 +253,7 @@ def q_parse_score_lines(spark, sf):
 
 
 def q_score_alignment_errors(spark, sf):
-    inp = _inputs(spark, sf)
-    known = E.enrich_claims(inp.claims, inp.catalog).filter(~F.col("manufacturer_unknown"))
+    known = _enriched(spark, sf).filter(~F.col("manufacturer_unknown"))
     parsed = parse_score_lines(score_lines(spark, sf)).filter(F.col("parse_error").isNull())
     _, errors = S.align_scores(known, parsed)
     return errors
@@ -266,8 +262,7 @@ def q_score_alignment_errors(spark, sf):
 # -- manufacturer quality ------------------------------------------------------
 
 def q_manufacturer_quality(spark, sf):
-    inp = _inputs(spark, sf)
-    q = Q.manufacturer_quality(E.enrich_claims(inp.claims, inp.catalog))
+    q = Q.manufacturer_quality(_enriched(spark, sf))
     return q.select(
         "manufacturer_id", "manufacturer_name", "total_claims", "repair_count",
         r6("repair_claim_rate").alias("repair_claim_rate"), r6("quality_score").alias("quality_score"),
@@ -282,8 +277,12 @@ def q_manufacturer_anomaly(spark, sf):
 
 
 def _enriched(spark, sf):
-    inp = _inputs(spark, sf)
-    return E.enrich_claims(inp.claims, inp.catalog)
+    """Enriched claims: the enrichment stage's output table (K1 in a run)."""
+    def build():
+        inp = _inputs(spark, sf)
+        return E.enrich_claims(inp.claims, inp.catalog)
+
+    return stage(spark, sf, "enriched", build)
 
 
 def q_category_breakdown(spark, sf):

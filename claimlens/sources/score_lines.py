@@ -12,11 +12,11 @@ def read_score_lines(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path).withColumn("source", F.col("_metadata.file_path"))
 
 
-def _json_score(v: Column) -> Column:
-    keys = F.json_object_keys(v)
+def _json_score(obj: Column) -> Column:
+    """Score text from a parsed object: ``score``, else ``anomaly_score``, else "0"."""
     return (
-        F.when(F.array_contains(keys, "score"), F.get_json_object(v, "$.score"))
-        .when(F.array_contains(keys, "anomaly_score"), F.get_json_object(v, "$.anomaly_score"))
+        F.when(F.map_contains_key(obj, "score"), obj["score"])
+        .when(F.map_contains_key(obj, "anomaly_score"), obj["anomaly_score"])
         .otherwise(F.lit("0"))
     )
 
@@ -29,8 +29,10 @@ def parse_score_lines(lines: DataFrame, value_col: str = "value") -> DataFrame:
     """
     v = F.trim(F.col(value_col))
     is_object = v.startswith("{")
-    valid_json = F.try_parse_json(v).isNotNull()
-    json_text = F.when(is_object & valid_json, _json_score(v))
+    # one parse per line: values come back as their JSON text (null stays null)
+    obj = F.from_json(v, "map<string,string>")
+    valid_json = obj.isNotNull()
+    json_text = F.when(is_object & valid_json, _json_score(obj))
     score = F.when(is_object, json_text.try_cast("double")).otherwise(v.try_cast("double"))
     error = (
         F.when(is_object & ~valid_json, F.lit("invalid json"))
