@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -14,12 +16,16 @@ MAX_BROADCAST_ROWS = 1_000_000
 def broadcast_if_small(small: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
     """Broadcast ``small`` only when it provably holds at most ``max_rows`` rows.
 
-    The table is checkpointed (reliable storage under ``spark.checkpoint.dir``)
-    so the size probe and the join read the same stored rows and the lineage
-    stops there. Beyond the bound no hint is given: Spark keeps a sort-merge
-    join, whose skewed partitions AQE splits.
+    The table is written once as Parquet under the shared ``spark.checkpoint.dir``
+    (one job; the row count then comes from file footers), so the size probe
+    and the join read the same stored rows and the lineage stops there. Beyond
+    the bound no hint is given: Spark keeps a sort-merge join, whose skewed
+    partitions AQE splits.
     """
-    ensure_checkpoint_dir(small.sparkSession)
-    stored = small.checkpoint(eager=True)
-    rows = stored.limit(max_rows + 1).count()
+    spark = small.sparkSession
+    root = spark.conf.get("spark.checkpoint.dir", None) or ensure_checkpoint_dir(spark)
+    path = f"{root.rstrip('/')}/claimlens-lookup/{uuid.uuid4().hex}"
+    small.write.parquet(path)
+    stored = spark.read.parquet(path)
+    rows = stored.count()
     return F.broadcast(stored) if rows <= max_rows else stored

@@ -66,12 +66,16 @@ def run_batch(
     run_ts = run_ts or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
     run = BatchRun(folder or run_folder(spark))
     enriched = run.store(spark, enrich_claims(inputs.claims, inputs.catalog), "enriched")
+    t0 = time.time()
     fs = engineer_features(enriched, inputs.contracts, settings, lambda df, name: run.store(spark, df, name))
+    run.seconds["features_chain"] = round(time.time() - t0, 3)
     features = run.store(spark, fs.frame, "features")
     matrix = run.store(spark, feature_matrix(features), "feature_matrix")
+    t0 = time.time()
     params_path = f"{run.folder}/scaler_params"
     write_json_document(scaler_params_map(fs.params), params_path)
     write_json_document(feature_metadata(spark, params_path, run_ts.isoformat()), f"{run.folder}/feature_metadata")
+    run.seconds["metadata_json"] = round(time.time() - t0, 3)
     if scorer == "forest":
         scored = _forest_scored(spark, run, features, matrix, settings, run_ts)
     else:
