@@ -112,3 +112,12 @@ def test_feature_chain_keeps_rows_and_columns(enriched, spark):
     assert fm.columns == ["claim_id"] + feature_columns()
     assert len(feature_columns()) == 12
     assert fm.filter(" OR ".join(f"{c} IS NULL" for c in feature_columns())).count() == 0
+
+
+def test_approx_median_option(spark):
+    from claimlens.config import RunSettings
+
+    df = spark.createDataFrame([(f"c{i}", float(i)) for i in range(1, 102)] + [("cn", None)],
+                               "claim_id string, claim_amount double")
+    out = FE.impute_median(df, ["claim_amount"], RunSettings(exact_median=False)).filter("claim_id = 'cn'").collect()
+    assert abs(out[0].claim_amount - 51.0) <= 1.0

@@ -56,3 +56,13 @@ def test_align_scores_reports_both_sides(spark):
     matched, errors = S.align_scores(feats, scores)
     assert [r.claim_id for r in matched.collect()] == ["b"]
     assert {(r.claim_id, r.error) for r in errors.collect()} == {("a", "missing_score"), ("z", "missing_features")}
+
+
+def test_compat_double_scale_reproduces_reference(spark):
+    """With the scaler params, scaled values are standardised a second time."""
+    df = spark.createDataFrame([("x", 0.5, 2.0)], "claim_id string, a double, b double")
+    params = spark.createDataFrame([(100.0, 10.0, 0.0, 1.0)], "a__mean double, a__std double, b__mean double, b__std double")
+    pure = S.contributing_factors(df, None, cols=["a", "b"], k=2).collect()[0].contributing_factors
+    compat = S.contributing_factors(df, params, cols=["a", "b"], k=2).collect()[0].contributing_factors
+    assert pure == ["b", "a"]      # |0.5| < |2.0|
+    assert compat == ["a", "b"]    # |0.5 - 100| / 10 = 9.95 > |2 - 0| / 1
