@@ -390,6 +390,38 @@ def q_quality_prompts(spark, sf):
     )
 
 
+def q_contributing_factors_compat(spark, sf):
+    """O4 with the reference's double standardisation (D1, compat mode)."""
+    fs = _features(spark, sf)
+    f = S.contributing_factors(fs.frame, fs.params)
+    return f.select("claim_id", F.array_join("contributing_factors", ",").alias("contributing_factors"))
+
+
+def q_serving_extract(spark, sf):
+    """O3/K6: the serving file = top 10,000 claims by score (a top-k report)."""
+    top = QY.serving_extract(_results(spark, sf), "fraud")
+    return top.select("claim_id", r6("fraud_score").alias("fraud_score"), "is_suspected_fraud")
+
+
+def q_quality_results(spark, sf):
+    """The full quality record, nested maps flattened to their sizes and top entry."""
+    results = _results(spark, sf)
+    q = Q.quality_results(results, RunSettings().model_version, W.CATALOGUE_RUN_TS)
+    return q.select(
+        "manufacturer_id", "total_claims", "repair_count", "is_quality_concern",
+        F.size("product_category_breakdown").alias("categories"), F.size("sku_breakdown").alias("top_skus"),
+        F.array_join(F.sort_array(F.map_keys("product_category_breakdown")), ",").alias("category_keys"),
+        F.col("product_category_breakdown")["unknown"]["claim_count"].alias("unknown_category_claims"),
+    )
+
+
+def q_audit_trail(spark, sf):
+    """Every manufacturer with its audit entries (left join on type + id)."""
+    quality = _quality(spark, sf)
+    trail = A.with_audit_trail(quality, _audit(spark, sf), "manufacturer", "manufacturer_id")
+    return trail.select("manufacturer_id", "event_type", r6("audited_score").alias("audited_score"))
+
+
 def q_forest_scores(spark, sf):
     """M1 + M2: random cut forest trained on a hash sample, scoring every claim."""
     from ..config import feature_columns
@@ -470,6 +502,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "fraud_prompts": q_fraud_prompts,
     "quality_prompts": q_quality_prompts,
     "export_rows": q_export_rows,
+    "contributing_factors_compat": q_contributing_factors_compat,
+    "serving_extract": q_serving_extract,
+    "quality_results": q_quality_results,
+    "audit_trail": q_audit_trail,
     "forest_scores": q_forest_scores,
     "streaming_ingest": q_streaming_ingest,
 }

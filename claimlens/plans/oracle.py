@@ -319,6 +319,31 @@ SELECT q.manufacturer_id, concat_ws({_NL},
 FROM quality q LEFT JOIN cat_text c ON q.manufacturer_id = c.manufacturer_id
 LEFT JOIN sku_text s ON q.manufacturer_id = s.manufacturer_id
 WHERE q.quality_score > 2.0"""
+    compat = ", ".join(
+        (f"{{'neg': -(CASE WHEN p.{c}__std > 0 THEN abs(s.{c} - p.{c}__mean) / p.{c}__std ELSE 0.0 END), 'pos': {i}, 'name': '{c}'}}"
+         if c in _CT else f"{{'neg': -abs(CAST(s.{c} AS DOUBLE)), 'pos': {i}, 'name': '{c}'}}")
+        for i, c in enumerate(feature_columns())
+    )
+    q["contributing_factors_compat"] = chain + f"""
+SELECT s.claim_id, array_to_string(list_transform(list_slice(list_sort([{compat}]), 1, 3), lambda x: x.name), ',')
+  AS contributing_factors
+FROM scaled s, params p"""
+    q["serving_extract"] = chain + """
+SELECT claim_id, round(fraud_score, 6) AS fraud_score, is_suspected_fraud FROM results
+ORDER BY fraud_score DESC, claim_id LIMIT 10000"""
+    q["quality_results"] = chain + """,
+cats AS (SELECT manufacturer_id, count(*) AS categories, string_agg(category, ',' ORDER BY category) AS category_keys,
+           max(claim_count) FILTER (WHERE category = 'unknown') AS unknown_category_claims
+         FROM cat_bd GROUP BY manufacturer_id),
+tops AS (SELECT manufacturer_id, count(*) AS top_skus FROM sku_rank WHERE sku_rank <= 10 GROUP BY manufacturer_id)
+SELECT q.manufacturer_id, q.total_claims, q.repair_count, q.quality_score > 2.0 AS is_quality_concern,
+  CAST(c.categories AS INTEGER) AS categories, CAST(t.top_skus AS INTEGER) AS top_skus, c.category_keys,
+  c.unknown_category_claims
+FROM quality q LEFT JOIN cats c ON q.manufacturer_id = c.manufacturer_id
+LEFT JOIN tops t ON q.manufacturer_id = t.manufacturer_id"""
+    q["audit_trail"] = chain + ",\n" + _audit() + """
+SELECT q.manufacturer_id, a.event_type, a.score AS audited_score
+FROM quality q LEFT JOIN audit a ON a.entity_type = 'manufacturer' AND a.entity_id = q.manufacturer_id"""
     q["streaming_ingest"] = f"""WITH {sql_views()}
 SELECT claim_id, strftime(updated_at, '%Y-%m-%d %H:%M:%S') AS updated_at FROM claims"""
     q["export_rows"] = chain + "\nSELECT claim_id, round(fraud_score, 6) AS fraud_score, CAST(to_json(contributing_factors) AS VARCHAR) AS contributing_factors FROM results"
