@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import hashlib
 import threading
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,6 +21,7 @@ from ..session import ensure_checkpoint_dir
 
 _LOCK = threading.Lock()
 _PATHS: dict[tuple[str, str, str], str] = {}
+_KEY_LOCKS: dict[tuple[str, str, str], threading.Lock] = {}
 
 
 def stage_root(spark: SparkSession) -> str:
@@ -31,12 +33,13 @@ def stage(spark: SparkSession, source: str, name: str, build: Callable[[], DataF
     """Read stage ``name`` for input ``source``, building and writing it first if needed."""
     key = (spark.sparkContext.applicationId, source, name)
     with _LOCK:
+        key_lock = _KEY_LOCKS.setdefault(key, threading.Lock())
+    with key_lock:  # concurrent callers wait for one build instead of racing on the folder
         path = _PATHS.get(key)
-    if path is None:
-        digest = hashlib.sha1(source.encode()).hexdigest()[:10]
-        path = f"{stage_root(spark)}/{digest}/{name}"
-        build().write.mode("overwrite").parquet(path)
-        with _LOCK:
+        if path is None:
+            digest = hashlib.sha1(source.encode()).hexdigest()[:10]
+            path = f"{stage_root(spark)}/{digest}/{name}-{uuid.uuid4().hex[:8]}"
+            build().write.mode("errorifexists").parquet(path)
             _PATHS[key] = path
     return spark.read.parquet(path)
 

@@ -44,3 +44,21 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         configured = tempfile.mkdtemp(prefix="claimlens-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
+
+
+def tune_for_input(spark: SparkSession, input_bytes: int, target_bytes: int = 256 * 1024 * 1024) -> int:
+    """Shuffle width for an input of ``input_bytes``: about one partition per
+    ``target_bytes`` of input (never fewer than two per core), with AQE left to
+    coalesce small partitions and split skewed ones. Returns the width set.
+
+    Only applies when the cluster did not configure the width itself.
+    """
+    conf = spark.sparkContext.getConf()
+    if conf.contains("spark.sql.shuffle.partitions"):
+        return int(spark.conf.get("spark.sql.shuffle.partitions"))
+    cores = spark.sparkContext.defaultParallelism
+    width = max(2 * cores, -(-input_bytes // target_bytes))
+    spark.conf.set("spark.sql.shuffle.partitions", str(width))
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(128 * 1024 * 1024))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(128 * 1024 * 1024))
+    return width

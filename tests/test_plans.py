@@ -32,3 +32,30 @@ def test_topk_uses_group_limit(spark, sf_small):
 def test_no_cartesian_product_in_results(spark, sf_small):
     text = _plan(C._results(spark, sf_small)) + _plan(C.q_manufacturer_quality(spark, sf_small))
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
+
+
+def test_concurrent_stage_builds_once(spark):
+    import threading
+
+    from claimlens.plans.stages import stage
+
+    calls = []
+
+    def build():
+        calls.append(1)
+        return spark.range(10)
+
+    out = []
+    threads = [threading.Thread(target=lambda: out.append(stage(spark, "mem://x", "t", build).count())) for _ in range(3)]
+    for t in threads:
+        t.start()
+    for t in threads:
+        t.join()
+    assert out == [10, 10, 10] and len(calls) == 1
+
+
+def test_tune_for_input_respects_cluster_setting(spark):
+    from claimlens.session import tune_for_input
+
+    # the test session configured its width explicitly, so it is kept
+    assert tune_for_input(spark, 10**15) == int(spark.conf.get("spark.sql.shuffle.partitions"))
