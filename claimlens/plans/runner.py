@@ -56,13 +56,19 @@ def run_batch(
     run_ts: _dt.datetime | None = None,
     folder: str | None = None,
     scorer: str = "distance",
+    input_bytes: int | None = None,
 ) -> BatchRun:
     """enrich -> features -> score/explain -> results -> quality -> audit.
 
     ``scorer="forest"`` trains the random cut forest on a hash sample (writing
     the node table, the headerless training CSV and a manifest) and scores every
-    claim with it instead of the distance scorer.
+    claim with it instead of the distance scorer. ``input_bytes`` (the raw
+    input size) sizes the shuffle width when the cluster did not set one.
     """
+    if input_bytes:
+        from ..session import tune_for_input
+
+        tune_for_input(spark, input_bytes)
     run_ts = run_ts or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
     run = BatchRun(folder or run_folder(spark))
     enriched = run.store(spark, enrich_claims(inputs.claims, inputs.catalog), "enriched")

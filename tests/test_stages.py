@@ -33,3 +33,24 @@ def test_ingest_then_enrich(spark, sf_small):
     assert out["rows"] == claims.count() and out["unknown_manufacturer"] > 0
     enriched = spark.read.parquet(enr)
     assert enriched.select("claim_id").distinct().count() == claims.count()
+
+
+def test_batch_run_with_forest(spark, sf_small):
+    import json
+
+    from claimlens.config import RunSettings
+    from claimlens.plans import warranty as W
+    from claimlens.plans.runner import run_batch
+
+    folder = tempfile.mkdtemp(prefix="claimlens-run-")
+    run = run_batch(spark, W.view_inputs(spark, sf_small), RunSettings(num_trees=10, num_samples_per_tree=32),
+                    folder=os.path.join(folder, "run"), scorer="forest")
+    results = spark.read.parquet(run.tables["fraud_results"])
+    assert results.count() == views.claims(spark, sf_small).count()
+    assert results.agg(F.min("fraud_score"), F.max("fraud_score")).first() == (0.0, 1.0)
+    manifest = spark.read.json(os.path.join(run.folder, "model", "manifest")).first()
+    assert manifest.record_count == 320 and manifest.hyperparameters.num_trees == 10
+    meta = spark.read.json(os.path.join(run.folder, "feature_metadata")).first()
+    assert meta.feature_dim == 12
+    assert spark.read.parquet(run.tables["audit_log"]).filter("event_type = 'fraud_flag'").count() == results.filter(
+        "is_suspected_fraud").count()
