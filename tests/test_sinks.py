@@ -85,3 +85,29 @@ def test_feature_metadata_round_trip(spark):
     assert feature_dim(spark, os.path.join(folder, "meta")) == 12
     with pytest.raises(FileNotFoundError):
         feature_dim(spark, os.path.join(folder, "missing"))
+
+
+def test_results_json_reload_and_query(spark):
+    """Results written as JSON lines or one JSON array load with the schema and answer queries."""
+    from claimlens.operators import query as QY
+    from claimlens.schemas import FRAUD_RESULT
+    from claimlens.sources.files import read_json_records
+
+    folder = _tmp()
+    rows = [
+        ("CLAIM-00001", "CONTRACT-1", 0.85, True, ["claim_amount"], "v1", dt.datetime(2025, 1, 2), "SKU-1", "Acme Corp",
+         100.0, "repair", dt.date(2024, 6, 15), "electronics", "open", "x"),
+        ("CLAIM-00002", "CONTRACT-2", 0.45, False, ["claim_type_repair"], "v1", dt.datetime(2025, 1, 2), "SKU-2", "Beta Inc",
+         200.0, "refund", dt.date(2024, 7, 20), "appliances", "closed", "y"),
+    ]
+    df = spark.createDataFrame(rows, FRAUD_RESULT)
+    K.write_fraud_results(df, os.path.join(folder, "lines"))
+    back = read_json_records(spark, os.path.join(folder, "lines"), FRAUD_RESULT)
+    assert back.count() == 2
+    assert [r.claim_id for r in QY.page_items(back, 1, 1).collect()] == ["CLAIM-00001"]
+    array_file = os.path.join(folder, "array.json")
+    with open(array_file, "w") as fh:
+        json.dump([{"claim_id": "CLAIM-9", "fraud_score": 0.1, "contributing_factors": []}], fh)
+    arr = read_json_records(spark, array_file, FRAUD_RESULT, multi_line=True)
+    assert [(r.claim_id, r.fraud_score) for r in arr.collect()] == [("CLAIM-9", 0.1)]
+    assert read_json_records(spark, os.path.join(folder, "absent"), FRAUD_RESULT).count() == 0
