@@ -411,7 +411,8 @@ def q_quality_results(spark, sf):
         "manufacturer_id", "total_claims", "repair_count", "is_quality_concern",
         F.size("product_category_breakdown").alias("categories"), F.size("sku_breakdown").alias("top_skus"),
         F.array_join(F.sort_array(F.map_keys("product_category_breakdown")), ",").alias("category_keys"),
-        F.col("product_category_breakdown")["unknown"]["claim_count"].alias("unknown_category_claims"),
+        F.coalesce(F.col("product_category_breakdown")["unknown"]["claim_count"], F.lit(0).cast("bigint"))
+        .alias("unknown_category_claims"),
     )
 
 

@@ -338,7 +338,7 @@ cats AS (SELECT manufacturer_id, count(*) AS categories, string_agg(category, ',
 tops AS (SELECT manufacturer_id, count(*) AS top_skus FROM sku_rank WHERE sku_rank <= 10 GROUP BY manufacturer_id)
 SELECT q.manufacturer_id, q.total_claims, q.repair_count, q.quality_score > 2.0 AS is_quality_concern,
   CAST(c.categories AS INTEGER) AS categories, CAST(t.top_skus AS INTEGER) AS top_skus, c.category_keys,
-  c.unknown_category_claims
+  coalesce(c.unknown_category_claims, 0) AS unknown_category_claims
 FROM quality q LEFT JOIN cats c ON q.manufacturer_id = c.manufacturer_id
 LEFT JOIN tops t ON q.manufacturer_id = t.manufacturer_id"""
     q["audit_trail"] = chain + ",\n" + _audit() + """
