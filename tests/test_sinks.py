@@ -111,3 +111,12 @@ def test_results_json_reload_and_query(spark):
     arr = read_json_records(spark, array_file, FRAUD_RESULT, multi_line=True)
     assert [(r.claim_id, r.fraud_score) for r in arr.collect()] == [("CLAIM-9", 0.1)]
     assert read_json_records(spark, os.path.join(folder, "absent"), FRAUD_RESULT).count() == 0
+
+
+def test_quality_json_and_parquet_writers(spark):
+    folder = _tmp()
+    q = spark.createDataFrame([("M1", 2.5, True), ("M2", 0.1, False)],
+                              "manufacturer_id string, quality_score double, is_quality_concern boolean")
+    assert K.write_quality_results(q, os.path.join(folder, "quality")) == 2
+    assert spark.read.json(os.path.join(folder, "quality")).filter("is_quality_concern").count() == 1
+    assert K.write_parquet(q, os.path.join(folder, "pq")) == 2
