@@ -64,6 +64,51 @@ FACTOR_LABELS = {
 FRAUD_FLAG_PREFIX = "Suspected fraud — "
 QUALITY_FLAG_PREFIX = "Quality concern — "
 
+# Text formats of reason texts and review prompts; {name} is a value of the row.
+QUALITY_REASON_DETAIL = "{rate_pct}% repair rate"
+QUALITY_REASON_TOP_SKU = " — top: {sku} ({sku_rate_pct}% repairs)"
+FRAUD_PROMPT = (
+    "## Claim Information\n"
+    "- Claim ID: {claim_id}\n"
+    "- Claim Date: {claim_date}\n"
+    "- Claim Type: {claim_type}\n"
+    "- Claim Amount: ${claim_amount}\n"
+    "- Status: {status}\n"
+    "- Description: {description}\n"
+    "- Product Category: {product_category}\n"
+    "\n"
+    "## Contract & Product\n"
+    "- Contract ID: {contract_id}\n"
+    "- SKU: {sku}\n"
+    "- Manufacturer: {manufacturer_name}\n"
+    "\n"
+    "## Anomaly Detection Results\n"
+    "- Anomaly Score: {fraud_score} (0.0 = typical, 1.0 = highly unusual)\n"
+    "- Contributing Factors: {contributing_factors}"
+)
+QUALITY_PROMPT = (
+    "## Manufacturer Overview\n"
+    "- Manufacturer: {manufacturer_name}\n"
+    "- Manufacturer ID: {manufacturer_id}\n"
+    "\n"
+    "## Repair Claim Analysis\n"
+    "- Total warranty claims: {total_claims}\n"
+    "- Repair claims: {repair_count} ({rate_pct}% of all claims)\n"
+    "- Non-repair claims (replacement/refund): {non_repair_count}\n"
+    "- Quality Score (z-score): {quality_score}\n"
+    "\n"
+    "## Repair Claims by Product Category\n"
+    "{categories_text}\n"
+    "\n"
+    "## Top SKUs by Repair Count\n"
+    "{skus_text}"
+)
+QUALITY_PROMPT_CATEGORY_LINE = "  - {category}: {claim_count} total claims, {repair_count} repair claims ({rate_pct}% repair rate)"
+QUALITY_PROMPT_SKU_LINE = "  - {sku}: {claim_count} claims, {repair_count} repairs ({rate_pct}% repair rate)"
+NO_CATEGORY_TEXT = "  No breakdown available"
+NO_SKU_TEXT = "  No SKU data available"
+MISSING_TEXT = "N/A"
+
 SERVING_LIMIT = 10_000
 EXPORT_LIMIT = 100_000
 MAX_PAGE_SIZE = 500

@@ -2,9 +2,47 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Mapping
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+_FIELD = re.compile(r"\{(\w+)\}")
+
+
+def _pieces(template: str):
+    """(is_field, text) pieces of a ``{name}`` template, in order."""
+    pos = 0
+    for m in _FIELD.finditer(template):
+        if m.start() > pos:
+            yield False, template[pos:m.start()]
+        yield True, m.group(1)
+        pos = m.end()
+    if pos < len(template):
+        yield False, template[pos:]
+
+
+def render(template: str, values: Mapping[str, Column]) -> Column:
+    """A text column from a template; every field must be given (and non-null)."""
+    return F.concat(*[values[t] if is_field else F.lit(t) for is_field, t in _pieces(template)])
+
+
+def render_sql(template: str, values: Mapping[str, str]) -> str:
+    """The same template as a SQL string expression (newlines as chr(10))."""
+    parts = []
+    for is_field, t in _pieces(template):
+        if is_field:
+            parts.append(f"({values[t]})")
+            continue
+        lines = t.split("\n")
+        for i, line in enumerate(lines):
+            if i:
+                parts.append("chr(10)")
+            if line:
+                parts.append("'" + line.replace("'", "''") + "'")
+    return "(" + " || ".join(parts) + ")"
+
 
 def fixed(x: Column, digits: int) -> Column:
     """Non-negative ``x`` with exactly ``digits`` decimals (half up), via integers."""

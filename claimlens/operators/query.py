@@ -14,16 +14,25 @@ from ..config import (
     DEFAULT_PAGE_SIZE,
     EXPORT_LIMIT,
     FRAUD_FLAG_PREFIX,
+    FRAUD_PROMPT,
     FRAUD_REASON_CUTS,
     FRAUD_REASONS,
     MAX_PAGE_SIZE,
+    MISSING_TEXT,
+    NO_CATEGORY_TEXT,
+    NO_SKU_TEXT,
     QUALITY_FLAG_PREFIX,
+    QUALITY_PROMPT,
+    QUALITY_PROMPT_CATEGORY_LINE,
+    QUALITY_PROMPT_SKU_LINE,
     QUALITY_REASON_CUTS,
+    QUALITY_REASON_DETAIL,
+    QUALITY_REASON_TOP_SKU,
     QUALITY_REASONS,
     SERVING_LIMIT,
 )
 from ..functions.scalar import factor_labels, reason_category, utc_bound
-from ..functions.text import fixed
+from ..functions.text import fixed, render
 
 KEYS = {"fraud": ("claim_id", "fraud_score"), "quality": ("manufacturer_id", "quality_score")}
 
@@ -160,97 +169,67 @@ def quality_reason_text(quality: DataFrame, top_sku: DataFrame) -> DataFrame:
         "manufacturer_id", F.col("sku").alias("_top_sku"), F.col("repair_rate").alias("_top_rate")
     )
     joined = quality.join(top, "manufacturer_id", "left")
-    detail = F.concat(percent0(F.col("repair_claim_rate")), F.lit("% repair rate"))
-    detail = F.when(
-        F.col("_top_sku").isNotNull(),
-        F.concat(detail, F.lit(" — top: "), F.col("_top_sku"), F.lit(" ("), percent0(F.col("_top_rate")), F.lit("% repairs)")),
-    ).otherwise(detail)
+    detail = render(QUALITY_REASON_DETAIL, {"rate_pct": percent0(F.col("repair_claim_rate"))})
+    with_top = F.concat(
+        detail, render(QUALITY_REASON_TOP_SKU, {"sku": F.col("_top_sku"), "sku_rate_pct": percent0(F.col("_top_rate"))})
+    )
+    detail = F.when(F.col("_top_sku").isNotNull(), with_top).otherwise(detail)
     reason = reason_of("quality")
     text = F.when(reason == F.lit(QUALITY_REASONS[2]), F.concat(F.lit(QUALITY_FLAG_PREFIX), detail)).otherwise(reason)
     return joined.withColumn("reason", text).drop("_top_sku", "_top_rate")
 
 
 def _na(col: Column) -> Column:
-    return F.coalesce(col.cast("string"), F.lit("N/A"))
+    return F.coalesce(col.cast("string"), F.lit(MISSING_TEXT))
 
 
 def fraud_prompts(results: DataFrame) -> DataFrame:
     """Review text per flagged claim, built as a column (no model call)."""
     flagged = results.filter(F.col("is_suspected_fraud"))
-    lines = [
-        F.lit("## Claim Information"),
-        F.concat(F.lit("- Claim ID: "), _na(F.col("claim_id"))),
-        F.concat(F.lit("- Claim Date: "), _na(F.date_format("claim_date", "yyyy-MM-dd"))),
-        F.concat(F.lit("- Claim Type: "), _na(F.col("claim_type"))),
-        F.concat(F.lit("- Claim Amount: $"), _na(fixed(F.col("claim_amount"), 2))),
-        F.concat(F.lit("- Status: "), _na(F.col("status"))),
-        F.concat(F.lit("- Description: "), _na(F.col("description"))),
-        F.concat(F.lit("- Product Category: "), _na(F.col("product_category"))),
-        F.lit(""),
-        F.lit("## Contract & Product"),
-        F.concat(F.lit("- Contract ID: "), _na(F.col("contract_id"))),
-        F.concat(F.lit("- SKU: "), _na(F.col("sku"))),
-        F.concat(F.lit("- Manufacturer: "), _na(F.col("manufacturer_name"))),
-        F.lit(""),
-        F.lit("## Anomaly Detection Results"),
-        F.concat(
-            F.lit("- Anomaly Score: "),
-            _na(fixed(F.col("fraud_score"), 4)),
-            F.lit(" (0.0 = typical, 1.0 = highly unusual)"),
-        ),
-        F.concat(F.lit("- Contributing Factors: "), F.array_join(F.col("contributing_factors"), ", ")),
-    ]
-    return flagged.select("claim_id", F.concat_ws("\n", *lines).alias("prompt"))
+    values = {
+        c: _na(F.col(c))
+        for c in ("claim_id", "claim_type", "status", "description", "product_category", "contract_id", "sku",
+                  "manufacturer_name")
+    }
+    values["claim_date"] = _na(F.date_format("claim_date", "yyyy-MM-dd"))
+    values["claim_amount"] = _na(fixed(F.col("claim_amount"), 2))
+    values["fraud_score"] = _na(fixed(F.col("fraud_score"), 4))
+    values["contributing_factors"] = F.array_join(F.col("contributing_factors"), ", ")
+    return flagged.select("claim_id", render(FRAUD_PROMPT, values).alias("prompt"))
+
+
+def _lines_by(df: DataFrame, order: str, line: Column, name: str) -> DataFrame:
+    """Per manufacturer, the rendered lines joined by newlines in ``order``
+    (inputs are bounded: the category vocabulary or the top-k SKUs)."""
+    entries = F.array_sort(F.collect_list(F.struct(F.col(order), line.alias("line"))))
+    return df.groupBy("manufacturer_id").agg(F.array_join(F.transform(entries, lambda e: e["line"]), "\n").alias(name))
 
 
 def quality_prompts(quality: DataFrame, categories: DataFrame, top10: DataFrame) -> DataFrame:
     """Review text per manufacturer of concern with per-category lines and
     its top-10 SKUs by repairs (exact repair counts, D12)."""
-    cat_line = F.concat(
-        F.lit("  - "), F.col("category"), F.lit(": "), F.col("claim_count").cast("string"),
-        F.lit(" total claims, "), F.col("repair_count").cast("string"), F.lit(" repair claims ("),
-        fixed(F.col("repair_rate") * 100.0, 1), F.lit("% repair rate)"),
-    )
-    cat_text = categories.groupBy("manufacturer_id").agg(
-        F.array_join(
-            F.transform(F.array_sort(F.collect_list(F.struct("category", cat_line.alias("line")))), lambda e: e["line"]),
-            "\n",
-        ).alias("categories_text")
-    )
-    sku_line = F.concat(
-        F.lit("  - "), F.col("sku"), F.lit(": "), F.col("claim_count").cast("string"), F.lit(" claims, "),
-        F.col("repair_count").cast("string"), F.lit(" repairs ("),
-        fixed(F.col("repair_rate") * 100.0, 1), F.lit("% repair rate)"),
-    )
-    sku_text = top10.groupBy("manufacturer_id").agg(
-        F.array_join(
-            F.transform(F.array_sort(F.collect_list(F.struct("sku_rank", sku_line.alias("line")))), lambda e: e["line"]),
-            "\n",
-        ).alias("skus_text")
-    )
+    def line(template: str, key: str) -> Column:
+        return render(template, {
+            key: F.col(key),
+            "claim_count": F.col("claim_count").cast("string"),
+            "repair_count": F.col("repair_count").cast("string"),
+            "rate_pct": fixed(F.col("repair_rate") * 100.0, 1),
+        })
+
+    cat_text = _lines_by(categories, "category", line(QUALITY_PROMPT_CATEGORY_LINE, "category"), "categories_text")
+    sku_text = _lines_by(top10, "sku_rank", line(QUALITY_PROMPT_SKU_LINE, "sku"), "skus_text")
     flagged = quality.filter(F.col("is_quality_concern"))
-    rate = fixed(F.col("repair_claim_rate") * 100.0, 1)
-    body = F.concat_ws(
-        "\n",
-        F.lit("## Manufacturer Overview"),
-        F.concat(F.lit("- Manufacturer: "), _na(F.col("manufacturer_name"))),
-        F.concat(F.lit("- Manufacturer ID: "), _na(F.col("manufacturer_id"))),
-        F.lit(""),
-        F.lit("## Repair Claim Analysis"),
-        F.concat(F.lit("- Total warranty claims: "), F.col("total_claims").cast("string")),
-        F.concat(F.lit("- Repair claims: "), F.col("repair_count").cast("string"), F.lit(" ("), rate, F.lit("% of all claims)")),
-        F.concat(
-            F.lit("- Non-repair claims (replacement/refund): "),
-            (F.col("total_claims") - F.col("repair_count")).cast("string"),
-        ),
-        F.concat(F.lit("- Quality Score (z-score): "), fixed(F.col("quality_score"), 4)),
-        F.lit(""),
-        F.lit("## Repair Claims by Product Category"),
-        F.coalesce(F.col("categories_text"), F.lit("  No breakdown available")),
-        F.lit(""),
-        F.lit("## Top SKUs by Repair Count"),
-        F.coalesce(F.col("skus_text"), F.lit("  No SKU data available")),
-    )
+    body = render(QUALITY_PROMPT, {
+        "manufacturer_name": _na(F.col("manufacturer_name")),
+        "manufacturer_id": _na(F.col("manufacturer_id")),
+        "total_claims": F.col("total_claims").cast("string"),
+        "repair_count": F.col("repair_count").cast("string"),
+        "rate_pct": fixed(F.col("repair_claim_rate") * 100.0, 1),
+        "non_repair_count": (F.col("total_claims") - F.col("repair_count")).cast("string"),
+        "quality_score": fixed(F.col("quality_score"), 4),
+        "categories_text": F.coalesce(F.col("categories_text"), F.lit(NO_CATEGORY_TEXT)),
+        "skus_text": F.coalesce(F.col("skus_text"), F.lit(NO_SKU_TEXT)),
+    })
     return (
         flagged.join(cat_text, "manufacturer_id", "left")
         .join(sku_text, "manufacturer_id", "left")

@@ -6,7 +6,20 @@ SQL, independently of the Spark code, and selects the same column names.
 
 from __future__ import annotations
 
-from ..config import FACTOR_LABELS, feature_columns
+from ..config import (
+    FACTOR_LABELS,
+    FRAUD_PROMPT,
+    MISSING_TEXT,
+    NO_CATEGORY_TEXT,
+    NO_SKU_TEXT,
+    QUALITY_PROMPT,
+    QUALITY_PROMPT_CATEGORY_LINE,
+    QUALITY_PROMPT_SKU_LINE,
+    QUALITY_REASON_DETAIL,
+    QUALITY_REASON_TOP_SKU,
+    feature_columns,
+)
+from ..functions.text import render_sql
 from ..sources.warranty_views import sql_views
 from . import catalogue as C
 
@@ -262,89 +275,49 @@ SELECT claim_id, CASE WHEN fraud_score < 0.4 THEN 'Within normal range'
   WHEN fraud_score < 0.7 THEN 'Slightly elevated — minor deviations'
   ELSE 'Suspected fraud — ' || array_to_string({_labels_sql('contributing_factors')}, '; ') END AS reason
 FROM results"""
+    detail = render_sql(QUALITY_REASON_DETAIL, {"rate_pct": _fixed("q.repair_claim_rate * 100.0", 0)})
+    top = render_sql(QUALITY_REASON_TOP_SKU, {"sku": "t.sku", "sku_rate_pct": _fixed("t.repair_rate * 100.0", 0)})
     q["quality_reason_text"] = chain + f"""
 SELECT q.manufacturer_id, CASE WHEN q.quality_score < 1.0 THEN 'Within normal range'
   WHEN q.quality_score < 2.0 THEN 'Slightly elevated repair rate'
-  ELSE 'Quality concern — ' || {_fixed('q.repair_claim_rate * 100.0', 0)} || '% repair rate'
-       || CASE WHEN t.sku IS NOT NULL THEN ' — top: ' || t.sku || ' (' || {_fixed('t.repair_rate * 100.0', 0)} || '% repairs)' ELSE '' END
+  ELSE 'Quality concern — ' || {detail} || CASE WHEN t.sku IS NOT NULL THEN {top} ELSE '' END
   END AS reason
 FROM quality q LEFT JOIN (SELECT * FROM sku_rank WHERE sku_rank = 1) t ON q.manufacturer_id = t.manufacturer_id"""
+    na = lambda e: f"coalesce(CAST({e} AS VARCHAR), '{MISSING_TEXT}')"
+    fraud_values = {c: na(c) for c in ("claim_id", "claim_type", "status", "description", "product_category",
+                                        "contract_id", "sku", "manufacturer_name")}
+    fraud_values["claim_date"] = na("strftime(claim_date, '%Y-%m-%d')")
+    fraud_values["claim_amount"] = na(_fixed("claim_amount", 2))
+    fraud_values["fraud_score"] = na(_fixed("fraud_score", 4))
+    fraud_values["contributing_factors"] = "array_to_string(contributing_factors, ', ')"
     q["fraud_prompts"] = chain + f"""
-SELECT claim_id, concat_ws({_NL},
-  '## Claim Information',
-  '- Claim ID: ' || coalesce(claim_id, 'N/A'),
-  '- Claim Date: ' || coalesce(strftime(claim_date, '%Y-%m-%d'), 'N/A'),
-  '- Claim Type: ' || coalesce(claim_type, 'N/A'),
-  '- Claim Amount: $' || coalesce({_fixed('claim_amount', 2)}, 'N/A'),
-  '- Status: ' || coalesce(status, 'N/A'),
-  '- Description: ' || coalesce(description, 'N/A'),
-  '- Product Category: ' || coalesce(product_category, 'N/A'),
-  '',
-  '## Contract & Product',
-  '- Contract ID: ' || coalesce(contract_id, 'N/A'),
-  '- SKU: ' || coalesce(sku, 'N/A'),
-  '- Manufacturer: ' || coalesce(manufacturer_name, 'N/A'),
-  '',
-  '## Anomaly Detection Results',
-  '- Anomaly Score: ' || coalesce({_fixed('fraud_score', 4)}, 'N/A') || ' (0.0 = typical, 1.0 = highly unusual)',
-  '- Contributing Factors: ' || array_to_string(contributing_factors, ', ')) AS prompt
+SELECT claim_id, {render_sql(FRAUD_PROMPT, fraud_values)} AS prompt
 FROM results WHERE is_suspected_fraud"""
+    cat_line = render_sql(QUALITY_PROMPT_CATEGORY_LINE, {
+        "category": "category", "claim_count": "CAST(claim_count AS VARCHAR)",
+        "repair_count": "CAST(repair_count AS VARCHAR)", "rate_pct": _fixed("repair_count / claim_count * 100.0", 1)})
+    sku_line = render_sql(QUALITY_PROMPT_SKU_LINE, {
+        "sku": "sku", "claim_count": "CAST(claim_count AS VARCHAR)",
+        "repair_count": "CAST(repair_count AS VARCHAR)", "rate_pct": _fixed("repair_rate * 100.0", 1)})
+    body = render_sql(QUALITY_PROMPT, {
+        "manufacturer_name": na("q.manufacturer_name"), "manufacturer_id": na("q.manufacturer_id"),
+        "total_claims": "CAST(q.total_claims AS VARCHAR)", "repair_count": "CAST(q.repair_count AS VARCHAR)",
+        "rate_pct": _fixed("q.repair_claim_rate * 100.0", 1),
+        "non_repair_count": "CAST(q.total_claims - q.repair_count AS VARCHAR)",
+        "quality_score": _fixed("q.quality_score", 4),
+        "categories_text": f"coalesce(c.categories_text, '{NO_CATEGORY_TEXT}')",
+        "skus_text": f"coalesce(s.skus_text, '{NO_SKU_TEXT}')",
+    })
     q["quality_prompts"] = chain + f""",
 cat_text AS (
-  SELECT manufacturer_id, string_agg('  - ' || category || ': ' || CAST(claim_count AS VARCHAR) || ' total claims, '
-    || CAST(repair_count AS VARCHAR) || ' repair claims (' || {_fixed('repair_count / claim_count * 100.0', 1)} || '% repair rate)',
-    {_NL} ORDER BY category) AS categories_text
+  SELECT manufacturer_id, string_agg({cat_line}, {_NL} ORDER BY category) AS categories_text
   FROM cat_bd GROUP BY manufacturer_id),
 sku_text AS (
-  SELECT manufacturer_id, string_agg('  - ' || sku || ': ' || CAST(claim_count AS VARCHAR) || ' claims, '
-    || CAST(repair_count AS VARCHAR) || ' repairs (' || {_fixed('repair_rate * 100.0', 1)} || '% repair rate)',
-    {_NL} ORDER BY sku_rank) AS skus_text
+  SELECT manufacturer_id, string_agg({sku_line}, {_NL} ORDER BY sku_rank) AS skus_text
   FROM sku_rank WHERE sku_rank <= 10 GROUP BY manufacturer_id)
-SELECT q.manufacturer_id, concat_ws({_NL},
-  '## Manufacturer Overview',
-  '- Manufacturer: ' || coalesce(q.manufacturer_name, 'N/A'),
-  '- Manufacturer ID: ' || coalesce(q.manufacturer_id, 'N/A'),
-  '',
-  '## Repair Claim Analysis',
-  '- Total warranty claims: ' || CAST(q.total_claims AS VARCHAR),
-  '- Repair claims: ' || CAST(q.repair_count AS VARCHAR) || ' (' || {_fixed('q.repair_claim_rate * 100.0', 1)} || '% of all claims)',
-  '- Non-repair claims (replacement/refund): ' || CAST(q.total_claims - q.repair_count AS VARCHAR),
-  '- Quality Score (z-score): ' || {_fixed('q.quality_score', 4)},
-  '',
-  '## Repair Claims by Product Category',
-  coalesce(c.categories_text, '  No breakdown available'),
-  '',
-  '## Top SKUs by Repair Count',
-  coalesce(s.skus_text, '  No SKU data available')) AS prompt
+SELECT q.manufacturer_id, {body} AS prompt
 FROM quality q LEFT JOIN cat_text c ON q.manufacturer_id = c.manufacturer_id
 LEFT JOIN sku_text s ON q.manufacturer_id = s.manufacturer_id
 WHERE q.quality_score > 2.0"""
-    compat = ", ".join(
-        (f"{{'neg': -(CASE WHEN p.{c}__std > 0 THEN abs(s.{c} - p.{c}__mean) / p.{c}__std ELSE 0.0 END), 'pos': {i}, 'name': '{c}'}}"
-         if c in _CT else f"{{'neg': -abs(CAST(s.{c} AS DOUBLE)), 'pos': {i}, 'name': '{c}'}}")
-        for i, c in enumerate(feature_columns())
-    )
-    q["contributing_factors_compat"] = chain + f"""
-SELECT s.claim_id, array_to_string(list_transform(list_slice(list_sort([{compat}]), 1, 3), lambda x: x.name), ',')
-  AS contributing_factors
-FROM scaled s, params p"""
-    q["serving_extract"] = chain + """
-SELECT claim_id, round(fraud_score, 6) AS fraud_score, is_suspected_fraud FROM results
-ORDER BY fraud_score DESC, claim_id LIMIT 10000"""
-    q["quality_results"] = chain + """,
-cats AS (SELECT manufacturer_id, count(*) AS categories, string_agg(category, ',' ORDER BY category) AS category_keys,
-           max(claim_count) FILTER (WHERE category = 'unknown') AS unknown_category_claims
-         FROM cat_bd GROUP BY manufacturer_id),
-tops AS (SELECT manufacturer_id, count(*) AS top_skus FROM sku_rank WHERE sku_rank <= 10 GROUP BY manufacturer_id)
-SELECT q.manufacturer_id, q.total_claims, q.repair_count, q.quality_score > 2.0 AS is_quality_concern,
-  CAST(c.categories AS INTEGER) AS categories, CAST(t.top_skus AS INTEGER) AS top_skus, c.category_keys,
-  coalesce(c.unknown_category_claims, 0) AS unknown_category_claims
-FROM quality q LEFT JOIN cats c ON q.manufacturer_id = c.manufacturer_id
-LEFT JOIN tops t ON q.manufacturer_id = t.manufacturer_id"""
-    q["audit_trail"] = chain + ",\n" + _audit() + """
-SELECT q.manufacturer_id, a.event_type, a.score AS audited_score
-FROM quality q LEFT JOIN audit a ON a.entity_type = 'manufacturer' AND a.entity_id = q.manufacturer_id"""
-    q["streaming_ingest"] = f"""WITH {sql_views()}
-SELECT claim_id, strftime(updated_at, '%Y-%m-%d %H:%M:%S') AS updated_at FROM claims"""
     q["export_rows"] = chain + "\nSELECT claim_id, round(fraud_score, 6) AS fraud_score, CAST(to_json(contributing_factors) AS VARCHAR) AS contributing_factors FROM results"
     return q
