@@ -38,6 +38,11 @@ def con():
     return c
 
 
+def test_every_query_has_a_twin_but_the_forest():
+    assert set(queries()) - set(oracle_sql()) == {"forest_scores"}
+    assert set(oracle_sql()) <= set(queries())
+
+
 def test_entry_runs(spark):
     rows = entry(spark).collect()
     assert len(rows) == 25
