@@ -1,7 +1,6 @@
 """Feature operators on the reference's example rows."""
 
 import pytest
-from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from claimlens.operators import features as FE

@@ -2,7 +2,6 @@ import datetime as dt
 import os
 import tempfile
 
-from pyspark.sql import functions as F
 
 from claimlens.operators import enrich as E
 from claimlens.operators.ingest import apply_watermark, latest_version, nan_to_null, split_corrupt

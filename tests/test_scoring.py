@@ -1,5 +1,4 @@
 import pytest
-from pyspark.sql import functions as F
 
 from claimlens.config import FRAUD_REASONS
 from claimlens.operators import scoring as S

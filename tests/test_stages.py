@@ -36,8 +36,6 @@ def test_ingest_then_enrich(spark, sf_small):
 
 
 def test_batch_run_with_forest(spark, sf_small):
-    import json
-
     from claimlens.config import RunSettings
     from claimlens.plans import warranty as W
     from claimlens.plans.runner import run_batch
