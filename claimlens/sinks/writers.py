@@ -93,9 +93,14 @@ def append_audit(spark: SparkSession, entries: DataFrame, path: str) -> int:
 
 
 def export_csv(df: DataFrame, path: str, limit: int | None = None) -> int:
-    """K9: CSV with header; nested columns as JSON text."""
+    """K9: CSV with header; nested columns as JSON text. Quotes inside values
+    are doubled (RFC 4180), so the JSON text survives any CSV reader."""
     out, obs = _observed(export_rows(df, limit=limit), "export")
-    out.write.mode("overwrite").option("header", True).csv(path)
+    (
+        out.write.mode("overwrite").option("header", True).option("escape", '"')
+        .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+        .csv(path)
+    )
     return obs.get["rows"]
 
 

@@ -53,7 +53,7 @@ def test_export_csv_and_results_json(spark):
     df = spark.createDataFrame([("C1", 0.9, True, ["a", "b"])],
                                "claim_id string, fraud_score double, is_suspected_fraud boolean, contributing_factors array<string>")
     assert K.export_csv(df, os.path.join(folder, "csv")) == 1
-    back = spark.read.option("header", True).csv(os.path.join(folder, "csv")).collect()[0]
+    back = spark.read.option("header", True).option("escape", '"').csv(os.path.join(folder, "csv")).collect()[0]
     assert json.loads(back.contributing_factors) == ["a", "b"]
     assert K.write_fraud_results(df, os.path.join(folder, "json"), os.path.join(folder, "serving"), 10) == 1
     assert spark.read.json(os.path.join(folder, "serving")).count() == 1
