@@ -64,12 +64,12 @@ def test_manifest_and_latest_model(spark):
     from claimlens.schemas import MODEL_MANIFEST
 
     folder = _tmp()
-    K.write_manifest(spark, os.path.join(folder, "m1"), "job1", "s3://x/m1", 1.0, 10, 100, 256, 12,
+    K.write_manifest(spark, os.path.join(folder, "m1"), "job1", "models/m1/model", 1.0, 10, 100, 256, 12,
                      dt.datetime(2025, 1, 1, tzinfo=dt.timezone.utc))
-    K.write_manifest(spark, os.path.join(folder, "m2"), "job2", "s3://x/m2", 1.0, 10, 100, 256, 12,
+    K.write_manifest(spark, os.path.join(folder, "m2"), "job2", "models/m2/model", 1.0, 10, 100, 256, 12,
                      dt.datetime(2025, 2, 1, tzinfo=dt.timezone.utc))
     manifests = read_json_records(spark, os.path.join(folder, "*"), MODEL_MANIFEST)
-    assert latest_manifest(manifests).collect()[0].model_artifact_s3_path == "s3://x/m2"
+    assert latest_manifest(manifests).collect()[0].model_artifact_s3_path == "models/m2/model"
     missing = read_json_records(spark, os.path.join(folder, "nope"), MODEL_MANIFEST)
     assert missing.count() == 0
 
