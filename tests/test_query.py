@@ -97,3 +97,23 @@ def test_audit_trail_join(fraud, spark):
     )
     out = {r.claim_id: r.event_type for r in A.with_audit_trail(fraud, log, "claim", "claim_id").collect()}
     assert out == {"CLAIM-00001": "fraud_flag", "CLAIM-00002": None, "CLAIM-00003": None}
+
+
+def test_results_api_surface(fraud, spark):
+    from claimlens.plans import results_api as API
+
+    items, summary = API.get_fraud_results(fraud, page=1, page_size=2)
+    assert [r.claim_id for r in items.collect()] == ["CLAIM-00001", "CLAIM-00002"]
+    assert summary.first().total_pages == 2
+    assert API.get_fraud_detail(fraud, "CLAIM-00003").count() == 1
+    assert API.get_fraud_detail(fraud, "missing").count() == 0
+    assert API.get_fraud_score_bounds(fraud).first()["max"] == 0.85
+    quality = spark.createDataFrame(
+        [("M1", "Acme", 2.5, {"electronics": ("electronics", 3, 0.5)}), ("M2", "Beta", 0.5, {})],
+        "manufacturer_id string, manufacturer_name string, quality_score double, "
+        "product_category_breakdown map<string, struct<category string, claim_count bigint, repair_rate double>>",
+    )
+    q_items, _ = API.get_quality_results(quality, QY.ResultFilters(category="electronics"))
+    assert [r.manufacturer_id for r in q_items.collect()] == ["M1"]
+    assert API.get_quality_detail(quality, "M2").first().manufacturer_name == "Beta"
+    assert dict(API.export_quality(quality).dtypes)["product_category_breakdown"] == "string"
