@@ -30,22 +30,31 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the cluster's shared ``spark.checkpoint.dir``; only set one if unset.
+    """The shared folder for stage tables and checkpoints.
 
-    On a cluster the setting names a shared folder; tests run without one, so a
-    fresh scratch folder is created for them.
+    ``spark.checkpoint.dir`` names it on a cluster. Only a session whose master
+    is local (one machine: tests, benchmarks) may fall back to a new scratch
+    folder; on any other master a machine-local folder would be seen by one
+    executor alone, so the missing setting is an error.
     """
     sc = spark.sparkContext
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    if configured:
+        return configured
     current = sc.getCheckpointDir()
     if current:
         return current
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if not configured:
-        configured = tempfile.mkdtemp(prefix="claimlens-ckpt-")
-    sc.setCheckpointDir(configured)
+    if not is_local_master(sc.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    sc.setCheckpointDir(tempfile.mkdtemp(prefix="claimlens-ckpt-"))
     return sc.getCheckpointDir()
 
 
+def is_local_master(master: str) -> bool:
+    """True for ``local`` and ``local[...]`` (driver and tasks in one process), not for ``local-cluster[...]``."""
+    return master == "local" or master.startswith("local[")
+
+
 def tune_for_input(spark: SparkSession, input_bytes: int, target_bytes: int = 256 * 1024 * 1024) -> int:
     """Shuffle width for an input of ``input_bytes``: about one partition per
     ``target_bytes`` of input (never fewer than two per core), with AQE left to
