@@ -24,8 +24,22 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(docs, tokenizer("byte_bpe_50k.json"), limit=1024)
 
 
+def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .simhash import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "documents"), words_per_shingle=4, max_bits=4)
+
+
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .packing import pack_documents
+
+    return pack_documents(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"), capacity=2048, end_id=0)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op4_simhash": op4_simhash,
     "op5_token_counts": op5_token_counts,
+    "op7_packing": op7_packing,
 }
 
 ORACLE_SQL: dict[str, str] = {}
