@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,12 +25,24 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(docs, tokenizer("byte_bpe_50k.json"), limit=1024)
 
 
+def op1_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .topk import top_inner_products
+
+    return top_inner_products(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10, scale=1024)
+
+
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .simhash import near_duplicates
 
     return near_duplicates(table(spark, sf_dir, "documents"), words_per_shingle=4, max_bits=4)
 
 
+def op6_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .nn_descent import embedding_groups
+
+    return embedding_groups(table(spark, sf_dir, "embeddings"), threshold=0.98)
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .packing import pack_documents
 
@@ -37,9 +50,28 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_topk": op1_topk,
     "op4_simhash": op4_simhash,
     "op5_token_counts": op5_token_counts,
+    "op6_nn_descent": op6_nn_descent,
     "op7_packing": op7_packing,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op1_topk": """
+        WITH rows AS (
+            SELECT vec_id, list_transform(embedding, x -> floor(1024 * x::DOUBLE)) AS q
+            FROM embeddings
+            WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+              AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+        ), scored AS (
+            SELECT a.vec_id AS query_id, b.vec_id AS vec_id, CAST(list_dot_product(a.q, b.q) AS BIGINT) AS score
+            FROM rows a JOIN rows b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id
+        ), ranked AS (
+            SELECT query_id, vec_id, score,
+                   row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank
+            FROM scored
+        )
+        SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 10
+    """,
+}
