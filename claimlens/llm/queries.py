@@ -87,6 +87,24 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "lang", "source", "n_tokens", "copies")
 
 
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .langid import identify_language
+
+    return identify_language(table(spark, sf_dir, "documents"), modulus=4, held_out=2)
+
+
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .quality_mil import score_quality
+
+    return score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), modulus=3, held_out=1)
+
+
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_topk": op1_topk,
     "op2_secret_scan": op2_secret_scan,
@@ -96,6 +114,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_nn_descent": op6_nn_descent,
     "op7_packing": op7_packing,
     "op8_mixing": op8_mixing,
+    "op9_language_id": op9_language_id,
+    "op10_quality": op10_quality,
+    "pipeline": pipeline,
 }
 
 _MIX_WEIGHT = {

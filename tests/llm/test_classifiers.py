@@ -1,0 +1,167 @@
+import random
+import zlib
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from claimlens.llm import hashing as H
+from claimlens.llm import langid as L
+from claimlens.llm import quality_mil as Q
+
+DOCS = "doc_id long, text string, lang string, source string, score string, held_out string"
+
+
+@pytest.fixture(scope="module")
+def documents(spark):
+    return spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+
+
+def remainder(doc_id, m):
+    return zlib.crc32(str(doc_id).encode()) % m
+
+
+def test_language_on_held_out_documents(spark, documents):
+    got = {r.doc_id: r for r in L.identify_language(documents).collect()}
+    truth = documents.collect()
+    assert len(got) == len(truth)
+    assert all(got[r.doc_id].held_out == (remainder(r.doc_id, 4) == 2) for r in truth)
+    held = [r for r in truth if got[r.doc_id].held_out]
+    assert np.mean([got[r.doc_id].lang_pred == r.lang for r in held]) >= 0.97
+    assert np.mean([got[r.doc_id].rejected for r in truth]) <= 0.01
+    assert all(0 <= r.score <= 1 for r in got.values())
+
+
+def test_language_ignores_labels_sources_and_ids_of_what_it_scores(spark, documents):
+    model = L.fit_language_model(documents, F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 != 2)
+    texts = [r.text for r in documents.limit(200).collect()]
+    one = L.score_texts(model, texts)
+    back = L.score_texts(model, texts[::-1])
+    assert one[0] == back[0][::-1] and np.allclose(one[1], back[1][::-1])  # whatever shares the batch
+    again = L.fit_language_model(documents.repartition(7), F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 != 2)
+    assert np.array_equal(model.logits, again.logits) and model.threshold == again.threshold
+
+
+def test_language_of_odd_rows(spark, documents):
+    odd = [(1, None, "en", "s", "x", "y"), (2, "", "en", "s", "x", "y"), (3, "12 34 ...", None, "s", "x", "y"), (None, "the and of", None, None, None, None),
+           (4, "é" * 300_000, None, "s", "x", "y"), (4, "é" * 300_000, None, "s", "x", "y"), (5, "x", "zz", "s", "x", "y")]
+    df = documents.select("doc_id", "text", "lang", "source", F.lit("x").alias("score"), F.lit("y").alias("held_out")).where("doc_id > 5")
+    got = L.identify_language(df.unionByName(spark.createDataFrame(odd, DOCS))).where("doc_id < 6 or doc_id is null").collect()
+    by_id = {r.doc_id: r for r in got}
+    assert len(got) == 7 and by_id[None].held_out is False
+    for i in (1, 2, 3):
+        assert (by_id[i].lang_pred, by_id[i].score, by_id[i].rejected) == ("und", 0.0, True)
+    assert by_id[4].lang_pred in ("en", "de", "fr", "es", "zz")
+    none = L.identify_language(spark.createDataFrame(odd[:4], DOCS).where("doc_id < 4"))
+    assert {r.lang_pred for r in none.collect()} == {"und"}  # nothing to learn from
+    assert L.identify_language(spark.createDataFrame([], DOCS)).collect() == []
+
+
+def test_kept_rows_keep_their_columns(spark, documents):
+    odd = documents.limit(1).withColumn("text", F.lit("0 1 2"))
+    kept = L.keep_identified(documents.unionByName(odd))
+    assert kept.columns == documents.columns
+    assert documents.count() - 5 <= kept.count() <= documents.count()
+
+
+def test_subwords_are_those_of_single_words():
+    """Buckets by a plain walk over words, for the sum that scoring uses."""
+    texts = ["Ab c-é", "", "x", "12", " lead  and trail "]
+    logits = np.random.default_rng(0).normal(size=((1 << L.BITS) + 1, 2)).astype(np.float32)
+    logits[-1] = 0
+    model = L.LanguageModel(("p", "q"), logits, np.zeros(2, np.float32), 1.0, 0.0)
+    labels, scores = L.score_texts(model, texts)
+    for text, label, score in zip(texts, labels, scores, strict=True):
+        words = "".join(c if c.isalpha() else " " for c in text.lower()).split()
+        rows = []
+        for w in words:
+            points = np.array([ord(c) for c in f" {w} "], np.uint32)
+            for n in L.GRAMS:
+                rows += H.gram_buckets(points, n, L.BITS).tolist()
+        if not rows:
+            assert (label, score) == ("und", 0.0)
+            continue
+        z = logits[rows].mean(axis=0)
+        p = np.exp(z) / np.exp(z).sum()
+        assert label == model.labels[int(p.argmax())] and abs(score - p.max()) < 1e-5
+
+
+def test_quality_on_held_out_documents(spark, documents):
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    got = {r.doc_id: r for r in Q.score_quality(documents, labels).collect()}
+    assert len(got) == documents.count()
+    held = [r for r in labels.collect() if got[r.doc_id].held_out]
+    assert all(got[r.doc_id].held_out == (remainder(r.doc_id, 3) == 1) for r in labels.collect())
+    assert np.mean([got[r.doc_id].predicted == r.quality for r in held]) >= 0.93
+    assert all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.5) for r in got.values())
+
+
+def model_of(rng, dims=4, gates=3):
+    e = rng.normal(0, 1, (Q.ROWS, dims)).astype(np.float32)
+    e[1 << Q.BITS] = 0
+    n = lambda *s: rng.normal(0, 1, s).astype(np.float32)
+    return Q.QualityModel(e, n(dims), n(dims, gates), n(dims, gates), n(gates), n(dims), 0.3)
+
+
+def test_scores_do_not_depend_on_the_batch(monkeypatch):
+    rng = random.Random(6)
+    texts = ["", "a", "ab " * 500, "x" * 1201] + ["".join(rng.choice("abc |\n") for _ in range(rng.randint(0, 3000))) for _ in range(40)]
+    model = model_of(np.random.default_rng(1))
+    whole = Q.score_texts(model, texts)
+    assert np.allclose(whole, [Q.score_texts(model, [t])[0] for t in texts], atol=1e-5)
+    monkeypatch.setattr(H, "SLICE_CHARS", 100)
+    assert np.allclose(whole, Q.score_texts(model, texts), atol=1e-5)
+
+
+def test_score_by_a_plain_walk():
+    text = "Der der der. " * 70 + "and now | some | other | words " * 9
+    model = model_of(np.random.default_rng(2))
+    n = -(-len(text) // Q.PASSAGE_CHARS)
+    cuts = [k * len(text) // n for k in range(n + 1)]
+    hidden = []
+    for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+        rows = [H.gram_buckets(np.array([ord(c) for c in text[i:i + g]], np.uint32), g, Q.BITS)[0] for g in Q.GRAMS for i in range(a, b) if i + g <= len(text)]
+        long = [H.gram_buckets(np.array([ord(c) for c in text[i:i + 6]], np.uint32), 6, Q.TABLE_BITS)[0] for i in range(a, b) if i + 6 <= len(text)]
+        row = (1 << Q.BITS) + 1 + round(len(set(long)) / len(long) * Q.BINS)
+        hidden.append(np.tanh(model.embedding[rows].mean(axis=0) + model.embedding[row] + model.shift))
+    h = np.array(hidden)
+    e = (np.tanh(h @ model.tanh_gate) / (1 + np.exp(-(h @ model.sigmoid_gate)))) @ model.attention
+    a = np.exp(e) / np.exp(e).sum()
+    want = 1 / (1 + np.exp(-((a @ h) @ model.weights + model.bias)))
+    assert abs(Q.score_texts(model, [text])[0] - want) < 1e-4
+
+
+def test_gradients_learn_which_passage_tells():
+    """One odd passage among plain ones decides the label; the attention must find it."""
+    rng = np.random.default_rng(3)
+    bags, y = [], []
+    for i in range(300):
+        plain = [(np.sort(rng.choice(200, 20, replace=False)), np.full(20, 0.05, np.float32)) for _ in range(6)]
+        if i % 2:
+            plain[int(rng.integers(6))] = (np.sort(rng.choice(np.arange(300, 330), 20, replace=False)), np.full(20, 0.05, np.float32))
+        bags.append(plain)
+        y.append(i % 2)
+    model = Q.descend(bags, np.array(y, np.float32), 16, 8, 20, 0.2, rng)
+    hits = 0
+    for bag, label in zip(bags, y, strict=True):
+        h = np.array([np.tanh(s @ model.embedding[b] + model.shift) for b, s in bag])
+        share = Q._attend(model, h, np.array([0, len(h)]))[2]
+        hits += ((share @ h) @ model.weights + model.bias > 0) == bool(label)
+    assert hits >= 290
+
+
+def test_quality_of_odd_rows(spark):
+    rows = [(i, "good words in a row " * (i + 1), "en", "s", "x", "y") for i in range(30)] + [(100 + i, "%%% | " * (i + 5), "en", "s", "x", "y") for i in range(30)]
+    rows += [(None, None, None, None, None, None), (500, None, "en", "s", "x", "y"), (500, None, "en", "s", "x", "y"), (501, "", "en", "s", "x", "y"), (502, "z" * 400_000, "en", "s", "x", "y")]
+    docs = spark.createDataFrame(rows, DOCS)
+    labels = spark.createDataFrame(
+        [(i, 1, "a") for i in range(30)] + [(100 + i, 0, "a") for i in range(30)] + [(3, 1, "b"), (4, 0, "b"), (None, 1, "c"), (501, None, "c"), (9999, 1, "c"), (500, 7, "c")],
+        "doc_id long, quality int, text string",
+    )
+    got = Q.score_quality(docs, labels).collect()
+    assert len(got) == 65 and sum(r.doc_id == 500 for r in got) == 2
+    by_id = {r.doc_id: r for r in got}
+    assert by_id[500].score == by_id[501].score == by_id[None].score and by_id[None].held_out is False
+    assert all(by_id[i].predicted == 1 and by_id[100 + i].predicted == 0 for i in range(5, 30))
+    assert {r.score for r in Q.score_quality(docs, labels.where("quality = 1")).collect()} == {0.5}
+    assert Q.score_quality(spark.createDataFrame([], DOCS), labels).collect() == []
