@@ -30,11 +30,11 @@ def fill(children, given):
     return budgets | {n: left * w // total for n, (w, _) in open_.items()}
 
 
-def brute(rows, percent, epochs, seed=17):
+def brute(rows, percent, epochs, seed=17, domain=lambda s: s[0] if s else "(none)"):
     docs = []
     for i, text, lang, source, *_ in rows:
         words = len(re.findall(r"[^ \t-\r]+", text or ""))
-        leaf = (source[0] if source else "(none)", lang or "(none)", source or "(none)")
+        leaf = (domain(source), lang or "(none)", source or "(none)")
         ident = f"{'(none)' if i is None else i}|{hashlib.md5((text or '').encode()).hexdigest()}"
         docs.append((leaf, words, ident))
     supply = defaultdict(int)
