@@ -21,20 +21,23 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices_by_bytes, stored, utf8
+from .common import slices_by_bytes, stored
 
-CACHE_ENTRIES = 400_000
-BATCH_BYTES = 1 << 20
+CACHE_WORDS = 800_000
+BATCH_BYTES = 1 << 23
 # A word of Latin letters and the marks after it: two pre-tokens, whatever stands around them.
-_WORD = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,!?;:]*)")
+_LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
+_CHUNK = f"^(?P<word>[{_LETTERS}]+)(?P<marks>[.,!?;:]*)$"
+_WORD = re.compile(f"[{_LETTERS}]+")
 
 
 class BlankFreeIds:
     """Token ids for a ``tokenizers`` file whose pre-tokens never hold white space.
 
     Such a tokenizer gives a text the ids of its blank-separated chunks one after the
-    other, so ids are looked up per chunk; chunks not met before go to the library in one
-    batch. The cache is emptied when full.
+    other. So the distinct chunks of a batch are looked up, not its words: a chunk is a word
+    and its marks, or else itself, and what was not met before goes to the library.
+    The ids of the batch are then gathered by number. The cache is emptied when full.
     """
 
     def __init__(self, path: str):
@@ -44,34 +47,73 @@ class BlankFreeIds:
         self.tok = Tokenizer.from_file(path)
         self.tok.no_truncation()
         self.tok.no_padding()
-        self.chunks: dict[bytes, bytes] = {}
-        self.words: dict[str, bytes] = {}
-
-    def encode(self, texts: list[str]) -> list[bytes]:
+        self.suffix = getattr(self.tok.model, "end_of_word_suffix", None)
+        vocabulary = self.tok.get_vocab(with_added_tokens=True)
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        for token, i in vocabulary.items():
+            self.ends[i] = bool(self.suffix) and token.endswith(self.suffix)
+        self._empty()
+
+    def _empty(self) -> None:
+        self.numbers: dict[str, int] = {"": 0}
+        self.ids = np.empty(0, "<u4")
+        self.offsets = np.zeros(2, np.int64)
+
+    def encode(self, texts: list[str] | pa.Array) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers."""
-        split = [utf8(t).split() for t in texts]
-        if len(self.chunks) > CACHE_ENTRIES:
-            self.chunks.clear()
-        if len(self.words) > CACHE_ENTRIES:
-            self.words.clear()
-        chunks = self.chunks
-        missing = {c for row in split for c in row if c not in chunks}
-        if missing:
-            self._learn(missing)
-        return [b"".join([chunks[c] for c in row]) for row in split]
-
-    def _learn(self, missing: set[bytes]) -> None:
-        parts = {}
-        for chunk in missing:
-            text = chunk.decode("utf-8", "surrogatepass")
-            word = _WORD.fullmatch(text)
-            parts[chunk] = (word[1].lower(), word[2]) if word else (text,)
-        words = self.words
-        new = list({w for both in parts.values() for w in both if w not in words})
-        for w, found in zip(new, self.tok.encode_batch_fast(new, add_special_tokens=False), strict=True):
-            words[w] = np.array(found.ids, "<u4").tobytes()
-        for chunk, both in parts.items():
-            self.chunks[chunk] = b"".join([words[w] for w in both])
+        chunks = pc.ascii_split_whitespace(pa.array(texts, pa.string()) if isinstance(texts, list) else texts)
+        coded = chunks.flatten().dictionary_encode()
+        if len(self.numbers) > CACHE_WORDS:
+            self._empty()
+        parts = pc.extract_regex(coded.dictionary, _CHUNK)
+        simple = parts.is_valid()
+        words = pc.if_else(simple, pc.utf8_lower(pc.struct_field(parts, "word")), coded.dictionary).dictionary_encode()
+        marks = pc.if_else(simple, pc.struct_field(parts, "marks"), "").dictionary_encode()
+        both = np.stack([self._lookup(words), self._lookup(marks)], axis=1).ravel()
+        pool, lengths = _gathered(self.ids, self.offsets, both)
+        offsets = np.concatenate([[0], np.cumsum(lengths)])[::2]  # of the chunks
+        ids, lengths = _gathered(pool, offsets, np.asarray(coded.indices))
+        ends = np.concatenate([[0], np.cumsum(lengths)])[np.asarray(chunks.offsets)] * 4
+        data = ids.tobytes()
+        return [data[a:b] for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)]
+
+    def _lookup(self, coded: pa.DictionaryArray) -> np.ndarray:
+        names, known = coded.dictionary.to_pylist(), self.numbers
+        self._learn([w for w in names if w not in known])
+        return np.array([known[w] for w in names], np.int64)[np.asarray(coded.indices)]
+
+    def _learn(self, new: list[str]) -> None:
+        if not new:
+            return
+        words = [w for w in new if self.suffix and _WORD.fullmatch(w)]
+        plain = set(words)
+        others = [w for w in new if w not in plain]
+        found, sizes = [], []
+        for at in range(0, len(words), 1000):  # words of letters in one text: each ends where a token has the suffix
+            part = words[at:at + 1000]
+            ids = np.array(self.tok.encode(" ".join(part), add_special_tokens=False).ids, "<u4")
+            ends = np.flatnonzero(self.ends[ids])
+            if len(ends) != len(part):
+                others += part
+                plain.difference_update(part)
+                continue
+            found.append(ids)
+            sizes.append(np.diff(ends, prepend=-1))
+        words = [w for w in words if w in plain]
+        for single in self.tok.encode_batch_fast(others, add_special_tokens=False):
+            found.append(np.array(single.ids, "<u4"))
+            sizes.append(np.array([len(single.ids)]))
+        for w in [*words, *others]:
+            self.numbers[w] = len(self.numbers)
+        self.ids = np.concatenate([self.ids, *found])
+        self.offsets = np.concatenate([self.offsets, self.offsets[-1] + np.cumsum(np.concatenate(sizes))])
+
+
+def _gathered(ids: np.ndarray, offsets: np.ndarray, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The runs ``ids[offsets[n]:offsets[n + 1]]`` of the numbers, end to end, and their lengths."""
+    lengths = offsets[numbers + 1] - offsets[numbers]
+    first = np.cumsum(lengths) - lengths
+    return ids[np.repeat(offsets[numbers] - first, lengths) + np.arange(int(lengths.sum()))], lengths
 
 
 @lru_cache(maxsize=2)
@@ -99,7 +141,7 @@ def cut_pieces(
             texts = pc.fill_null(batch.column(1), "")
             for a, b in slices_by_bytes(texts, BATCH_BYTES):
                 row, piece, length, crc, held = [], [], [], [], []
-                for i, ids in enumerate(encoder.encode(texts.slice(a, b - a).to_pylist()), a):
+                for i, ids in enumerate(encoder.encode(texts.slice(a, b - a)), a):
                     ids += end
                     for k, at in enumerate(range(0, len(ids), width)):
                         own = ids[at:at + width]
