@@ -64,54 +64,46 @@ FACTOR_LABELS = {
 FRAUD_FLAG_PREFIX = "Suspected fraud — "
 QUALITY_FLAG_PREFIX = "Quality concern — "
 
-# Text formats of reason texts and review prompts; {name} is a value of the row.
+# Text formats; {name} is a value of the row. The reason texts are fixed values; the
+# review texts (data, then instruction) are this library's own wording.
 QUALITY_REASON_DETAIL = "{rate_pct}% repair rate"
 QUALITY_REASON_TOP_SKU = " — top: {sku} ({sku_rate_pct}% repairs)"
 FRAUD_PROMPT = (
-    "## Claim Information\n"
-    "- Claim ID: {claim_id}\n"
-    "- Claim Date: {claim_date}\n"
-    "- Claim Type: {claim_type}\n"
-    "- Claim Amount: ${claim_amount}\n"
-    "- Status: {status}\n"
-    "- Description: {description}\n"
-    "- Product Category: {product_category}\n"
-    "\n"
-    "## Contract & Product\n"
-    "- Contract ID: {contract_id}\n"
-    "- SKU: {sku}\n"
-    "- Manufacturer: {manufacturer_name}\n"
-    "\n"
-    "## Anomaly Detection Results\n"
-    "- Anomaly Score: {fraud_score} (0.0 = typical, 1.0 = highly unusual)\n"
-    "- Contributing Factors: {contributing_factors}"
+    "A warranty claim was marked as unusual. Facts on record:\n"
+    "claim {claim_id}, filed {claim_date}, type {claim_type}, state {status}\n"
+    "amount {claim_amount}, category {product_category}\n"
+    "text of the claim: {description}\n"
+    "contract {contract_id}, item {sku}, made by {manufacturer_name}\n"
+    "unusualness on a scale of 0 to 1: {fraud_score}\n"
+    "features that drove it, strongest first: {contributing_factors}"
+)
+FRAUD_INSTRUCTION = (
+    "Act as a reviewer of warranty claims. In at most 150 words, say which of the facts explain the mark, "
+    "what an honest reason for them could be, and which documents would settle it. "
+    "Do not call the claim fraudulent; end with one word: approve, query or escalate."
 )
 QUALITY_PROMPT = (
-    "## Manufacturer Overview\n"
-    "- Manufacturer: {manufacturer_name}\n"
-    "- Manufacturer ID: {manufacturer_id}\n"
-    "\n"
-    "## Repair Claim Analysis\n"
-    "- Total warranty claims: {total_claims}\n"
-    "- Repair claims: {repair_count} ({rate_pct}% of all claims)\n"
-    "- Non-repair claims (replacement/refund): {non_repair_count}\n"
-    "- Quality Score (z-score): {quality_score}\n"
-    "\n"
-    "## Repair Claims by Product Category\n"
+    "A manufacturer's repair rate stands out. Facts on record:\n"
+    "{manufacturer_name} (id {manufacturer_id})\n"
+    "{repair_count} of {total_claims} claims are repairs, {rate_pct} percent; {non_repair_count} are not\n"
+    "distance from its peers in standard deviations: {quality_score}\n"
+    "by product category:\n"
     "{categories_text}\n"
-    "\n"
-    "## Top SKUs by Repair Count\n"
+    "items with most repairs:\n"
     "{skus_text}"
 )
-QUALITY_PROMPT_CATEGORY_LINE = "  - {category}: {claim_count} total claims, {repair_count} repair claims ({rate_pct}% repair rate)"
-QUALITY_PROMPT_SKU_LINE = "  - {sku}: {claim_count} claims, {repair_count} repairs ({rate_pct}% repair rate)"
-NO_CATEGORY_TEXT = "  No breakdown available"
-NO_SKU_TEXT = "  No SKU data available"
-MISSING_TEXT = "N/A"
-
-SERVING_LIMIT = 10_000
-EXPORT_LIMIT = 100_000
-MAX_PAGE_SIZE = 500
+QUALITY_INSTRUCTION = (
+    "Act as a quality engineer. In at most 200 words, say whether the repairs gather in one category or in a few "
+    "items, what that suggests about the cause, and how sure the numbers allow one to be. "
+    "End with the one check that should come first."
+)
+QUALITY_PROMPT_CATEGORY_LINE = "* {category}: {repair_count} repairs in {claim_count} claims, {rate_pct} percent"
+QUALITY_PROMPT_SKU_LINE = "* {sku}: {repair_count} repairs in {claim_count} claims, {rate_pct} percent"
+NO_CATEGORY_TEXT = "* none on record"
+NO_SKU_TEXT = "* none on record"
+MISSING_TEXT = "not given"
+
+MAX_PAGE_SIZE = 500  # of the service surface (plans.results_api)
 DEFAULT_PAGE_SIZE = 50
 TOP_FACTORS = 3
 UNKNOWN = "unknown"

@@ -45,11 +45,11 @@ def render_sql(template: str, values: Mapping[str, str]) -> str:
 
 
 def fixed(x: Column, digits: int) -> Column:
-    """Non-negative ``x`` with exactly ``digits`` decimals (half up), via integers."""
-    scale = 10**digits
-    t = F.round(x * F.lit(float(scale))).cast("bigint")
-    whole = (t / F.lit(scale)).cast("bigint").cast("string")
+    """``x`` with exactly ``digits`` decimals (half away from zero), via a whole number's digits."""
+    t = F.round(x * F.lit(float(10**digits))).cast("bigint")
     if digits == 0:
         return t.cast("string")
-    frac = F.lpad((t % F.lit(scale)).cast("string"), digits, "0")
-    return F.when(x.isNull(), F.lit(None).cast("string")).otherwise(F.concat(whole, F.lit("."), frac))
+    text = F.abs(t).cast("string")
+    text = F.when(F.length(text) > digits, text).otherwise(F.lpad(text, digits + 1, "0"))
+    whole = F.substring(text, F.lit(1), F.length(text) - digits)
+    return F.concat(F.when(t < 0, "-").otherwise(""), whole, F.lit("."), F.right(text, F.lit(digits)))

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..config import CATEGORICAL_FEATURES, CONTINUOUS_FEATURES, UNKNOWN, RunSettings, feature_columns
 from ..functions.scalar import as_date
-from .joins import broadcast_if_small
+from .joins import stored_lookup
 from .stats import mean_std_table, median_table, with_scalars
 
 DAYS = "days_between_contract_start_and_claim"
@@ -31,12 +31,12 @@ def with_manufacturer_frequency(claims: DataFrame) -> DataFrame:
     """Attach each claim's manufacturer frequency.
 
     The count table has one row per manufacturer (map-side combined, so a
-    manufacturer with a third of all claims is one row per task). It is
-    broadcast only after its row count is checked, so the claims are not
-    shuffled by a skewed key. A null manufacturer never matches, so its claims
-    get null (then imputed).
+    manufacturer with a third of all claims is one row per task). It is stored,
+    so Spark knows its bytes and broadcasts it below the session's threshold:
+    the claims are then not shuffled by a skewed key. A null manufacturer never
+    matches, so its claims get null (then imputed).
     """
-    freq = broadcast_if_small(manufacturer_frequency(claims).filter(F.col("manufacturer_id").isNotNull()))
+    freq = stored_lookup(manufacturer_frequency(claims).filter(F.col("manufacturer_id").isNotNull()))
     return claims.join(freq, "manufacturer_id", "left").select(
         *claims.columns, F.col(FREQUENCY).cast("double").alias(FREQUENCY)
     )

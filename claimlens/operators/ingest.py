@@ -4,9 +4,11 @@ corrupt-row split and NaN cleanup (D19)."""
 from __future__ import annotations
 
 import datetime as _dt
+import operator
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -30,19 +32,31 @@ def latest_version(df: DataFrame, key: str | Sequence[str], order_by: Sequence[s
     """One row per ``key``: the greatest by ``order_by``, then by the
     remaining columns (a total order, so the result is deterministic).
 
-    Written as ``max(struct(...))`` so the aggregation combines map-side: a key
-    repeated a billion times reaches the shuffle once per task, not once per row.
+    The greatest first order column and the number of rows are hash-aggregated (combined
+    map-side: a key repeated a billion times is one row per task); rows that are alone, or
+    alone at that greatest value, come out of an equi-join, and only keys with a tie there
+    are ordered in full. Rows with a null key have no identity and are all kept.
     """
     keys = [key] if isinstance(key, str) else list(key)
     rest = [c for c in df.columns if c not in keys and c not in order_by]
     ordered = [*order_by, *rest]
+    no_key = reduce(operator.or_, [F.col(c).isNull() for c in keys])
     if not ordered:
-        return df.select(*keys).distinct()
-    packed = F.struct(*[F.col(c).alias(f"_o{i}") for i, c in enumerate(ordered)])
-    best = df.groupBy(*keys).agg(F.max(packed).alias("_best"))
-    return best.select(
-        *keys, *[F.col(f"_best._o{i}").alias(c) for i, c in enumerate(ordered)]
-    ).select(*df.columns)
+        return df.filter(~no_key).select(*keys).distinct().unionByName(df.filter(no_key))
+    keyed, first = df.filter(~no_key), ordered[0]
+    newest = keyed.groupBy(*keys).agg(F.max(first).alias("_newest"))
+    same_key = [F.col(f"a.{c}") == F.col(f"b.{c}") for c in keys]
+    at_newest = reduce(operator.and_, same_key) & F.col(f"a.{first}").eqNullSafe(F.col("b._newest"))
+    last = keyed.alias("a").join(newest.alias("b"), at_newest).select("a.*")
+    # the joined rows are partitioned by key: the window sorts ties without another shuffle
+    order = [F.col(c).desc_nulls_last() for c in ordered[1:]] or [F.lit(0)]
+    one = last.withColumn("_n", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).filter("_n = 1").drop("_n")
+    return one.unionByName(df.filter(no_key))
+
+
+def split_null_key(df: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
+    """Rows with a key, and rows without one (for quarantine: nothing can match them)."""
+    return df.filter(F.col(key).isNotNull()), df.filter(F.col(key).isNull())
 
 
 def split_corrupt(df: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -65,32 +79,13 @@ def nan_to_null(df: DataFrame) -> DataFrame:
     )
 
 
-def with_partition_date(df: DataFrame, dt: str) -> DataFrame:
-    """Attach the ``dt`` partition value (any stale ``dt`` column is replaced, D5)."""
-    return df.drop("dt").withColumn("dt", F.lit(dt))
-
-
-def extract(spark, path: str, entity: str, since: str | _dt.datetime | None = None):
-    """S2 + F1: read an entity's CSV with its schema, keep rows updated since
-    the watermark; returns (clean rows, corrupt rows, observation).
-
-    The observation counts corrupt lines while the clean rows are written (a
-    query over the corrupt column alone is not allowed on raw CSV).
-    """
-    from pyspark.sql import Observation
-
-    from ..sources.files import read_entity_csv
-
-    obs = Observation(f"extract_{entity}")
-    raw = read_entity_csv(spark, path, entity).observe(
-        obs, F.count_if(F.col(CORRUPT_COLUMN).isNotNull()).alias("corrupt")
-    )
-    good, bad = split_corrupt(raw)
-    return apply_watermark(nan_to_null(good), since), bad, obs
-
-
 def stage_status(rows_written: int, errors: int = 0, failed: bool = False) -> str:
     """Success / partial_failure / failure of a stage from its counters."""
     if failed:
         return "failure"
     return "partial_failure" if errors else "success"
+
+
+def run_partition(df: DataFrame, dt: str, run_id: str) -> DataFrame:
+    """Attach the ``dt`` and ``run_id`` partition values (stale ones are replaced, D5)."""
+    return df.drop("dt", "run_id").withColumns({"dt": F.lit(dt), "run_id": F.lit(run_id)})

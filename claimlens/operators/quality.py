@@ -105,8 +105,8 @@ def top_skus(breakdown: DataFrame, k: int | None) -> DataFrame:
 def category_map(breakdown: DataFrame) -> DataFrame:
     """A7 as ``map<category, struct<category, claim_count, repair_rate>>``.
 
-    The category list is a small fixed vocabulary, so one map per manufacturer
-    is bounded.
+    One row holds one manufacturer's categories; an open vocabulary is served by the long
+    table (``category_breakdown``), which has the same rows.
     """
     entry = F.struct(
         F.col("category"),
@@ -117,13 +117,23 @@ def category_map(breakdown: DataFrame) -> DataFrame:
     )
 
 
-def top_sku_map(breakdown: DataFrame, k: int = 10) -> DataFrame:
-    """The top-k SKU slice of A8 as ``map<sku, struct<...>>`` (bounded by k)."""
+def quality_breakdown(results: DataFrame) -> DataFrame:
+    """K7: the complete breakdown as rows: every category and every SKU of every manufacturer.
+
+    A long table, so a manufacturer with millions of SKUs is that many rows and no row
+    or task holds them all.
+    """
+    columns = ["claim_count", "repair_count", "repair_rate"]
+    by_category = category_breakdown(results).select("manufacturer_id", F.lit("category").alias("kind"), F.col("category").alias("key"), *columns)
+    by_sku = sku_breakdown(results).select("manufacturer_id", F.lit("sku").alias("kind"), F.col("sku").alias("key"), *columns)
+    return by_category.unionByName(by_sku)
+
+
+def top_sku_map(breakdown: DataFrame, k: int) -> DataFrame:
+    """Report column: the ``k`` SKUs with most repairs as ``map<sku, struct<...>>``."""
     top = top_skus(breakdown, k)
     entry = F.struct(F.col("sku"), F.struct("sku", "claim_count", "repair_count", "repair_rate"))
-    return top.groupBy("manufacturer_id").agg(
-        F.map_from_entries(F.array_sort(F.collect_list(entry))).alias("sku_breakdown")
-    )
+    return top.groupBy("manufacturer_id").agg(F.map_from_entries(F.array_sort(F.collect_list(entry))).alias("top_skus"))
 
 
 def quality_results(
@@ -133,7 +143,11 @@ def quality_results(
     threshold: float = QUALITY_THRESHOLD,
     top_k: int = 10,
 ) -> DataFrame:
-    """The per-manufacturer result record with nested breakdowns."""
+    """The per-manufacturer result record.
+
+    ``product_category_breakdown`` nests all categories; of the SKUs the record shows the
+    ``top_k`` by repairs (``top_skus``), and :func:`quality_breakdown` has them all.
+    """
     quality = manufacturer_quality(results, threshold)
     cats = category_map(category_breakdown(results))
     skus = top_sku_map(sku_breakdown(results), top_k)
@@ -151,7 +165,7 @@ def quality_results(
             "mean_anomaly_score",
             "anomaly_score_z",
             "product_category_breakdown",
-            "sku_breakdown",
+            "top_skus",
             F.lit(model_version).alias("model_version"),
             F.lit(scored_at).cast("timestamp").alias("scored_at"),
         )

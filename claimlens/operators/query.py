@@ -9,19 +9,20 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..config import (
     DEFAULT_PAGE_SIZE,
-    EXPORT_LIMIT,
     FRAUD_FLAG_PREFIX,
+    FRAUD_INSTRUCTION,
     FRAUD_PROMPT,
     FRAUD_REASON_CUTS,
     FRAUD_REASONS,
-    MAX_PAGE_SIZE,
     MISSING_TEXT,
     NO_CATEGORY_TEXT,
     NO_SKU_TEXT,
     QUALITY_FLAG_PREFIX,
+    QUALITY_INSTRUCTION,
     QUALITY_PROMPT,
     QUALITY_PROMPT_CATEGORY_LINE,
     QUALITY_PROMPT_SKU_LINE,
@@ -29,7 +30,6 @@ from ..config import (
     QUALITY_REASON_DETAIL,
     QUALITY_REASON_TOP_SKU,
     QUALITY_REASONS,
-    SERVING_LIMIT,
 )
 from ..functions.scalar import factor_labels, reason_category, utc_bound
 from ..functions.text import fixed, render
@@ -90,11 +90,34 @@ def filter_results(df: DataFrame, filters: ResultFilters, kind: str = "fraud") -
 
 
 def sort_results(df: DataFrame, kind: str = "fraud", sort_by: str | None = None, descending: bool = True) -> DataFrame:
-    """O1: sort by a column (missing -> 0), key as the unique tie-break."""
-    key, score_col = KEYS[kind]
-    col = sort_by or score_col
-    value = F.coalesce(F.col(col), F.lit(0)) if col in df.columns else F.lit(0)
-    return df.orderBy(value.desc() if descending else value.asc(), F.col(key).asc())
+    """O1: sort by any column (missing number -> 0, other missing values last), key as the
+    unique tie-break."""
+    value = _sort_value(df, kind, sort_by)
+    return df.orderBy(value.desc_nulls_last() if descending else value.asc_nulls_last(), F.col(KEYS[kind][0]).asc())
+
+
+def _sort_value(df: DataFrame, kind: str, sort_by: str | None) -> Column:
+    col = sort_by or KEYS[kind][1]
+    if col not in df.columns:
+        return F.lit(0.0)  # a whole number would be read as a column position
+    return F.coalesce(F.col(col), F.lit(0)) if isinstance(df.schema[col].dataType, T.NumericType) else F.col(col)
+
+
+def page_after(df: DataFrame, last_value, last_key, page_size: int = DEFAULT_PAGE_SIZE, kind: str = "fraud",
+               sort_by: str | None = None, descending: bool = True) -> DataFrame:
+    """O2 by keyset: the page after the row with this sort value and key.
+
+    Any page costs one top-k of ``page_size`` rows; ``page_items`` with a page number keeps
+    page x size rows per task and is for shallow pages. ``last_value`` None means that the
+    last row's value was missing.
+    """
+    key, value = F.col(KEYS[kind][0]), _sort_value(df, kind, sort_by)
+    if last_value is None:
+        later = value.isNull() & (key > last_key)
+    else:
+        further = value < F.lit(last_value) if descending else value > F.lit(last_value)
+        later = further | value.isNull() | ((value == F.lit(last_value)) & (key > last_key))
+    return sort_results(df.filter(later), kind, sort_by, descending).limit(page_size)
 
 
 def page_items(df: DataFrame, page: int = 1, page_size: int = DEFAULT_PAGE_SIZE, kind: str = "fraud",
@@ -120,8 +143,8 @@ def page_summary(df: DataFrame, page: int = 1, page_size: int = DEFAULT_PAGE_SIZ
 def _check_page(page: int, page_size: int) -> tuple[int, int]:
     if page < 1:
         raise ValueError("page must be >= 1")
-    if not 1 <= page_size <= MAX_PAGE_SIZE:
-        raise ValueError(f"page_size must be in [1, {MAX_PAGE_SIZE}]")
+    if page_size < 1:
+        raise ValueError("page_size must be >= 1")
     return page, page_size
 
 
@@ -142,8 +165,8 @@ def lookup(df: DataFrame, key_col: str, value) -> DataFrame:
     return df.filter(F.col(key_col) == value).limit(1)
 
 
-def serving_extract(results: DataFrame, kind: str = "fraud", limit: int = SERVING_LIMIT) -> DataFrame:
-    """The serving file is the top ``limit`` rows by score."""
+def serving_extract(results: DataFrame, limit: int, kind: str = "fraud") -> DataFrame:
+    """A report of the top ``limit`` rows by score (the caller says how many)."""
     return sort_results(results, kind).limit(limit)
 
 
@@ -184,7 +207,8 @@ def _na(col: Column) -> Column:
 
 
 def fraud_prompts(results: DataFrame) -> DataFrame:
-    """Review text per flagged claim, built as a column (no model call)."""
+    """Review texts per flagged claim: the data (``prompt``) and the ``instruction`` for who
+    reads it (no model call)."""
     flagged = results.filter(F.col("is_suspected_fraud"))
     values = {
         c: _na(F.col(c))
@@ -195,7 +219,7 @@ def fraud_prompts(results: DataFrame) -> DataFrame:
     values["claim_amount"] = _na(fixed(F.col("claim_amount"), 2))
     values["fraud_score"] = _na(fixed(F.col("fraud_score"), 4))
     values["contributing_factors"] = F.array_join(F.col("contributing_factors"), ", ")
-    return flagged.select("claim_id", render(FRAUD_PROMPT, values).alias("prompt"))
+    return flagged.select("claim_id", render(FRAUD_PROMPT, values).alias("prompt"), F.lit(FRAUD_INSTRUCTION).alias("instruction"))
 
 
 def _lines_by(df: DataFrame, order: str, line: Column, name: str) -> DataFrame:
@@ -206,8 +230,8 @@ def _lines_by(df: DataFrame, order: str, line: Column, name: str) -> DataFrame:
 
 
 def quality_prompts(quality: DataFrame, categories: DataFrame, top10: DataFrame) -> DataFrame:
-    """Review text per manufacturer of concern with per-category lines and
-    its top-10 SKUs by repairs (exact repair counts, D12)."""
+    """Review texts per manufacturer of concern: the data (per-category lines and its
+    top-10 SKUs by repairs, exact counts, D12) and the ``instruction``."""
     def line(template: str, key: str) -> Column:
         return render(template, {
             key: F.col(key),
@@ -233,18 +257,17 @@ def quality_prompts(quality: DataFrame, categories: DataFrame, top10: DataFrame)
     return (
         flagged.join(cat_text, "manufacturer_id", "left")
         .join(sku_text, "manufacturer_id", "left")
-        .select("manufacturer_id", body.alias("prompt"))
+        .select("manufacturer_id", body.alias("prompt"), F.lit(QUALITY_INSTRUCTION).alias("instruction"))
     )
 
 
-def export_rows(df: DataFrame, limit: int = EXPORT_LIMIT) -> DataFrame:
-    """Arrays, maps and structs as JSON text (CSV cannot hold them)."""
-    from pyspark.sql import types as T
-
+def export_rows(df: DataFrame, limit: int | None = None) -> DataFrame:
+    """Arrays, maps and structs as JSON text (CSV cannot hold them). All rows, unless
+    the caller asks for a sample of ``limit``."""
     nested = (T.ArrayType, T.MapType, T.StructType)
     cols = [
         F.to_json(F.col(f.name)).alias(f.name) if isinstance(f.dataType, nested) else F.col(f.name)
         for f in df.schema.fields
     ]
     out = df.select(*cols)
-    return out.limit(limit) if limit else out
+    return out if limit is None else out.limit(limit)

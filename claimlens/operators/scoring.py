@@ -103,9 +103,31 @@ def fraud_results(scored: DataFrame, model_version: str, scored_at) -> DataFrame
     )
 
 
-def join_scores(scores: DataFrame, enriched: DataFrame) -> DataFrame:
-    """External (claim_id, fraud_score...) rows left-joined to enriched claims."""
-    return scores.join(enriched, "claim_id", "left")
+def join_scores(scores: DataFrame, features: DataFrame) -> DataFrame:
+    """(claim_id, raw_score) rows with the claim fields and features they score.
+
+    ``scores`` are matched rows of :func:`align_scores`, so each has its features.
+    """
+    return features.join(scores.select("claim_id", "raw_score"), "claim_id")
+
+
+def results_from_scores(features: DataFrame, parsed: DataFrame, settings, scored_at) -> tuple[DataFrame, DataFrame]:
+    """S5 + J5 + J4 + P10: (results, errors) from keyed, parsed score lines.
+
+    Lines that do not parse, have no key or repeat one (the greatest score counts), and
+    claims or scores without a partner are errors by name; the matched scores are normalised
+    over each other, flagged and explained like any others.
+    """
+    good = parsed.filter(F.col("parse_error").isNull() & F.col("claim_id").isNotNull())
+    scores = good.groupBy("claim_id").agg(F.max("raw_score").alias("raw_score"), F.count(F.lit(1)).alias("_n"))
+    matched, unmatched = align_scores(features, scores)
+    scored = flag_fraud(normalize_scores(join_scores(matched, features)), settings.fraud_threshold)
+    results = fraud_results(contributing_factors(scored), settings.model_version, scored_at)
+    bad = parsed.filter(F.col("parse_error").isNotNull() | F.col("claim_id").isNull()).select(
+        "claim_id", F.coalesce("parse_error", F.lit("no claim id")).alias("error")
+    )
+    repeated = scores.filter("_n > 1").select("claim_id", F.lit("repeated score").alias("error"))
+    return results, unmatched.unionByName(bad).unionByName(repeated)
 
 
 def align_scores(features: DataFrame, scores: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -27,45 +27,52 @@ def _long_values(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return long.filter(F.col("v").isNotNull() & ~F.isnan("v"))
 
 
-def lower_medians(df: DataFrame, cols: Sequence[str], buckets: int | None = None) -> DataFrame:
+def lower_medians(df: DataFrame, cols: Sequence[str], accuracy: int = 10_000, rounds: int = 2) -> DataFrame:
     """A3: exact lower median (``percentile_disc(0.5)``) of each column.
 
-    Returns rows (name, median). Distributed, without buffering a column in one
-    task:
-      1. count each distinct value per column (map-side combined, so a hot
-         value is one row, not a third of the data);
-      2. range-partition the distinct values into ``buckets`` slices and total
-         each slice (a table of at most buckets x columns rows);
-      3. prefix sums over that small table locate the slice holding rank
-         ceil(n / 2);
-      4. a running sum over that one slice finds the value.
-    Columns with no values are absent (callers fall back to 0.0).
+    Returns rows (name, median); a column with no values is absent (callers fall back to
+    0.0). The rank is bracketed instead of shuffling the values:
+      1. each round is one scan with partial aggregates: per column, how many values lie
+         below and inside its bracket, and two approximate percentiles around the rank,
+         which narrow the bracket to about 4 / ``accuracy`` of its rows;
+      2. only the values in the last bracket (after two rounds some 1e-7 of all) are counted by
+         value and ordered. A hot value is one row there.
+    What returns to the driver is five numbers per column and round.
     """
-    if buckets is None:
-        # as many slices as the session's shuffle width: one slice per task
-        buckets = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    counts = _long_values(df, cols).groupBy("name", "v").agg(F.count(F.lit(1)).alias("cnt"))
-    sliced = counts.repartitionByRange(buckets, "name", "v").withColumn(
-        "slice", F.spark_partition_id()
+    ok = {c: F.col(c).isNotNull() & ~F.isnan(F.col(c).cast("double")) for c in cols}
+    value = {c: F.when(ok[c], F.col(c).cast("double")) for c in cols}
+    whole = df.agg(*[F.count(value[c]).alias(f"n{i}") for i, c in enumerate(cols)]).first()
+    rank = {c: -(-whole[f"n{i}"] // 2) for i, c in enumerate(cols) if whole[f"n{i}"]}  # 1-based
+    inside = {c: ok[c] for c in rank}
+    below = dict.fromkeys(rank, 0)
+    size = {c: whole[f"n{i}"] for i, c in enumerate(cols) if c in rank}
+    for _ in range(rounds):
+        if not rank:
+            break
+        exprs = []
+        for i, c in enumerate(rank):
+            at, margin = (rank[c] - below[c]) / size[c], 2.0 / accuracy
+            ends = [max(0.0, at - margin), min(1.0, at + margin)]
+            exprs.append(F.percentile_approx(F.when(inside[c], value[c]), ends, accuracy).alias(f"p{i}"))
+        ends = df.agg(*exprs).first()
+        bracket = {c: (ends[f"p{i}"][0], ends[f"p{i}"][1]) for i, c in enumerate(rank)}
+        counts = df.agg(
+            *[F.count_if(ok[c] & (value[c] < lo)).alias(f"b{i}") for i, (c, (lo, _)) in enumerate(bracket.items())],
+            *[F.count_if(ok[c] & value[c].between(lo, hi)).alias(f"s{i}") for i, (c, (lo, hi)) in enumerate(bracket.items())],
+        ).first()
+        for i, (c, (lo, hi)) in enumerate(bracket.items()):
+            if counts[f"b{i}"] < rank[c] <= counts[f"b{i}"] + counts[f"s{i}"]:  # else the wider bracket stays
+                inside[c], below[c], size[c] = ok[c] & value[c].between(lo, hi), counts[f"b{i}"], counts[f"s{i}"]
+    entries = [F.struct(F.lit(c).alias("name"), F.when(inside[c], value[c]).alias("v"), F.lit(rank[c] - below[c]).alias("target")) for c in rank]
+    if not entries:
+        return df.sparkSession.createDataFrame([], "name string, median double")
+    counted = (
+        df.select(F.inline(F.array(*entries))).filter(F.col("v").isNotNull()).groupBy("name", "v", "target").agg(F.count(F.lit(1)).alias("cnt"))
     )
-    totals = sliced.groupBy("name", "slice").agg(
-        F.sum("cnt").alias("slice_cnt"), F.min("v").alias("lo"), F.max("v").alias("hi")
-    )
-    by_slice = Window.partitionBy("name").orderBy("slice")
-    everything = Window.partitionBy("name")
-    located = (
-        totals.withColumn("upto", F.sum("slice_cnt").over(by_slice.rowsBetween(Window.unboundedPreceding, 0)))
-        .withColumn("n", F.sum("slice_cnt").over(everything))
-        .withColumn("target", F.ceil(F.col("n") / F.lit(2.0)))
-        .withColumn("before", F.col("upto") - F.col("slice_cnt"))
-        .filter((F.col("before") < F.col("target")) & (F.col("upto") >= F.col("target")))
-        .select("name", "lo", "hi", "before", "target")
-    )
-    in_slice = counts.join(located, "name").filter(F.col("v").between(F.col("lo"), F.col("hi")))
     running = Window.partitionBy("name").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
     return (
-        in_slice.withColumn("rank_hi", F.col("before") + F.sum("cnt").over(running))
-        .filter(F.col("rank_hi") >= F.col("target"))
+        counted.withColumn("upto", F.sum("cnt").over(running))
+        .filter(F.col("upto") >= F.col("target"))
         .groupBy("name")
         .agg(F.min("v").alias("median"))
     )

@@ -8,7 +8,9 @@ compared value for value.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,13 +23,16 @@ from ..operators import quality as Q
 from ..operators import query as QY
 from ..operators import scoring as S
 from ..operators.ingest import apply_watermark, latest_version
+from ..sinks import writers as K
 from ..sources import warranty_views as views
-from ..sources.score_lines import parse_score_lines
+from ..sources.score_lines import key_score_lines, parse_score_lines, read_score_lines
 from ..sources.tables import read_table
+from ..streaming.incremental import ingest_available, ingested_claims
 from . import warranty as W
-from .stages import stage, stage_path
+from .stages import stage, stage_root
 
 WATERMARK = "2000-01-01T00:00:00Z"
+SERVING_REPORT = 10_000
 AUDIT_FROM, AUDIT_TO = "2024-12-31", "2025-01-01"
 PAGE, PAGE_SIZE = 2, 50
 PAGE_FILTERS = QY.ResultFilters(category="electronics", score_min=0.05, reason="Within normal range")
@@ -51,12 +56,8 @@ def _inputs(spark: SparkSession, sf: str) -> W.Inputs:
 
 def _features(spark: SparkSession, sf: str) -> FE.FeatureSet:
     """Scaled features; the unscaled base and the scaled frame are stage tables."""
-    base = _feature_base(spark, sf)
-    cols = list(CONTINUOUS_FEATURES)
-    medians = stage(spark, sf, "medians", lambda: FE.median_table(base, cols))
-    imputed = FE.impute_median(base, cols, RunSettings(), medians)
-    params = stage(spark, sf, "scaler_params", lambda: FE.scaler_params(imputed, cols))
-    frame = stage(spark, sf, "features", lambda: FE.standard_scale(imputed, cols, params).frame)
+    imputed, params = _imputed(spark, sf)
+    frame = stage(spark, sf, "features", lambda: FE.standard_scale(imputed, list(CONTINUOUS_FEATURES), params).frame)
     return FE.FeatureSet(frame, params)
 
 
@@ -70,7 +71,8 @@ def _results(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _quality(spark: SparkSession, sf: str) -> DataFrame:
-    return Q.manufacturer_quality(_results(spark, sf))
+    """Manufacturer quality: one row per manufacturer, stored, as several queries read it."""
+    return stage(spark, sf, "quality", lambda: Q.manufacturer_quality(_results(spark, sf)))
 
 
 # -- ingestion / enrichment ---------------------------------------------------
@@ -155,13 +157,21 @@ def q_one_hot(spark, sf):
     return _feature_base(spark, sf).select("claim_id", *one_hot_columns())
 
 
+def _imputed(spark, sf):
+    """Imputed features over the staged medians and scaler params (each computed once per input)."""
+    base, cols = _feature_base(spark, sf), list(CONTINUOUS_FEATURES)
+    medians = stage(spark, sf, "medians", lambda: FE.median_table(base, cols))
+    imputed = FE.impute_median(base, cols, RunSettings(), medians)
+    return imputed, stage(spark, sf, "scaler_params", lambda: FE.scaler_params(imputed, cols))
+
+
 def q_impute_median(spark, sf):
-    imputed = FE.impute_median(_feature_base(spark, sf))
+    imputed, _ = _imputed(spark, sf)
     return imputed.select("claim_id", *[r6(c).alias(c) for c in CONTINUOUS_FEATURES])
 
 
 def q_scaler_params(spark, sf):
-    params = FE.scaler_params(FE.impute_median(_feature_base(spark, sf)), CONTINUOUS_FEATURES)
+    _, params = _imputed(spark, sf)
     rows = F.inline(
         F.array(*[F.struct(F.lit(c).alias("feature"), F.col(f"{c}__mean").alias("mean"), F.col(f"{c}__std").alias("std"))
                   for c in CONTINUOUS_FEATURES])
@@ -170,12 +180,14 @@ def q_scaler_params(spark, sf):
 
 
 def q_standard_scale(spark, sf):
-    scaled = FE.standard_scale(FE.impute_median(_feature_base(spark, sf))).frame
+    imputed, params = _imputed(spark, sf)
+    scaled = FE.standard_scale(imputed, params=params).frame
     return scaled.select("claim_id", *[r6(c).alias(c) for c in CONTINUOUS_FEATURES])
 
 
 def q_inverse_scale(spark, sf):
-    s = FE.standard_scale(FE.impute_median(_feature_base(spark, sf)))
+    imputed, params = _imputed(spark, sf)
+    s = FE.standard_scale(imputed, params=params)
     back = FE.inverse_scale(s.frame, s.params)
     return back.select("claim_id", *[r6(c).alias(c) for c in CONTINUOUS_FEATURES])
 
@@ -314,7 +326,7 @@ def q_category_map(spark, sf):
 
 def _audit(spark, sf):
     results = _results(spark, sf)
-    quality = Q.manufacturer_quality(results).withColumn("model_version", F.lit(RunSettings().model_version))
+    quality = _quality(spark, sf).withColumn("model_version", F.lit(RunSettings().model_version))
     return A.audit_entries(results, quality, W.CATALOGUE_RUN_TS)
 
 
@@ -376,7 +388,7 @@ def q_reason_text(spark, sf):
 def q_quality_reason_text(spark, sf):
     results = _results(spark, sf)
     top1 = Q.top_skus(Q.sku_breakdown(results), 1)
-    return QY.quality_reason_text(Q.manufacturer_quality(results), top1).select("manufacturer_id", "reason")
+    return QY.quality_reason_text(_quality(spark, sf), top1).select("manufacturer_id", "reason")
 
 
 def q_fraud_prompts(spark, sf):
@@ -386,7 +398,7 @@ def q_fraud_prompts(spark, sf):
 def q_quality_prompts(spark, sf):
     results = _results(spark, sf)
     return QY.quality_prompts(
-        Q.manufacturer_quality(results), Q.category_breakdown(results), Q.top_skus(Q.sku_breakdown(results), 10)
+        _quality(spark, sf), Q.category_breakdown(results), Q.top_skus(Q.sku_breakdown(results), 10)
     )
 
 
@@ -398,21 +410,32 @@ def q_contributing_factors_compat(spark, sf):
 
 
 def q_serving_extract(spark, sf):
-    """O3/K6: the serving file = top 10,000 claims by score (a top-k report)."""
-    top = QY.serving_extract(_results(spark, sf), "fraud")
+    """O3: a top-k report, the 10,000 claims with the highest scores (results are served from the full table)."""
+    top = QY.serving_extract(_results(spark, sf), SERVING_REPORT)
     return top.select("claim_id", r6("fraud_score").alias("fraud_score"), "is_suspected_fraud")
 
 
 def q_quality_results(spark, sf):
-    """The full quality record, nested maps flattened to their sizes and top entry."""
+    """The full quality record: its own values, every nested category and top SKU, and the
+    complete breakdown, one row each."""
     results = _results(spark, sf)
     q = Q.quality_results(results, RunSettings().model_version, W.CATALOGUE_RUN_TS)
-    return q.select(
-        "manufacturer_id", "total_claims", "repair_count", "is_quality_concern",
-        F.size("product_category_breakdown").alias("categories"), F.size("sku_breakdown").alias("top_skus"),
-        F.array_join(F.sort_array(F.map_keys("product_category_breakdown")), ",").alias("category_keys"),
-        F.coalesce(F.col("product_category_breakdown")["unknown"]["claim_count"], F.lit(0).cast("bigint"))
-        .alias("unknown_category_claims"),
+    record = q.select(
+        "manufacturer_id", "manufacturer_name", "total_claims", r6("quality_score").alias("quality_score"), "is_quality_concern",
+        r6("mean_anomaly_score").alias("mean_anomaly_score"), "model_version", ts_text("scored_at").alias("scored_at"),
+    )
+    stats = ["claim_count", "repair_count", "repair_rate"]
+    nested = q.select("manufacturer_id", F.lit("nested_category").alias("kind"), F.explode("product_category_breakdown").alias("key", "v")).select(
+        "manufacturer_id", "kind", "key", "v.claim_count", F.lit(None).cast("bigint").alias("repair_count"), "v.repair_rate"
+    )
+    top = q.select("manufacturer_id", F.lit("top_sku").alias("kind"), F.explode("top_skus").alias("key", "v")).select(
+        "manufacturer_id", "kind", "key", *[f"v.{c}" for c in stats]
+    )
+    rows = Q.quality_breakdown(results).unionByName(nested).unionByName(top)
+    return record.join(rows, "manufacturer_id").select(
+        *record.columns, "kind", "key", "claim_count",
+        # double, not nullable bigint: engines disagree on how a null integer reads back
+        F.col("repair_count").cast("double").alias("repair_count"), r6("repair_rate").alias("repair_rate"),
     )
 
 
@@ -441,18 +464,125 @@ def q_forest_scores(spark, sf):
 
 
 def q_streaming_ingest(spark, sf):
-    """The claims table delivered as files, ingested by a stream (availableNow)."""
-    import uuid
+    """Claims delivered as files in two runs of a stream. The first delivery has the newer
+    half; the second brings the older half late, and the first half's claims updated."""
+    folder = f"{stage_root(spark)}/stream-{uuid.uuid4().hex[:12]}"  # a fresh stream checkpoint per call
+    claims = views.claims(spark, sf)
+    newer = F.pmod(F.xxhash64("claim_id"), F.lit(2)) == 0
+    first = claims.filter(newer)
+    late = claims.filter(~newer).withColumn("updated_at", F.col("updated_at") - F.expr("INTERVAL 400 DAYS"))
+    updated = first.withColumns({"status": F.lit("reviewed"), "updated_at": F.col("updated_at") + F.expr("INTERVAL 1 DAYS")})
+    for delivery in (first, late.unionByName(updated)):
+        delivery.write.mode("append").parquet(f"{folder}/source")
+        ingest_available(spark, f"{folder}/source", f"{folder}/table", f"{folder}/checkpoint", schema=claims.schema, fmt="parquet")
+    stored, _ = ingested_claims(spark, f"{folder}/table", claims.schema)
+    latest = latest_version(stored, "claim_id", ["updated_at"])
+    # the hash differs between engines: what is compared is that all rows are there, once, updated or late
+    return latest.select(
+        "claim_id", (F.col("status") == "reviewed").alias("is_newer"),
+    ).join(claims.select("claim_id", newer.alias("was_newer")), "claim_id").select(
+        "claim_id", (F.col("is_newer") == F.col("was_newer")).alias("as_delivered")
+    )
+
+
+# -- ingestion runs -------------------------------------------------------------
+
+def q_claims_redelivered(spark, sf):
+    """W6 on claims: every claim delivered twice, half of them with an older version, gives one
+    row per claim and unchanged manufacturer counts."""
+    inp = _inputs(spark, sf)
+    raw = views.claims(spark, sf)
+    older = raw.filter(F.col("claim_type").isNotNull()).withColumns(
+        {"claim_type": F.lit("repair"), "updated_at": F.col("updated_at") - F.expr("INTERVAL 9 DAYS")}
+    )
+    claims = latest_version(raw.unionByName(raw).unionByName(older), "claim_id", ["updated_at"])
+    rollup = Q.manufacturer_rollup(E.enrich_claims(claims, inp.catalog))
+    return rollup.select("manufacturer_id", "total_claims", "repair_count")
+
+
+def q_ingest_two_runs_same_day(spark, sf):
+    """K1 + D4: a full load and an incremental run on the same day; nothing of the first is lost."""
+    folder = f"{stage_root(spark)}/ingest-{uuid.uuid4().hex[:12]}"
+    claims = views.claims(spark, sf)
+    K.write_partitioned(claims, f"{folder}/claims", "2025-01-01", "run1")
+    later = apply_watermark(claims, WATERMARK).withColumns(
+        {"status": F.lit("reviewed"), "updated_at": F.col("updated_at") + F.expr("INTERVAL 1 DAYS")}
+    )
+    K.write_partitioned(later, f"{folder}/claims", "2025-01-01", "run2")
+    stored = spark.read.schema(claims.schema).parquet(f"{folder}/claims")
+    return latest_version(stored, "claim_id", ["updated_at"]).select("claim_id", "status", ts_text("updated_at").alias("updated_at"))
+
+
+# -- results from score files, run summary ----------------------------------------
+
+def _file_results(spark, sf):
+    """(results, errors) from score files written and read back as text."""
+    def build():
+        lines = score_lines(spark, sf).select(F.concat_ws(",", "claim_id", F.trim("value")).alias("value"))
+        folder = f"{stage_root(spark)}/score-files-{uuid.uuid4().hex[:12]}"
+        lines.write.text(folder)
+        return parse_score_lines(key_score_lines(read_score_lines(spark, folder))).select("claim_id", "raw_score", "parse_error")
+
+    parsed = stage(spark, sf, "score_file_lines", build)
+    settings = replace(RunSettings(), model_version="scores")
+    return S.results_from_scores(_features(spark, sf).frame, parsed, settings, W.CATALOGUE_RUN_TS)
+
+
+def q_results_from_score_files(spark, sf):
+    """S5 + J4 + J5 + P10: the result record of every claim whose score line is good."""
+    return _flat_results(_file_results(spark, sf)[0])
+
+
+def q_score_file_errors(spark, sf):
+    """Every line or claim without a partner, and every bad line, by name."""
+    return _file_results(spark, sf)[1].groupBy("error").agg(F.count(F.lit(1)).alias("lines"))
+
+
+def q_run_summary(spark, sf):
+    """Counters and status of one published batch run."""
+    from .runner import run_batch, run_folder
+
+    folder = run_folder(spark)
+    run = run_batch(spark, _inputs(spark, sf), run_ts=W.CATALOGUE_RUN_TS, folder=f"{folder}/run", publish_dir=f"{folder}/published")
+    names = ["enriched_rows", "unknown_manufacturer", "fraud_results_rows", "flagged", "quality_results_rows", "concerns",
+             "published_results", "published_quality", "audit_appended", "quality_breakdown_rows"]
+    return run.summary(spark).filter(F.col("counter").isin(*names))
+
+
+# -- sorted and filtered results ---------------------------------------------------
+
+def q_results_sorted_by_manufacturer(spark, sf):
+    """O1 on a text column, missing values last, then the next page by keyset."""
+    r = _results(spark, sf).select("claim_id", "fraud_score", "manufacturer_name")
+    first = QY.page_items(r, 1, PAGE_SIZE, sort_by="manufacturer_name", descending=False)
+    last = first.orderBy(F.desc("manufacturer_name"), F.desc("claim_id")).limit(1).collect()
+    if not last:
+        return first
+    after = QY.page_after(r, last[0].manufacturer_name, last[0].claim_id, PAGE_SIZE, sort_by="manufacturer_name", descending=False)
+    return first.unionByName(after).select("claim_id", "manufacturer_name")
+
+
+def q_results_by_date_and_manufacturer(spark, sf):
+    """F3 + F4: results of one manufacturer scored on one day, sorted by claim date."""
+    r = _results(spark, sf)
+    name = r.select(F.min("manufacturer_name")).first()[0]
+    kept = QY.filter_results(r, QY.ResultFilters(date_from="2025-01-01", date_to="2025-01-01", manufacturer=name))
+    none = QY.filter_results(r, QY.ResultFilters(date_from="2025-01-02", manufacturer=name))
+    rows = kept.unionByName(none)
+    return QY.sort_results(rows, sort_by="claim_date").select("claim_id", "manufacturer_name", day_text("claim_date").alias("claim_date"))
+
+
+def q_quality_by_category(spark, sf):
+    """F5 on quality records: manufacturers whose breakdown has a category."""
+    q = Q.quality_results(_results(spark, sf), RunSettings().model_version, W.CATALOGUE_RUN_TS)
+    kept = QY.filter_results(q, QY.ResultFilters(category="unknown", score_min=0.0), "quality")
+    return kept.select("manufacturer_id", r6("quality_score").alias("quality_score"))
 
-    from ..streaming.incremental import ingest_available
-    from .stages import stage_root
 
-    source = stage(spark, sf, "claims_files", lambda: views.claims(spark, sf))
-    run = f"{stage_root(spark)}/stream-{uuid.uuid4().hex[:12]}"  # a fresh stream checkpoint per call
-    ingest_available(spark, stage_path(spark, sf, "claims_files"), f"{run}/table", f"{run}/_checkpoint",
-                     schema=source.schema, fmt="parquet")
-    out = spark.read.parquet(f"{run}/table")
-    return out.select("claim_id", ts_text("updated_at").alias("updated_at"))
+def q_sku_ranking(spark, sf):
+    """The full ranking of a manufacturer's SKUs by repairs."""
+    full = Q.top_skus(Q.sku_breakdown(_enriched(spark, sf)), None)
+    return full.select("manufacturer_id", "sku", "claim_count", "repair_count")
 
 
 def q_export_rows(spark, sf):
@@ -509,4 +639,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "audit_trail": q_audit_trail,
     "forest_scores": q_forest_scores,
     "streaming_ingest": q_streaming_ingest,
+    "claims_redelivered": q_claims_redelivered,
+    "ingest_two_runs_same_day": q_ingest_two_runs_same_day,
+    "results_from_score_files": q_results_from_score_files,
+    "score_file_errors": q_score_file_errors,
+    "run_summary": q_run_summary,
+    "results_sorted_by_manufacturer": q_results_sorted_by_manufacturer,
+    "results_by_date_and_manufacturer": q_results_by_date_and_manufacturer,
+    "quality_by_category": q_quality_by_category,
+    "sku_ranking": q_sku_ranking,
 }

@@ -8,10 +8,12 @@ from __future__ import annotations
 
 from ..config import (
     FACTOR_LABELS,
+    FRAUD_INSTRUCTION,
     FRAUD_PROMPT,
     MISSING_TEXT,
     NO_CATEGORY_TEXT,
     NO_SKU_TEXT,
+    QUALITY_INSTRUCTION,
     QUALITY_PROMPT,
     QUALITY_PROMPT_CATEGORY_LINE,
     QUALITY_PROMPT_SKU_LINE,
@@ -291,7 +293,7 @@ FROM quality q LEFT JOIN (SELECT * FROM sku_rank WHERE sku_rank = 1) t ON q.manu
     fraud_values["fraud_score"] = na(_fixed("fraud_score", 4))
     fraud_values["contributing_factors"] = "array_to_string(contributing_factors, ', ')"
     q["fraud_prompts"] = chain + f"""
-SELECT claim_id, {render_sql(FRAUD_PROMPT, fraud_values)} AS prompt
+SELECT claim_id, {render_sql(FRAUD_PROMPT, fraud_values)} AS prompt, {render_sql(FRAUD_INSTRUCTION, {})} AS instruction
 FROM results WHERE is_suspected_fraud"""
     cat_line = render_sql(QUALITY_PROMPT_CATEGORY_LINE, {
         "category": "category", "claim_count": "CAST(claim_count AS VARCHAR)",
@@ -315,7 +317,7 @@ cat_text AS (
 sku_text AS (
   SELECT manufacturer_id, string_agg({sku_line}, {_NL} ORDER BY sku_rank) AS skus_text
   FROM sku_rank WHERE sku_rank <= 10 GROUP BY manufacturer_id)
-SELECT q.manufacturer_id, {body} AS prompt
+SELECT q.manufacturer_id, {body} AS prompt, {render_sql(QUALITY_INSTRUCTION, {})} AS instruction
 FROM quality q LEFT JOIN cat_text c ON q.manufacturer_id = c.manufacturer_id
 LEFT JOIN sku_text s ON q.manufacturer_id = s.manufacturer_id
 WHERE q.quality_score > 2.0"""
@@ -332,19 +334,64 @@ FROM scaled s, params p"""
 SELECT claim_id, round(fraud_score, 6) AS fraud_score, is_suspected_fraud FROM results
 ORDER BY fraud_score DESC, claim_id LIMIT 10000"""
     q["quality_results"] = chain + """,
-cats AS (SELECT manufacturer_id, count(*) AS categories, string_agg(category, ',' ORDER BY category) AS category_keys,
-           max(claim_count) FILTER (WHERE category = 'unknown') AS unknown_category_claims
-         FROM cat_bd GROUP BY manufacturer_id),
-tops AS (SELECT manufacturer_id, count(*) AS top_skus FROM sku_rank WHERE sku_rank <= 10 GROUP BY manufacturer_id)
-SELECT q.manufacturer_id, q.total_claims, q.repair_count, q.quality_score > 2.0 AS is_quality_concern,
-  CAST(c.categories AS INTEGER) AS categories, CAST(t.top_skus AS INTEGER) AS top_skus, c.category_keys,
-  coalesce(c.unknown_category_claims, 0) AS unknown_category_claims
-FROM quality q LEFT JOIN cats c ON q.manufacturer_id = c.manufacturer_id
-LEFT JOIN tops t ON q.manufacturer_id = t.manufacturer_id"""
+rows AS (
+  SELECT manufacturer_id, 'category' AS kind, category AS key, claim_count, CAST(repair_count AS DOUBLE) AS repair_count,
+    repair_count / claim_count AS repair_rate FROM cat_bd
+  UNION ALL SELECT manufacturer_id, 'nested_category', category, claim_count, NULL, repair_count / claim_count FROM cat_bd
+  UNION ALL SELECT manufacturer_id, 'sku', sku, claim_count, repair_count, repair_count / claim_count FROM sku_bd
+  UNION ALL SELECT manufacturer_id, 'top_sku', sku, claim_count, repair_count, repair_rate FROM sku_rank WHERE sku_rank <= 10)
+SELECT q.manufacturer_id, q.manufacturer_name, q.total_claims, round(q.quality_score, 6) AS quality_score,
+  q.quality_score > 2.0 AS is_quality_concern, round(q.mean_anomaly_score, 6) AS mean_anomaly_score,
+  'distance-v1' AS model_version, '2025-01-01 00:00:00' AS scored_at, r.kind, r.key, r.claim_count, r.repair_count,
+  round(r.repair_rate, 6) AS repair_rate
+FROM quality q JOIN rows r ON q.manufacturer_id = r.manufacturer_id"""
     q["audit_trail"] = chain + ",\n" + _audit() + """
 SELECT q.manufacturer_id, a.event_type, a.score AS audited_score
 FROM quality q LEFT JOIN audit a ON a.entity_type = 'manufacturer' AND a.entity_id = q.manufacturer_id"""
-    q["streaming_ingest"] = f"""WITH {sql_views()}
-SELECT claim_id, strftime(updated_at, '%Y-%m-%d %H:%M:%S') AS updated_at FROM claims"""
+    q["streaming_ingest"] = f"WITH {sql_views()}\nSELECT claim_id, true AS as_delivered FROM claims"
+    q["claims_redelivered"] = chain + "\nSELECT manufacturer_id, total_claims, repair_count FROM rollup"
+    q["ingest_two_runs_same_day"] = f"""WITH {sql_views()},
+seen AS (SELECT *, coalesce(updated_at >= TIMESTAMP '2000-01-01 00:00:00', false) AS twice FROM claims)
+SELECT claim_id, CASE WHEN twice THEN 'reviewed' ELSE status END AS status,
+  strftime(CASE WHEN twice THEN updated_at + INTERVAL 1 DAY ELSE updated_at END, '%Y-%m-%d %H:%M:%S') AS updated_at FROM seen"""
+    files = chain + f""",
+{_score_lines()},
+good AS (SELECT claim_id, max(raw_score) AS raw_score FROM parsed2 WHERE parse_error IS NULL GROUP BY claim_id)"""
+    q["results_from_score_files"] = files + """,
+paired AS (SELECT r.* EXCLUDE (fraud_score, is_suspected_fraud), g.raw_score FROM results r JOIN good g USING (claim_id)),
+normed AS (SELECT *, CASE WHEN max(raw_score) OVER () = min(raw_score) OVER () THEN 0.0
+  ELSE (raw_score - min(raw_score) OVER ()) / (max(raw_score) OVER () - min(raw_score) OVER ()) END AS fraud_score FROM paired)
+SELECT claim_id, contract_id, round(fraud_score, 6) AS fraud_score, fraud_score > 0.7 AS is_suspected_fraud,
+  array_to_string(contributing_factors, ',') AS contributing_factors, 'scores' AS model_version, sku, manufacturer_name,
+  claim_amount, claim_type, strftime(claim_date, '%Y-%m-%d') AS claim_date, product_category, status, description FROM normed"""
+    q["score_file_errors"] = files + """,
+errors AS (
+  SELECT 'missing_score' AS error FROM results r WHERE NOT EXISTS (SELECT 1 FROM good g WHERE g.claim_id = r.claim_id)
+  UNION ALL SELECT 'missing_features' FROM good g WHERE NOT EXISTS (SELECT 1 FROM results r WHERE r.claim_id = g.claim_id)
+  UNION ALL SELECT parse_error FROM parsed2 WHERE parse_error IS NOT NULL)
+SELECT error, count(*) AS lines FROM errors GROUP BY error"""
+    q["run_summary"] = chain + ",\n" + _audit() + """,
+counted AS (
+  SELECT unnest([
+    {'counter': 'enriched_rows', 'value': (SELECT count(*) FROM enriched)},
+    {'counter': 'unknown_manufacturer', 'value': (SELECT count(*) FROM enriched WHERE manufacturer_unknown)},
+    {'counter': 'fraud_results_rows', 'value': (SELECT count(*) FROM results)},
+    {'counter': 'published_results', 'value': (SELECT count(*) FROM results)},
+    {'counter': 'flagged', 'value': (SELECT count(*) FROM results WHERE is_suspected_fraud)},
+    {'counter': 'quality_results_rows', 'value': (SELECT count(*) FROM quality)},
+    {'counter': 'published_quality', 'value': (SELECT count(*) FROM quality)},
+    {'counter': 'concerns', 'value': (SELECT count(*) FROM quality WHERE quality_score > 2.0)},
+    {'counter': 'quality_breakdown_rows', 'value': (SELECT count(*) FROM cat_bd) + (SELECT count(*) FROM sku_bd)},
+    {'counter': 'audit_appended', 'value': (SELECT count(*) FROM audit)}]) AS c)
+SELECT c.counter AS counter, c.value AS value, 'success' AS status, 'distance-v1' AS model_version FROM counted"""
+    q["results_sorted_by_manufacturer"] = chain + f"""
+SELECT claim_id, manufacturer_name FROM results ORDER BY manufacturer_name ASC NULLS LAST, claim_id LIMIT {2 * C.PAGE_SIZE}"""
+    q["results_by_date_and_manufacturer"] = chain + """
+SELECT claim_id, manufacturer_name, strftime(claim_date, '%Y-%m-%d') AS claim_date FROM results
+WHERE manufacturer_name = (SELECT min(manufacturer_name) FROM results)"""
+    q["quality_by_category"] = chain + """
+SELECT manufacturer_id, round(quality_score, 6) AS quality_score FROM quality q
+WHERE quality_score >= 0.0 AND EXISTS (SELECT 1 FROM cat_bd c WHERE c.manufacturer_id = q.manufacturer_id AND c.category = 'unknown')"""
+    q["sku_ranking"] = chain + "\nSELECT manufacturer_id, sku, claim_count, repair_count FROM sku_bd"
     q["export_rows"] = chain + "\nSELECT claim_id, round(fraud_score, 6) AS fraud_score, CAST(to_json(contributing_factors) AS VARCHAR) AS contributing_factors FROM results"
     return q

@@ -9,17 +9,30 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from ..config import DEFAULT_PAGE_SIZE
+from ..config import DEFAULT_PAGE_SIZE, MAX_PAGE_SIZE
 from ..operators import audit as A
 from ..operators import query as QY
 
 
 def _page(df: DataFrame, kind: str, filters: QY.ResultFilters | None, sort_by: str | None, sort_desc: bool,
           page: int, page_size: int) -> tuple[DataFrame, DataFrame]:
+    """Page ``page`` and its summary. The service's bound on a page's size holds here, not in
+    the operators; deep pages are asked for by keyset (``next_page``)."""
+    if not 1 <= page_size <= MAX_PAGE_SIZE:
+        raise ValueError(f"page_size must be in [1, {MAX_PAGE_SIZE}]")
     rows = QY.filter_results(df, filters or QY.ResultFilters(), kind)
     return QY.page_items(rows, page, page_size, kind, sort_by, sort_desc), QY.page_summary(rows, page, page_size)
 
 
+def next_page(df: DataFrame, kind: str, last_value, last_key, filters: QY.ResultFilters | None = None,
+              sort_by: str | None = None, sort_desc: bool = True, page_size: int = DEFAULT_PAGE_SIZE) -> DataFrame:
+    """The page after the row with this sort value and key, at the cost of one page however deep it is."""
+    if not 1 <= page_size <= MAX_PAGE_SIZE:
+        raise ValueError(f"page_size must be in [1, {MAX_PAGE_SIZE}]")
+    rows = QY.filter_results(df, filters or QY.ResultFilters(), kind)
+    return QY.page_after(rows, last_value, last_key, page_size, kind, sort_by, sort_desc)
+
+
 def get_fraud_results(results: DataFrame, filters: QY.ResultFilters | None = None, sort_by: str = "fraud_score",
                       sort_desc: bool = True, page: int = 1, page_size: int = DEFAULT_PAGE_SIZE):
     """(items, summary) of one page of claim results (no flag filter unless asked, D8)."""

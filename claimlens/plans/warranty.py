@@ -34,7 +34,7 @@ class Inputs:
 def view_inputs(spark: SparkSession, sf_dir: str) -> Inputs:
     """Warranty entities over the test tables, latest version per key."""
     return Inputs(
-        claims=views.claims(spark, sf_dir),
+        claims=latest_version(views.claims(spark, sf_dir), "claim_id", ["updated_at"]),
         contracts=latest_version(views.contracts(spark, sf_dir), "contract_id", ["updated_at"]),
         catalog=dedupe_catalog(views.sku_catalog(spark, sf_dir)),
     )

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import os
 import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -55,19 +57,31 @@ def is_local_master(master: str) -> bool:
     return master == "local" or master.startswith("local[")
 
 
-def tune_for_input(spark: SparkSession, input_bytes: int, target_bytes: int = 256 * 1024 * 1024) -> int:
-    """Shuffle width for an input of ``input_bytes``: about one partition per
-    ``target_bytes`` of input (never fewer than two per core), with AQE left to
-    coalesce small partitions and split skewed ones. Returns the width set.
+def suggested_conf(spark: SparkSession, input_bytes: int, target_bytes: int = 256 * 1024 * 1024) -> dict[str, str]:
+    """Session settings for an input of ``input_bytes``: a shuffle width of about one
+    partition per ``target_bytes`` (never fewer than two per core) and 128 MB splits.
 
-    Only applies when the cluster did not configure the width itself.
+    Only a suggestion: nothing is set, and what the cluster configured itself is left out.
     """
-    conf = spark.sparkContext.getConf()
-    if conf.contains("spark.sql.shuffle.partitions"):
-        return int(spark.conf.get("spark.sql.shuffle.partitions"))
     cores = spark.sparkContext.defaultParallelism
-    width = max(2 * cores, -(-input_bytes // target_bytes))
-    spark.conf.set("spark.sql.shuffle.partitions", str(width))
-    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(128 * 1024 * 1024))
-    spark.conf.set("spark.sql.files.maxPartitionBytes", str(128 * 1024 * 1024))
-    return width
+    split = str(128 * 1024 * 1024)
+    wanted = {
+        "spark.sql.shuffle.partitions": str(max(2 * cores, -(-input_bytes // target_bytes))),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": split,
+        "spark.sql.files.maxPartitionBytes": split,
+    }
+    given = spark.sparkContext.getConf()
+    return {k: v for k, v in wanted.items() if not given.contains(k)}
+
+
+@contextmanager
+def session_conf(spark: SparkSession, conf: dict[str, str]) -> Iterator[None]:
+    """Apply settings for the duration of a block and put the caller's back."""
+    before = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)

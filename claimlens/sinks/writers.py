@@ -8,11 +8,11 @@ import datetime as _dt
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ..config import SERVING_LIMIT
 from ..operators.audit import new_entries_only
-from ..operators.ingest import with_partition_date
+from ..operators.ingest import run_partition
 from ..operators.query import export_rows, serving_extract
 from ..schemas import AUDIT_ENTRY, MODEL_MANIFEST
+from ..sources.storage import delete_path, read_if_exists
 
 
 def _observed(df: DataFrame, name: str, **metrics) -> tuple[DataFrame, Observation]:
@@ -21,27 +21,54 @@ def _observed(df: DataFrame, name: str, **metrics) -> tuple[DataFrame, Observati
     return df.observe(obs, *exprs), obs
 
 
-def write_partitioned(df: DataFrame, base: str, dt: str, **metrics) -> dict:
-    """K1: overwrite only partition ``dt=<dt>`` under ``base``; returns counters."""
-    out, obs = _observed(with_partition_date(df, dt), "partitioned", **metrics)
+def write_partitioned(df: DataFrame, base: str, dt: str, run_id: str = "full", **metrics) -> dict:
+    """K1: write partition ``dt=<dt>/run_id=<run_id>`` under ``base``; returns counters.
+
+    Only that partition is replaced, so a repeated run is idempotent and a second run on
+    the same day adds to the first (D4); readers take the latest version per key.
+    """
+    out, obs = _observed(run_partition(df, dt, run_id), "partitioned", **metrics)
     (
         out.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("dt")
+        .partitionBy("dt", "run_id")
         .parquet(base)
     )
     return dict(obs.get)
 
 
-def append_retry(df: DataFrame, path: str) -> int:
-    """K2: append claims to the retry queue (nothing written when empty)."""
-    if df.isEmpty():
-        return 0
+def write_current(df: DataFrame, path: str, dt: str, **metrics) -> dict:
+    """K1 for a table that is rebuilt in full: the one current copy, stamped with its ``dt``."""
+    out, obs = _observed(df.drop("dt", "run_id").withColumn("dt", F.lit(dt)), "current", **metrics)
+    out.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("dt").parquet(path)
+    return dict(obs.get)
+
+
+def write_quarantine(bad: DataFrame, reason: str, base: str, entity: str, dt: str, run_id: str) -> int:
+    """Rows that cannot be used, kept as JSON text with the reason; returns their number."""
+    rows = bad.select(
+        F.lit(entity).alias("entity"), F.lit(reason).alias("reason"),
+        F.to_json(F.struct(*[F.col(c) for c in bad.columns])).alias("record"),
+    )
+    return write_partitioned(rows, f"{base}/{entity}/{reason}", dt, run_id)["rows"]
+
+
+def append_retry(df: DataFrame, path: str, keys: tuple[str, ...] = ("claim_id", "updated_at")) -> int:
+    """K2: append the claim versions that are not queued yet; returns rows queued."""
+    queued = read_if_exists(df.sparkSession, path)
+    if queued is not None:
+        same = [F.col(f"n.{k}").eqNullSafe(F.col(f"q.{k}")) for k in keys if k in df.columns]
+        df = df.alias("n").join(queued.alias("q"), same, "left_anti")
     out, obs = _observed(df, "retry")
     out.write.mode("append").parquet(path)
     return obs.get["rows"]
 
 
+def clear_retry(spark: SparkSession, path: str) -> None:
+    """Empty the retry queue once its claims are stored elsewhere."""
+    delete_path(spark, path)
+
+
 def write_parquet(df: DataFrame, path: str) -> int:
     """K3: overwrite a Parquet table; returns rows written."""
     out, obs = _observed(df, "parquet")
@@ -62,33 +89,44 @@ def write_training_csv(features: DataFrame, path: str) -> int:
 
 
 def write_fraud_results(results: DataFrame, path: str, serving_path: str | None = None,
-                        serving_limit: int = SERVING_LIMIT) -> int:
-    """K6: all results as JSON lines; optional serving extract = top-n by score."""
+                        serving_limit: int | None = None) -> int:
+    """K6: all results as JSON lines. Results are served from this full table; a top-n
+    report by score is written only where the caller names its path and its n."""
+    if serving_path and serving_limit is None:
+        raise ValueError("a serving extract is a top-n report: give serving_limit")
     out, obs = _observed(results, "fraud", flagged=F.count_if(F.col("is_suspected_fraud")))
     out.write.mode("overwrite").option("ignoreNullFields", False).json(path)
     if serving_path:
-        serving_extract(results, "fraud", serving_limit).write.mode("overwrite").option(
+        serving_extract(results, serving_limit).write.mode("overwrite").option(
             "ignoreNullFields", False
         ).json(serving_path)
     return obs.get["rows"]
 
 
-def write_quality_results(quality: DataFrame, path: str) -> int:
-    """K7: quality results as JSON lines."""
+def write_quality_results(quality: DataFrame, path: str, breakdown: DataFrame | None = None,
+                          breakdown_path: str | None = None) -> int:
+    """K7: quality records as JSON lines, and the complete breakdown (one line per
+    manufacturer and key) beside them."""
     out, obs = _observed(quality, "quality", concerns=F.count_if(F.col("is_quality_concern")))
     out.write.mode("overwrite").option("ignoreNullFields", False).json(path)
+    if breakdown is not None:
+        breakdown.write.mode("overwrite").option("ignoreNullFields", False).json(breakdown_path)
     return obs.get["rows"]
 
 
 def append_audit(spark: SparkSession, entries: DataFrame, path: str) -> int:
-    """K8: append entries not yet in the log (idempotent); unreadable log = empty."""
-    try:
-        existing = spark.read.schema(AUDIT_ENTRY).parquet(path)
-        existing.limit(1).count()
-    except Exception:  # missing or unreadable log starts fresh, like the reference
-        existing = None
+    """K8: append entries not yet in the log (idempotent).
+
+    A missing log starts fresh; a log that cannot be read is an error, or its entries
+    would be appended again. The log is partitioned by model version, and only the
+    partitions of the new entries' versions (a handful) are read for the comparison.
+    """
+    existing = read_if_exists(spark, path, AUDIT_ENTRY)
+    if existing is not None:
+        versions = [r[0] for r in entries.select("model_version").distinct().collect()]
+        existing = existing.filter(F.col("model_version").isin([v for v in versions if v is not None]))
     fresh, obs = _observed(new_entries_only(entries, existing), "audit")
-    fresh.write.mode("append").parquet(path)
+    fresh.write.mode("append").partitionBy("model_version").parquet(path)
     return obs.get["rows"]
 
 

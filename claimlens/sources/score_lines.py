@@ -12,6 +12,20 @@ def read_score_lines(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path).withColumn("source", F.col("_metadata.file_path"))
 
 
+def key_score_lines(lines: DataFrame, sep: str = ",", value_col: str = "value") -> DataFrame:
+    """Adds ``claim_id`` to score lines and leaves the score itself in ``value``.
+
+    A line is ``claim_id<sep>score`` (the score in any shape of ``parse_score_lines``) or a JSON
+    object with a ``claim_id`` of its own. A line without a key has a null one.
+    """
+    v = F.trim(F.col(value_col))
+    is_object = v.startswith("{")
+    at = F.locate(sep, v)
+    key = F.when(is_object, F.get_json_object(v, "$.claim_id")).when(at > 0, F.trim(F.substring(v, F.lit(1), at - 1)))
+    score = F.when(is_object | (at == 0), v).otherwise(F.substring(v, at + len(sep), F.length(v)))
+    return lines.withColumn("claim_id", F.when(key != "", key)).withColumn(value_col, score)
+
+
 def _json_score(obj: Column) -> Column:
     """Score text from a parsed object: ``score``, else ``anomaly_score``, else "0"."""
     return (
@@ -25,7 +39,8 @@ def parse_score_lines(lines: DataFrame, value_col: str = "value") -> DataFrame:
     """Adds ``raw_score`` and ``parse_error``; blank lines are dropped.
 
     A line is bad when it is not a number, is broken JSON, or its score is
-    JSON ``null`` or not numeric (D14: one bad line never discards the rest).
+    JSON ``null``, not numeric or not finite (D14: one bad line never discards the
+    rest; a NaN would make every normalised score one).
     """
     v = F.trim(F.col(value_col))
     is_object = v.startswith("{")
@@ -34,10 +49,13 @@ def parse_score_lines(lines: DataFrame, value_col: str = "value") -> DataFrame:
     valid_json = obj.isNotNull()
     json_text = F.when(is_object & valid_json, _json_score(obj))
     score = F.when(is_object, json_text.try_cast("double")).otherwise(v.try_cast("double"))
+    finite = ~F.isnan(score) & (F.abs(score) != F.lit(float("inf")))
     error = (
         F.when(is_object & ~valid_json, F.lit("invalid json"))
         .when(score.isNull(), F.lit("not a number"))
+        .when(~finite, F.lit("not finite"))
     )
+    score = F.when(finite, score)
     return (
         lines.filter(v != "")
         .withColumn("raw_score", score)

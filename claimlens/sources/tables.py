@@ -4,28 +4,30 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .storage import stored_bytes
+
 TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem",
     "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
 )
 
 
-def read_table(spark: SparkSession, base_dir: str, name: str) -> DataFrame:
-    """Scan ``<base_dir>/<name>.parquet``, spread over the cluster if under-split."""
-    return spread(spark.read.parquet(f"{base_dir.rstrip('/')}/{name}.parquet"))
+# tables below this many stored bytes are dealt over the cores after their scan
+SPREAD_BYTES = 64 * 1024 * 1024
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Give a scan at least one partition per core.
+def read_table(spark: SparkSession, base_dir: str, name: str) -> DataFrame:
+    """Scan ``<base_dir>/<name>.parquet``; a small table is dealt over all cores.
 
-    A file with one row group is read by one task, and every narrow step after
-    it (projections, broadcast joins) would run in that task. Large inputs have
-    far more splits than cores, so for them this is a no-op and adds no shuffle.
+    A small file is one row group, so one task would run every narrow step after the
+    scan. The bound is on stored bytes (a listing, no job), so at most SPREAD_BYTES are
+    ever moved for this; larger tables have splits of their own.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
+    path = f"{base_dir.rstrip('/')}/{name}.parquet"
+    df = spark.read.parquet(path)
+    if stored_bytes(spark, path) > SPREAD_BYTES:
         return df
-    return df.repartition(cores)
+    return df.repartition(spark.sparkContext.defaultParallelism)
 
 
 def read_partitioned(spark: SparkSession, path: str, dt: str | None = None) -> DataFrame:

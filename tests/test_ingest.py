@@ -28,6 +28,30 @@ def test_latest_version_per_key(spark):
     assert out == {"c1": "new", "c2": "only"}
 
 
+def test_latest_version_ties_nulls_and_null_keys(spark):
+    rows = [
+        ("a", dt.datetime(2024, 1, 1), "x"), ("a", dt.datetime(2024, 1, 1), "y"), ("a", dt.datetime(2023, 1, 1), "z"),
+        ("b", None, "p"), ("b", None, "q"), ("c", None, "old"), ("c", dt.datetime(2024, 1, 1), "new"),
+        ("d", dt.datetime(2024, 1, 1), "same"), ("d", dt.datetime(2024, 1, 1), "same"), ("e", dt.datetime(2024, 1, 1), None),
+        (None, dt.datetime(2024, 1, 1), "n1"), (None, dt.datetime(2024, 1, 2), "n2"), (None, dt.datetime(2024, 1, 2), "n2"),
+    ]
+    df = spark.createDataFrame(rows, "k string, updated_at timestamp, v string")
+    got = sorted(((r.k or "", r.v or "") for r in latest_version(df, "k", ["updated_at"]).collect()))
+    assert got == [("", "n1"), ("", "n2"), ("", "n2"), ("a", "y"), ("b", "q"), ("c", "new"), ("d", "same"), ("e", "")]
+    assert latest_version(df.limit(0), "k", ["updated_at"]).collect() == []
+
+
+def test_header_in_another_order_is_an_error(spark):
+    import pytest
+
+    folder = tempfile.mkdtemp(prefix="claimlens-csv-")
+    path = os.path.join(folder, "sku_catalog.csv")
+    with open(path, "w") as fh:
+        fh.write("manufacturer_id,sku,manufacturer_name,product_category,product_name\nM1,SKU1,Acme,electronics,p\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        read_entity_csv(spark, path, "sku_catalog").collect()
+
+
 def test_csv_with_schema_keeps_corrupt_rows(spark):
     folder = tempfile.mkdtemp(prefix="claimlens-csv-")
     path = os.path.join(folder, "claims.csv")

@@ -46,7 +46,7 @@ def test_concurrent_stage_builds_once(spark):
         return spark.range(10)
 
     out = []
-    threads = [threading.Thread(target=lambda: out.append(stage(spark, "mem://x", "t", build).count())) for _ in range(3)]
+    threads = [threading.Thread(target=lambda: out.append(stage(spark, "file:///no/such/input", "t", build).count())) for _ in range(3)]
     for t in threads:
         t.start()
     for t in threads:
@@ -54,8 +54,71 @@ def test_concurrent_stage_builds_once(spark):
     assert out == [10, 10, 10] and len(calls) == 1
 
 
-def test_tune_for_input_respects_cluster_setting(spark):
-    from claimlens.session import tune_for_input
+def test_suggested_conf_is_only_a_suggestion(spark):
+    from claimlens.session import session_conf, suggested_conf
 
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    conf = suggested_conf(spark, 10**15)
     # the test session configured its width explicitly, so it is kept
-    assert tune_for_input(spark, 10**15) == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert "spark.sql.shuffle.partitions" not in conf and conf
+    assert spark.conf.get("spark.sql.files.maxPartitionBytes") == before
+    with session_conf(spark, {"spark.sql.files.maxPartitionBytes": "7m", "spark.claimlens.test": "x"}):
+        assert spark.conf.get("spark.sql.files.maxPartitionBytes") == "7m"
+    assert spark.conf.get("spark.sql.files.maxPartitionBytes") == before and spark.conf.get("spark.claimlens.test", None) is None
+
+
+def test_latest_version_has_no_sort_aggregate(spark, sf_small):
+    from claimlens.operators.ingest import latest_version
+
+    plan = latest_version(C.contract_versions(spark, sf_small), "contract_id", ["updated_at"])
+    plan.collect()
+    assert "SortAggregate" not in _plan(plan)
+
+
+def test_scaler_queries_read_staged_statistics(spark, sf_small):
+    for q in (C.q_standard_scale, C.q_inverse_scale, C.q_scaler_params, C.q_impute_median):
+        text = _plan(q(spark, sf_small))
+        assert "Exchange hashpartitioning(name" not in text and "percentile_approx" not in text
+
+
+def test_deep_page_by_keyset_is_one_small_topk(spark, sf_small):
+    from claimlens.operators import query as QY
+
+    page = QY.page_after(C._results(spark, sf_small), 0.2, "CLAIM", 50)
+    assert "limit=50," in _plan(page).replace(" ", "")
+
+
+def test_changed_input_is_another_stage(spark, tmp_path):
+    from claimlens.plans.stages import forget, stage, stage_root
+    from claimlens.sources.storage import path_exists
+
+    folder = str(tmp_path / "in")
+    spark.range(3).write.parquet(folder)
+    read = lambda: stage(spark, folder, "copy", lambda: spark.read.parquet(folder)).count()
+    assert read() == 3
+    spark.range(4).write.mode("append").parquet(folder)
+    assert read() == 7
+    assert path_exists(spark, stage_root(spark))
+
+
+def test_no_machine_local_folder_on_a_cluster(spark, monkeypatch):
+    import pytest
+
+    from claimlens import session
+
+    assert session.is_local_master("local[8]") and not session.is_local_master("local-cluster[3,2,3000]")
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Cluster:
+        sparkContext = Context()
+
+        class conf:
+            get = staticmethod(lambda key, default=None: default)
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        session.ensure_checkpoint_dir(Cluster())

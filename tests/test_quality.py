@@ -64,4 +64,13 @@ def test_quality_results_nested_maps(spark):
     m1 = out["M1"]
     assert set(m1.product_category_breakdown) == {"electronics", "unknown"}
     assert m1.product_category_breakdown["electronics"].claim_count == 2
-    assert m1.sku_breakdown["S1"].repair_count == 2
+    assert m1.top_skus["S1"].repair_count == 2
+
+
+def test_breakdown_is_complete_beyond_the_report(spark):
+    rows = [(str(i), "M1", "One", "repair", f"cat{i % 40}", f"S{i}", 0.5) for i in range(300)]
+    res = _results(spark, rows)
+    record = Q.quality_results(res, "v1", "2025-01-01 00:00:00", top_k=3).first()
+    assert len(record.top_skus) == 3 and len(record.product_category_breakdown) == 40
+    counts = {r.kind: r["count"] for r in Q.quality_breakdown(res).groupBy("kind").count().collect()}
+    assert counts == {"category": 40, "sku": 300}

@@ -52,7 +52,59 @@ def test_sort_and_page(fraud):
     with pytest.raises(ValueError):
         QY.page_items(fraud, 0, 10)
     with pytest.raises(ValueError):
-        QY.page_items(fraud, 1, 501)
+        QY.page_items(fraud, 1, 0)
+    assert QY.page_items(fraud, 1, 100_000).count() == 3  # the bound on a page is the service's
+    from claimlens.plans import results_api as API
+
+    with pytest.raises(ValueError):
+        API.get_fraud_results(fraud, page_size=501)
+
+
+def test_sort_by_any_column_with_missing_values_last(spark):
+    rows = [("C1", None, None, 0.1), ("C2", "Beta", dt.date(2024, 1, 2), None), ("C3", "Acme", dt.date(2024, 1, 3), 0.3), ("C4", "Acme", None, -0.2)]
+    df = spark.createDataFrame(rows, "claim_id string, manufacturer_name string, claim_date date, fraud_score double")
+    order = lambda by, down: [r.claim_id for r in QY.sort_results(df, sort_by=by, descending=down).collect()]
+    assert order("manufacturer_name", False) == ["C3", "C4", "C2", "C1"]
+    assert order("manufacturer_name", True) == ["C2", "C3", "C4", "C1"]
+    assert order("claim_date", True) == ["C3", "C2", "C1", "C4"]
+    assert order("fraud_score", True) == ["C3", "C1", "C2", "C4"]  # a missing number counts as 0
+    assert order("no_such_column", True) == ["C1", "C2", "C3", "C4"]
+
+
+def test_keyset_pages_walk_all_rows_in_order(spark):
+    rows = [(f"C{i:02d}", [None, "A", "B", "B"][i % 4], float(i % 3)) for i in range(23)]
+    df = spark.createDataFrame(rows, "claim_id string, manufacturer_name string, fraud_score double")
+    for by, down in (("manufacturer_name", False), ("manufacturer_name", True), ("fraud_score", True), (None, False)):
+        whole = [tuple(r) for r in QY.sort_results(df, sort_by=by, descending=down).collect()]
+        column = {"manufacturer_name": 1}.get(by, 2)
+        page = QY.page_items(df, 1, 5, sort_by=by, descending=down).collect()
+        seen = []
+        while page:
+            seen += [tuple(r) for r in page]
+            page = QY.page_after(df, page[-1][column], page[-1].claim_id, 5, sort_by=by, descending=down).collect()
+        assert seen == whole
+
+
+def test_fixed_text_of_negative_and_large_numbers(spark):
+    from pyspark.sql import functions as F
+
+    from claimlens.functions.text import fixed
+
+    df = spark.createDataFrame([(-12.34,), (-0.5,), (0.004,), (-0.004,), (7.0,), (None,), (90071992547409.92,)], "x double")
+    got = [r[0] for r in df.select(fixed(F.col("x"), 2)).collect()]
+    assert got == ["-12.34", "-0.50", "0.00", "0.00", "7.00", None, "90071992547409.92"]
+    assert [r[0] for r in df.limit(2).select(fixed(F.col("x"), 0)).collect()] == ["-12", "-1"]
+
+
+def test_review_texts_have_data_and_instruction(fraud):
+    from pyspark.sql import functions as F
+
+    rows = fraud.withColumns({c: F.lit("x") for c in ("claim_type", "status", "description", "contract_id", "sku")}).withColumns(
+        {"claim_date": F.to_date(F.lit("2024-06-15")), "claim_amount": F.lit(-3.5)}
+    )
+    got = QY.fraud_prompts(rows).collect()
+    assert [r.claim_id for r in got] == ["CLAIM-00001"]
+    assert "CLAIM-00001" in got[0].prompt and "-3.50" in got[0].prompt and "0.8500" in got[0].prompt and len(got[0].instruction) > 50
 
 
 def test_bounds_and_lookup(fraud):

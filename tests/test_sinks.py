@@ -23,12 +23,61 @@ def test_partitioned_overwrite_keeps_other_days(spark):
     assert counts == {"2024-01-01": 1, "2024-01-02": 1}
 
 
-def test_retry_append_skips_empty(spark):
+def test_same_day_runs_add_up_and_a_repeated_run_replaces_itself(spark):
+    base = os.path.join(_tmp(), "claims")
+    df = spark.createDataFrame([("a", 1), ("b", 2)], "claim_id string, v int")
+    K.write_partitioned(df, base, "2024-01-01", "run1")
+    K.write_partitioned(df.limit(1), base, "2024-01-01", "run2")
+    K.write_partitioned(df, base, "2024-01-01", "run1")
+    assert spark.read.parquet(base).count() == 3
+
+
+def test_retry_queue_takes_each_claim_version_once(spark):
     path = os.path.join(_tmp(), "retry")
-    df = spark.createDataFrame([("a",)], "claim_id string")
+    rows = [("a", dt.datetime(2025, 1, 1)), ("b", None)]
+    df = spark.createDataFrame(rows, "claim_id string, updated_at timestamp")
     assert K.append_retry(df.limit(0), path) == 0
-    assert K.append_retry(df, path) == 1 and K.append_retry(df, path) == 1
-    assert spark.read.parquet(path).count() == 2
+    assert K.append_retry(df, path) == 2 and K.append_retry(df, path) == 0
+    newer = spark.createDataFrame([("a", dt.datetime(2025, 1, 2))], "claim_id string, updated_at timestamp")
+    assert K.append_retry(newer.unionByName(df), path) == 1
+    assert spark.read.parquet(path).count() == 3
+    K.clear_retry(spark, path)
+    assert K.append_retry(df, path) == 2
+
+
+def test_unreadable_log_is_an_error_not_an_empty_log(spark):
+    import pytest
+
+    path = os.path.join(_tmp(), "audit")
+    os.makedirs(path)
+    with open(os.path.join(path, "part-0.parquet"), "w") as fh:
+        fh.write("not parquet at all")
+    row = ("fraud_flag", "claim", "C1", "v1", 0.9, (["claim_amount"], 0.7, None, None, None), dt.datetime(2025, 1, 1))
+    with pytest.raises(Exception):
+        K.append_audit(spark, spark.createDataFrame([row], AUDIT_ENTRY), path)
+    assert os.listdir(path) == ["part-0.parquet"]
+
+
+def test_serving_extract_needs_its_n(spark):
+    import pytest
+
+    df = spark.createDataFrame([("C1", 0.9, True)], "claim_id string, fraud_score double, is_suspected_fraud boolean")
+    with pytest.raises(ValueError):
+        K.write_fraud_results(df, os.path.join(_tmp(), "json"), os.path.join(_tmp(), "serving"))
+
+
+def test_newest_model_or_an_error(spark):
+    import pytest
+
+    from claimlens.sources.files import latest_model
+
+    folder = _tmp()
+    with pytest.raises(FileNotFoundError):
+        latest_model(spark, folder)
+    for name, month in (("m1", 3), ("m2", 2)):
+        K.write_manifest(spark, os.path.join(folder, name, "manifest"), f"job-{name}", f"{folder}/{name}/nodes", 1.0, 10, 100, 256, 12,
+                         dt.datetime(2025, month, 1, tzinfo=dt.timezone.utc))
+    assert latest_model(spark, folder) == (f"{folder}/m1/nodes", "job-m1")
 
 
 def test_training_csv_has_no_header_or_id(spark):
