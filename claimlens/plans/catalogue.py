@@ -463,6 +463,31 @@ def q_forest_scores(spark, sf):
                                        r6("fraud_score").alias("fraud_score"), "is_suspected_fraud")
 
 
+# A stored forest over the three scaled continuous features, to check the scorer by: fixed values.
+# (tree_id, node_id, dim, cut, left, right, mass, box_min, box_max)
+FIXED_FOREST = (
+    (0, 0, 0, 0.5, 1, 2, 8, (-1.5, -1.0, -2.0), (2.5, 1.5, 1.0)),
+    (0, 1, 1, -0.25, 3, 4, 6, (-1.5, -1.0, -2.0), (0.25, 1.5, 1.0)),
+    (0, 2, -1, 0.0, -1, -1, 2, (0.75, 0.0, -0.5), (2.5, 0.75, 0.5)),
+    (0, 3, -1, 0.0, -1, -1, 2, (-1.0, -1.0, -2.0), (0.0, -0.5, 0.0)),
+    (0, 4, -1, 0.0, -1, -1, 4, (-1.5, 0.0, -1.0), (0.25, 1.5, 1.0)),
+    (1, 0, 2, 0.0, 1, 2, 8, (-2.0, -1.5, -1.5), (1.5, 2.0, 2.0)),
+    (1, 1, -1, 0.0, -1, -1, 5, (-2.0, -1.5, -1.5), (1.0, 1.0, -0.25)),
+    (1, 2, 1, 0.75, 3, 4, 3, (-0.5, 0.0, 0.5), (1.5, 2.0, 2.0)),
+    (1, 3, -1, 0.0, -1, -1, 1, (0.5, 0.0, 0.5), (0.5, 0.0, 0.5)),
+    (1, 4, -1, 0.0, -1, -1, 2, (-0.5, 1.0, 1.0), (1.5, 2.0, 2.0)),
+)
+
+
+def q_forest_scores_fixed(spark, sf):
+    """M2 + M4: every claim scored by a stored node table (SQL walks the same table)."""
+    from ..operators.forest import NODE_SCHEMA, score_forest
+
+    nodes = spark.createDataFrame([(*n[:7], list(n[7]), list(n[8])) for n in FIXED_FOREST], NODE_SCHEMA)
+    rows = _features(spark, sf).frame.select("claim_id", *CONTINUOUS_FEATURES)
+    return score_forest(rows, nodes, CONTINUOUS_FEATURES).select("claim_id", r6("raw_score").alias("raw_score"))
+
+
 def q_streaming_ingest(spark, sf):
     """Claims delivered as files in two runs of a stream. The first delivery has the newer
     half; the second brings the older half late, and the first half's claims updated."""
@@ -638,6 +663,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "quality_results": q_quality_results,
     "audit_trail": q_audit_trail,
     "forest_scores": q_forest_scores,
+    "forest_scores_fixed": q_forest_scores_fixed,
     "streaming_ingest": q_streaming_ingest,
     "claims_redelivered": q_claims_redelivered,
     "ingest_two_runs_same_day": q_ingest_two_runs_same_day,

@@ -184,6 +184,23 @@ parsed2 AS (
   FROM parsed)"""
 
 
+def _fixed_forest() -> str:
+    lists = lambda v: "[" + ", ".join(f"CAST({a} AS DOUBLE)" for a in v) + "]"
+    return ", ".join(
+        f"({t}, {n}, {dim}, CAST({cut} AS DOUBLE), {left}, {right}, {mass}, {lists(lo)}, {lists(hi)})"
+        for t, n, dim, cut, left, right, mass, lo, hi in C.FIXED_FOREST
+    )
+
+
+def _extent() -> str:
+    """How far a point lies outside a node's box, over all dimensions."""
+    return "(" + " + ".join(f"greatest(n.lo[{i}] - w.x[{i}], 0) + greatest(w.x[{i}] - n.hi[{i}], 0)" for i in (1, 2, 3)) + ")"
+
+
+def _span() -> str:
+    return "(" + " + ".join(f"(n.hi[{i}] - n.lo[{i}])" for i in (1, 2, 3)) + ")"
+
+
 def oracle_sql() -> dict[str, str]:
     chain = _chain()
     r6 = lambda c: f"round({c}, 6) AS {c}"
@@ -348,6 +365,23 @@ FROM quality q JOIN rows r ON q.manufacturer_id = r.manufacturer_id"""
     q["audit_trail"] = chain + ",\n" + _audit() + """
 SELECT q.manufacturer_id, a.event_type, a.score AS audited_score
 FROM quality q LEFT JOIN audit a ON a.entity_type = 'manufacturer' AND a.entity_id = q.manufacturer_id"""
+    q["forest_scores_fixed"] = "WITH RECURSIVE" + chain.removeprefix("WITH") + f""",
+nodes(tree_id, node_id, dim, cut, lft, rgt, mass, lo, hi) AS (VALUES {_fixed_forest()}),
+walk AS (
+  SELECT claim_id, [{", ".join(_CT)}] AS x, tree_id, 0 AS node_id, CAST(1 AS DOUBLE) AS pi, CAST(0 AS DOUBLE) AS r,
+    CAST(0 AS DOUBLE) AS s, false AS done
+  FROM scaled, (SELECT DISTINCT tree_id FROM nodes)
+  UNION ALL
+  SELECT claim_id, x, tree_id, next_id, pi * (1 - p), CASE WHEN leaf THEN r ELSE greatest(r, sib_mass / (next_mass + 1.0)) END,
+    s + pi * p * greatest(r, mass) + CASE WHEN leaf THEN pi * (1 - p) * r ELSE 0 END, leaf
+  FROM (
+    SELECT w.*, n.mass, n.dim < 0 AS leaf, c.node_id AS next_id, c.mass AS next_mass, b.mass AS sib_mass,
+      CASE WHEN {_extent()} = 0 THEN 0.0 ELSE {_extent()} / ({_extent()} + {_span()}) END AS p
+    FROM walk w JOIN nodes n ON n.tree_id = w.tree_id AND n.node_id = w.node_id
+    LEFT JOIN nodes c ON c.tree_id = n.tree_id AND c.node_id = CASE WHEN w.x[n.dim + 1] <= n.cut THEN n.lft ELSE n.rgt END
+    LEFT JOIN nodes b ON b.tree_id = n.tree_id AND b.node_id = CASE WHEN w.x[n.dim + 1] <= n.cut THEN n.rgt ELSE n.lft END
+    WHERE NOT w.done))
+SELECT claim_id, round(avg(s), 6) AS raw_score FROM walk WHERE done GROUP BY claim_id"""
     q["streaming_ingest"] = f"WITH {sql_views()}\nSELECT claim_id, true AS as_delivered FROM claims"
     q["claims_redelivered"] = chain + "\nSELECT manufacturer_id, total_claims, repair_count FROM rollup"
     q["ingest_two_runs_same_day"] = f"""WITH {sql_views()},
