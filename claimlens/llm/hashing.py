@@ -5,9 +5,12 @@ from __future__ import annotations
 from functools import lru_cache
 
 import numpy as np
-from pyspark.sql import Column
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import stored
+
 SLICE_CHARS = 1 << 19  # characters whose n-grams are held at once
 
 
@@ -16,6 +19,37 @@ def remainder_of_id(id_column: Column, modulus: int) -> Column:
     return F.crc32(id_column.cast("string").cast("binary")) % modulus
 
 
+def sampled_rows(rows: DataFrame, per_label: int, most: int, seed: int) -> DataFrame:
+    """At most ``per_label`` rows of each ``label``, ``most`` in all, by a seeded hash of ``key``.
+
+    Two passes: counts per label give each label the hash bound below which about four times
+    ``per_label`` rows lie; only those rows are ranked. So what is shuffled follows from
+    ``per_label`` and not from the number of rows or tasks. Copies of a text have keys of their own.
+    """
+    counts, _ = stored(rows.groupBy("label").agg(F.count("*").alias("in_label")), "labels")
+    at = F.xxhash64("key", F.lit(seed))
+    share = at / F.lit(2.0**64) + 0.5  # of the hash range, 0 to 1
+    near = rows.withColumn("at", at).join(counts, "label").where(share <= F.lit(4.0 * per_label) / F.col("in_label"))
+    order = Window.partitionBy("label").orderBy("at", "key")
+    return (
+        near.withColumn("n", F.row_number().over(order)).where(F.col("n") <= per_label)
+        .orderBy("n", "at", "label").limit(most).drop("key", "in_label", "n")
+    )
+
+
+def bags(column: pa.ChunkedArray) -> list[list[tuple[np.ndarray, np.ndarray]]]:
+    """Rows of ``array<struct<bucket: array<int>, share: array<float>>>`` as views of Arrow's buffers."""
+    out = []
+    for chunk in column.chunks:
+        outer, items = np.asarray(chunk.offsets), chunk.values
+        bucket, share = items.field("bucket"), items.field("share")
+        cuts = np.asarray(bucket.offsets)
+        buckets, shares = np.asarray(bucket.values), np.asarray(share.values)
+        cells = [(buckets[a:b], shares[a:b]) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+        out += [cells[a:b] for a, b in zip(outer[:-1], outer[1:], strict=True)]
+    return out
+
+
 def code_points(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """(code points of all texts end to end, offsets of the texts)."""
     points = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), "<u4")

@@ -15,11 +15,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import fresh
-from .hashing import code_points, gram_buckets, remainder_of_id, runs_of_chars, segment_sums, words_of
+from .hashing import bags, code_points, gram_buckets, remainder_of_id, runs_of_chars, sampled_rows, segment_sums, words_of
 
 GRAMS = (2, 3, 4)
 BITS = 15
@@ -92,21 +92,6 @@ def _features(texts: pd.Series, window_chars: int) -> pd.Series:
     return pd.Series(out, index=texts.index)
 
 
-def sampled_rows(labelled: DataFrame, per_label: int, most: int, seed: int) -> DataFrame:
-    """At most ``per_label`` rows of each ``label``, ``most`` in all, by a seeded hash of the text.
-
-    A group-limited window per label: a label with a third of all rows costs ``per_label`` rows a task.
-    """
-    order = Window.partitionBy("label").orderBy("at", "text")
-    return (
-        labelled.select("label", "text", F.xxhash64("text", F.lit(seed)).alias("at"))
-        .withColumn("n", F.row_number().over(order))
-        .where(F.col("n") <= per_label)
-        .orderBy("n", "at", "label")
-        .limit(most)
-    )
-
-
 def _descend(x: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, classes: int, dims: int, epochs: int, rate: float, rng) -> tuple:
     """SGD over the average embedding and the softmax; batches are dense, so every step is a few products."""
     embedding = rng.uniform(-1 / dims, 1 / dims, ((1 << BITS) + 1, dims)).astype(np.float32)
@@ -136,7 +121,7 @@ def _descend(x: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, classes: int
 
 
 def fit_language_model(
-    docs: DataFrame, learn: Column, text_col: str = "text", label_col: str = "lang", per_label: int = 500, most: int = 4000,
+    docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str = "text", label_col: str = "lang", per_label: int = 500, most: int = 4000,
     window_chars: int = 2048, dims: int = 16, epochs: int = 10, rate: float = 2.0, false_rejects: float = 0.0005, seed: int = 5,
 ) -> LanguageModel:
     """Learn from rows where ``learn`` holds, with a label and a letter in the text.
@@ -148,23 +133,26 @@ def fit_language_model(
     Without labelled rows the model knows no language.
     """
     text, label = F.col(f"`{text_col}`").cast("string"), F.col(f"`{label_col}`").cast("string")
-    labelled = docs.where(learn & label.isNotNull() & text.rlike(r"\p{L}")).select(label.alias("label"), text.alias("text"))
+    key = F.concat_ws("|", F.col(f"`{id_col}`").cast("string"), F.md5(text))  # the draw's, never the model's
+    labelled = docs.where(learn & label.isNotNull() & text.rlike(r"\p{L}")).select(label.alias("label"), text.alias("text"), key.alias("key"))
 
     @F.pandas_udf("array<struct<bucket:array<int>,share:array<float>>>")
     def features(texts):
         return _features(texts, window_chars)
 
-    rows = sampled_rows(labelled, per_label, most, seed).select("label", features("text").alias("x"), F.pmod(F.col("at"), F.lit(5)).alias("part")).toArrow().to_pylist()
-    labels = tuple(sorted({r["label"] for r in rows}))
+    drawn = sampled_rows(labelled, per_label, most, seed)
+    rows = drawn.select("label", F.pmod(F.col("at"), F.lit(5)).alias("part"), features("text").alias("x")).toArrow()
+    names, parts = rows.column("label").to_pylist(), rows.column("part").to_pylist()
+    labels = tuple(sorted(set(names)))
     if not labels:
         return LanguageModel((), np.zeros(((1 << BITS) + 1, 0), np.float32), np.zeros(0, np.float32), 1.0, 0.0)
     x, y, held = [], [], []
-    for r in rows:
-        for w in r["x"]:
-            if w["bucket"]:
-                x.append((np.array(w["bucket"]), np.array(w["share"], np.float32)))
-                y.append(labels.index(r["label"]))
-                held.append(r["part"] == 0)
+    for name, part, windows in zip(names, parts, bags(rows.column("x")), strict=True):
+        for window in windows:
+            if len(window[0]):
+                x.append(window)
+                y.append(labels.index(name))
+                held.append(part == 0)
     y, held = np.array(y), np.array(held)
     if held.all() or not held.any():
         held[:] = False
@@ -208,7 +196,7 @@ def identify_language(
     read. An empty table gives no rows.
     """
     rest = remainder_of_id(F.col(f"`{id_col}`"), modulus)
-    model = fit_language_model(docs, rest != held_out, text_col, label_col, **fit)
+    model = fit_language_model(docs, rest != held_out, id_col, text_col, label_col, **fit)
     return docs.select(
         F.col(f"`{id_col}`").alias("doc_id"), F.coalesce(rest == held_out, F.lit(False)).alias("held_out"),
         language_column(model, F.col(f"`{text_col}`")).alias("found"),
@@ -219,7 +207,7 @@ def keep_identified(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "lang", modulus: int = 4, held_out: int = 2, **fit
 ) -> DataFrame:
     """The rows of ``docs``, all columns, whose language the model does not reject."""
-    model = fit_language_model(docs, remainder_of_id(F.col(f"`{id_col}`"), modulus) != held_out, text_col, label_col, **fit)
+    model = fit_language_model(docs, remainder_of_id(F.col(f"`{id_col}`"), modulus) != held_out, id_col, text_col, label_col, **fit)
     found = fresh(docs, "language_found")
     marked = docs.withColumn(found, language_column(model, F.col(f"`{text_col}`")))
     return marked.where(~F.col(f"{found}.rejected")).select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -17,8 +17,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .hashing import code_points, gram_buckets, grams_inside, remainder_of_id, runs_of_chars, segment_sums
-from .langid import sampled_rows
+from .common import stored
+from .hashing import bags, code_points, gram_buckets, grams_inside, remainder_of_id, runs_of_chars, sampled_rows, segment_sums
 
 GRAMS = (1, 3)
 BITS = 13
@@ -208,29 +208,20 @@ def fit_quality_model(
     )
     texts = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text")).where("text is not null")
     # which labelled rows are drawn is decided on ids, so only the drawn rows' texts move
-    order = F.row_number().over(_by_hash(seed))
-    drawn = agreed.join(texts.select("doc_id").distinct(), "doc_id", "left_semi").withColumn("n", order).where(F.col("n") <= per_label).select("doc_id", "label")
+    there = agreed.join(texts.select("doc_id"), "doc_id", "left_semi").withColumn("key", F.col("doc_id").cast("string"))
+    drawn, _ = stored(sampled_rows(there, per_label, 2 * per_label, seed).select("doc_id", "label"), "drawn")
 
     @F.pandas_udf("array<struct<bucket:array<int>,share:array<float>>>")
     def features(column):
         return _features(column, most_passages)
 
-    labelled = texts.join(F.broadcast(drawn), "doc_id")  # at most 2 * per_label narrow rows
-    rows = sampled_rows(labelled.select("label", "text"), per_label, 2 * per_label, seed).select("label", features("text").alias("x")).toArrow().to_pylist()
-    bags, y = [], []
-    for r in rows:
-        bag = [(np.array(w["bucket"], np.int64), np.array(w["share"], np.float32)) for w in r["x"]]
-        bags.append(bag)
-        y.append(r["label"])
-    if len(set(y)) < 2:
+    # at most 2 * per_label narrow rows are sent to the texts; rows that repeat an id teach once
+    labelled = texts.join(F.broadcast(drawn), "doc_id").groupBy("doc_id", "label").agg(F.min("text").alias("text"))
+    rows = labelled.orderBy("doc_id").select("label", features("text").alias("x")).toArrow()
+    y = rows.column("label").to_numpy()
+    if len(set(y.tolist())) < 2:
         return None
-    return descend(bags, np.array(y, np.float32), dims, gates, epochs, rate, np.random.default_rng(seed))
-
-
-def _by_hash(seed: int):
-    from pyspark.sql import Window
-
-    return Window.partitionBy("label").orderBy(F.xxhash64("doc_id", F.lit(seed)), "doc_id")
+    return descend(bags(rows.column("x")), y.astype(np.float32), dims, gates, epochs, rate, np.random.default_rng(seed))
 
 
 def quality_column(model: QualityModel | None, text: Column) -> Column:

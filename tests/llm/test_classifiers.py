@@ -57,6 +57,20 @@ def test_language_of_odd_rows(spark, documents):
     assert L.identify_language(spark.createDataFrame([], DOCS)).collect() == []
 
 
+def test_samples_are_bounded_whatever_the_skew(spark):
+    rows = spark.range(5000).select(
+        F.when(F.col("id") % 10 < 7, "hot").when(F.col("id") % 10 < 9, "warm").otherwise(F.concat(F.lit("rare"), (F.col("id") % 3).cast("string"))).alias("label"),
+        F.lit("the same text").alias("text"), F.col("id").cast("string").alias("key"),
+    )
+    drawn = H.sampled_rows(rows, 100, 1000, 1).collect()
+    counts = {n: sum(r.label == n for r in drawn) for n in {r.label for r in drawn}}
+    assert counts == {"hot": 100, "warm": 100, "rare0": 100, "rare1": 100, "rare2": 100}
+    assert len(H.sampled_rows(rows, 100, 250, 1).collect()) == 250
+    again = H.sampled_rows(rows.repartition(9), 100, 1000, 1).collect()
+    assert sorted(map(tuple, drawn)) == sorted(map(tuple, again))
+    assert H.sampled_rows(rows.limit(0), 100, 1000, 1).collect() == []
+
+
 def test_kept_rows_keep_their_columns(spark, documents):
     odd = documents.limit(1).withColumn("text", F.lit("0 1 2"))
     kept = L.keep_identified(documents.unionByName(odd))
