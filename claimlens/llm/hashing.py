@@ -115,5 +115,5 @@ def segment_sums(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     out = np.zeros((len(offsets) - 1, *values.shape[1:]), values.dtype if values.dtype.kind == "f" else np.int64)
     full = np.flatnonzero(np.diff(offsets) > 0)
     if len(full) and len(values):
-        out[full] = np.add.reduceat(values, offsets[:-1][full], axis=0, dtype=out.dtype)
+        out[full] = np.add.reduceat(values[: offsets[-1]], offsets[:-1][full], axis=0, dtype=out.dtype)
     return out

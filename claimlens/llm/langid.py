@@ -10,20 +10,24 @@ on rows of the sample that were left out of the descent.
 
 from __future__ import annotations
 
+import re
 import zlib
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import fresh
+from . import hashing
+from .common import fresh, text_udf
 from .hashing import bags, code_points, gram_buckets, remainder_of_id, runs_of_chars, sampled_rows, segment_sums, words_of
 
 GRAMS = (2, 3, 4)
 BITS = 15
 UNKNOWN = "und"
+_GAP = re.compile(r"[\W\d_]")
 
 
 @dataclass(frozen=True)
@@ -47,15 +51,29 @@ def _subwords(texts: list[str]):
         yield buckets, np.minimum(offsets, m)
 
 
+def parts_of(text: str, limit: int) -> list[str]:
+    """A long text in parts cut where a word has ended, so the parts have its subwords (a single
+    word longer than ``limit`` is read in pieces)."""
+    parts, at = [], 0
+    while len(text) - at > limit:
+        gap = _GAP.search(text, at + limit, at + 2 * limit)
+        end = gap.start() if gap else at + limit
+        parts.append(text[at:end])
+        at = end
+    return [*parts, text[at:]]
+
+
 def score_texts(model: LanguageModel, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
     """(label, confidence) of each whole text; ``und`` and 0 where there is no letter."""
     labels, scores = [], np.zeros(len(texts))
     for a, b in runs_of_chars([t or "" for t in texts]):
         part = [t or "" for t in texts[a:b]]
         total, count = np.zeros((b - a, len(model.labels)), np.float32), np.zeros(b - a, np.int64)
-        for buckets, offsets in _subwords(part):
-            total += segment_sums(model.logits[buckets], offsets)
-            count += segment_sums(buckets != 1 << BITS, offsets)
+        # a run is one long text, or texts that are short together
+        for some in [[p] for p in parts_of(part[0], hashing.SLICE_CHARS)] if b - a == 1 else [part]:
+            for buckets, offsets in _subwords(some):
+                total += segment_sums(model.logits[buckets], offsets)
+                count += segment_sums(buckets != 1 << BITS, offsets)
         if not model.labels:
             labels += [UNKNOWN] * (b - a)
             continue
@@ -176,12 +194,13 @@ def _log_loss(z: np.ndarray, y: np.ndarray) -> float:
 def language_column(model: LanguageModel, text: Column) -> Column:
     """``struct<lang_pred, score, rejected>`` of each whole text."""
 
-    @F.pandas_udf("lang_pred string, score double, rejected boolean")
-    def run(texts: pd.Series) -> pd.DataFrame:
-        labels, scores = score_texts(model, texts.where(texts.notna(), None).tolist())
-        return pd.DataFrame({"lang_pred": labels, "score": scores, "rejected": [k == UNKNOWN or s < model.threshold for k, s in zip(labels, scores, strict=True)]})
+    def run(texts: list[str | None]) -> pa.Array:
+        labels, scores = score_texts(model, texts)
+        rejected = [k == UNKNOWN or s < model.threshold for k, s in zip(labels, scores, strict=True)]
+        columns = [pa.array(labels, pa.string()), pa.array(scores, pa.float64()), pa.array(rejected, pa.bool_())]
+        return pa.StructArray.from_arrays(columns, names=["lang_pred", "score", "rejected"])
 
-    return run(text.cast("string"))
+    return text_udf(run, "lang_pred string, score double, rejected boolean")(text.cast("string"))
 
 
 def identify_language(

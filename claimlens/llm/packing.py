@@ -21,7 +21,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices_by_bytes, stored
+from .common import give_back_memory, slices_by_bytes, stored
 
 CACHE_WORDS = 800_000
 BATCH_BYTES = 1 << 23
@@ -29,6 +29,7 @@ BATCH_BYTES = 1 << 23
 _LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
 _CHUNK = f"^(?P<word>[{_LETTERS}]+)(?P<marks>[.,!?;:]*)$"
 _WORD = re.compile(f"[{_LETTERS}]+")
+_BLANK = re.compile(r"[\x20\x09-\x0d]")
 
 
 class BlankFreeIds:
@@ -52,9 +53,10 @@ class BlankFreeIds:
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         for token, i in vocabulary.items():
             self.ends[i] = bool(self.suffix) and token.endswith(self.suffix)
-        self._empty()
+        self.forget()
 
-    def _empty(self) -> None:
+    def forget(self) -> None:
+        """Empty the cache: words are looked up again by the next task."""
         self.numbers: dict[str, int] = {"": 0}
         self.ids = np.empty(0, "<u4")
         self.offsets = np.zeros(2, np.int64)
@@ -64,7 +66,7 @@ class BlankFreeIds:
         chunks = pc.ascii_split_whitespace(pa.array(texts, pa.string()) if isinstance(texts, list) else texts)
         coded = chunks.flatten().dictionary_encode()
         if len(self.numbers) > CACHE_WORDS:
-            self._empty()
+            self.forget()
         parts = pc.extract_regex(coded.dictionary, _CHUNK)
         simple = parts.is_valid()
         words = pc.if_else(simple, pc.utf8_lower(pc.struct_field(parts, "word")), coded.dictionary).dictionary_encode()
@@ -77,21 +79,35 @@ class BlankFreeIds:
         data = ids.tobytes()
         return [data[a:b] for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)]
 
+    def encode_long(self, text: str) -> list[bytes]:
+        """The ids of one text, as a list of one: long ones are read in parts, cut at blanks."""
+        parts, at = [], 0
+        while len(text) - at > BATCH_BYTES:
+            blank = _BLANK.search(text, at + BATCH_BYTES)
+            if blank is None:
+                break
+            parts.append(self.encode([text[at:blank.start()]])[0])
+            at = blank.start()
+        return [b"".join([*parts, self.encode([text[at:]])[0]])]
+
     def _lookup(self, coded: pa.DictionaryArray) -> np.ndarray:
-        names, known = coded.dictionary.to_pylist(), self.numbers
-        self._learn([w for w in names if w not in known])
-        return np.array([known[w] for w in names], np.int64)[np.asarray(coded.indices)]
+        names = coded.dictionary.to_pylist()
+        numbers = list(map(self.numbers.get, names))
+        new = [w for w, n in zip(names, numbers, strict=True) if n is None]
+        if new:
+            self._learn(new)
+            numbers = list(map(self.numbers.get, names))
+        return np.array(numbers, np.int64)[np.asarray(coded.indices)]
 
     def _learn(self, new: list[str]) -> None:
-        if not new:
-            return
         words = [w for w in new if self.suffix and _WORD.fullmatch(w)]
         plain = set(words)
         others = [w for w in new if w not in plain]
         found, sizes = [], []
-        for at in range(0, len(words), 1000):  # words of letters in one text: each ends where a token has the suffix
-            part = words[at:at + 1000]
-            ids = np.array(self.tok.encode(" ".join(part), add_special_tokens=False).ids, "<u4")
+        runs = [words[at:at + 1000] for at in range(0, len(words), 1000)]
+        joined = self.tok.encode_batch_fast([" ".join(part) for part in runs], add_special_tokens=False)
+        for part, text in zip(runs, joined, strict=True):  # words of letters: each ends where a token has the suffix
+            ids = np.array(text.ids, "<u4")
             ends = np.flatnonzero(self.ends[ids])
             if len(ends) != len(part):
                 others += part
@@ -141,7 +157,7 @@ def cut_pieces(
             texts = pc.fill_null(batch.column(1), "")
             for a, b in slices_by_bytes(texts, BATCH_BYTES):
                 row, piece, length, crc, held = [], [], [], [], []
-                for i, ids in enumerate(encoder.encode(texts.slice(a, b - a)), a):
+                for i, ids in enumerate(encoder.encode_long(texts[a].as_py()) if b - a == 1 else encoder.encode(texts.slice(a, b - a)), a):
                     ids += end
                     for k, at in enumerate(range(0, len(ids), width)):
                         own = ids[at:at + width]
@@ -156,6 +172,8 @@ def cut_pieces(
                     pa.array([k * capacity for k in piece], pa.int64()), pa.array(length, pa.int64()), pa.array(crc, pa.int64()),
                 ]
                 yield pa.RecordBatch.from_arrays(columns + [pa.array(held, pa.list_(pa.int32()))] * with_ids, names=names)
+        encoder.forget()
+        give_back_memory()
 
     kind = source.schema["doc_id"].dataType.simpleString()
     return source.mapInArrow(

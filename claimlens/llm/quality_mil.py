@@ -14,10 +14,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from . import hashing
+from .common import stored, text_udf
 from .hashing import bags, code_points, gram_buckets, grams_inside, remainder_of_id, runs_of_chars, sampled_rows, segment_sums
 
 GRAMS = (1, 3)
@@ -83,16 +85,31 @@ def repetition(points: np.ndarray, offsets: np.ndarray, cuts: np.ndarray) -> np.
 
 
 def encode_passages(model: QualityModel, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """(one row per passage, offsets of the documents)."""
+    """(one row per passage, offsets of the documents). A long text is encoded some passages
+    at a time, each with the few characters that its last grams reach into the next."""
+    if len(texts) == 1 and len(texts[0]) > hashing.SLICE_CHARS:
+        text = texts[0]
+        cuts, docs = passage_offsets(np.array([0, len(text)]))
+        step = max(1, hashing.SLICE_CHARS // PASSAGE_CHARS)
+        rows = []
+        for a in range(0, len(cuts) - 1, step):
+            some = cuts[a:a + step + 1]
+            points, offsets = code_points([text[some[0]:some[-1] + LONG_GRAM - 1]])
+            rows.append(_encode(model, points, offsets, some - some[0]))
+        return np.concatenate(rows), docs
     points, offsets = code_points(texts)
     cuts, docs = passage_offsets(offsets)
+    return _encode(model, points, offsets, cuts), docs
+
+
+def _encode(model: QualityModel, points: np.ndarray, offsets: np.ndarray, cuts: np.ndarray) -> np.ndarray:
     total, count = np.zeros((len(cuts) - 1, model.embedding.shape[1]), np.float32), np.zeros(len(cuts) - 1, np.int64)
     for buckets in _grams(points, offsets):
         at = np.minimum(cuts, len(buckets))
         total += segment_sums(model.embedding[buckets], at)
         count += segment_sums(buckets != 1 << BITS, at)
     total = total / np.maximum(count, 1)[:, None] + model.embedding[repetition(points, offsets, cuts)]
-    return np.tanh(total + model.shift), docs
+    return np.tanh(total + model.shift)
 
 
 def _attend(model: QualityModel, hidden: np.ndarray, docs: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -227,13 +244,12 @@ def fit_quality_model(
 def quality_column(model: QualityModel | None, text: Column) -> Column:
     """Score of each whole text; without a model 0.5."""
 
-    @F.pandas_udf("double")
-    def run(texts: pd.Series) -> pd.Series:
+    def run(texts: list[str | None]) -> pa.Array:
         if model is None:
-            return pd.Series(np.full(len(texts), 0.5), index=texts.index)
-        return pd.Series(score_texts(model, texts.fillna("").tolist()), index=texts.index)
+            return pa.array(np.full(len(texts), 0.5))
+        return pa.array(score_texts(model, [t or "" for t in texts]))
 
-    return run(text.cast("string"))
+    return text_udf(run, "double")(text.cast("string"))
 
 
 def score_quality(

@@ -11,9 +11,12 @@ from __future__ import annotations
 import re
 from functools import lru_cache
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import text_udf
+
 # Fixed values of the base scan, in the order in which kinds are listed.
 ASSIGN = re.compile(r"""(?ai:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
@@ -101,11 +104,12 @@ def redact_text(text: str | None, mark: str = "[SECRET]") -> str | None:
 def spans_column(text: Column) -> Column:
     """:func:`find_spans` as ``array<struct<kind, start, end>>``."""
 
-    @F.pandas_udf("array<struct<kind:string,start:int,end:int>>")
-    def run(texts):
-        return texts.map(lambda t: [{"kind": k, "start": a, "end": b} for a, b, k in find_spans(t)], na_action=None)
+    kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
+
+    def run(texts: list[str | None]) -> pa.Array:
+        return pa.array([[{"kind": k, "start": a, "end": b} for a, b, k in find_spans(t)] for t in texts], kind)
 
-    return run(text)
+    return text_udf(run, "array<struct<kind:string,start:int,end:int>>")(text)
 
 
 def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -122,11 +126,10 @@ def redact_secrets(docs: DataFrame, text_col: str = "text", length_col: str | No
     """``docs`` with the spans of each text replaced by ``mark`` and the length column, if any,
     brought up to date. A null text stays null; every row stays."""
 
-    @F.pandas_udf("string")
-    def run(texts):
-        return texts.map(lambda t: redact_text(t, mark), na_action=None)
+    def run(texts: list[str | None]) -> pa.Array:
+        return pa.array([redact_text(t, mark) for t in texts], pa.string())
 
-    redacted = run(F.col(f"`{text_col}`").cast("string"))
+    redacted = text_udf(run, "string")(F.col(f"`{text_col}`").cast("string"))
     out = docs.withColumn(text_col, redacted)
     if length_col and length_col in docs.columns:
         kind = docs.schema[length_col].dataType

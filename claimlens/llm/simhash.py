@@ -13,6 +13,7 @@ each variant still meets its equals in exactly one task.
 from __future__ import annotations
 
 import math
+import re
 from collections.abc import Iterator
 from itertools import combinations
 
@@ -22,12 +23,14 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import fresh, stored, utf8
+from .common import fresh, stored, text_udf, utf8
 from .graph import connected_components
 
 SEED = 42
 VARIANTS_PER_BUCKET = 1 << 21
+SEGMENT_BYTES = 1 << 21  # of a text whose words are held at once
 _CHUNK = 1 << 16
+_BLANK = re.compile(rb"[\x20\x09-\x0d]")
 
 
 def fingerprint(text: str | None, words_per_shingle: int = 4) -> int:
@@ -37,34 +40,45 @@ def fingerprint(text: str | None, words_per_shingle: int = 4) -> int:
     hashed by XXH64 with seed 42, and a bit is 1 if it is set in over half the hashes.
     Fewer words than a shingle has: the whole sequence is the one shingle. No words: 0.
     """
-    words = utf8(text or "").lower().split()  # on bytes: A-Z only, and the six ASCII blanks only
-    if not words:
-        return 0
+    data = utf8(text or "").lower()  # on bytes: A-Z only
+    k, at, count, words = words_per_shingle, 0, 0, []
+    ones = np.zeros(64, np.int64)
+    while at < len(data):  # a segment at a time; the last k - 1 words go on into the next
+        blank = _BLANK.search(data, at + SEGMENT_BYTES)
+        end = blank.start() if blank else len(data)
+        words += data[at:end].split()  # at the six ASCII blanks
+        at = end
+        if len(words) >= k:
+            own, n = _set_bits(words, k)
+            ones += own
+            count += n
+            words = words[len(words) - k + 1:]
+    if not count and words:
+        ones, count = _set_bits(words, len(words))
+    return int(np.packbits(2 * ones > count, bitorder="little").view("<u8")[0])
+
+
+def _set_bits(words: list[bytes], k: int) -> tuple[np.ndarray, int]:
+    """(how many shingle hashes have each bit set, number of shingles)."""
     joined = b" ".join(words)
     lengths = np.fromiter(map(len, words), np.int64, len(words))
     ends = np.cumsum(lengths + 1) - 1
-    starts = ends - lengths
-    k = min(words_per_shingle, len(words))
-    first, last, digest = starts[: len(words) - k + 1], ends[k - 1:], xxhash.xxh64_intdigest
+    first, last, digest = (ends - lengths)[: len(words) - k + 1], ends[k - 1:], xxhash.xxh64_intdigest
     ones = np.zeros(64, np.int64)
     for at in range(0, len(first), _CHUNK):
         spans = zip(first[at:at + _CHUNK].tolist(), last[at:at + _CHUNK].tolist(), strict=True)
         hashes = np.array([digest(joined[a:b], SEED) for a, b in spans], "<u8")
         ones += np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    return int(np.packbits(2 * ones > len(first), bitorder="little").view("<u8")[0])
+    return ones, len(first)
 
 
 def fingerprint_column(text: Column, words_per_shingle: int = 4) -> Column:
     """:func:`fingerprint` of a text column, as a signed long."""
 
-    @F.pandas_udf("long")
-    def run(texts):
-        import pandas as pd
-
-        values = np.array([fingerprint(t, words_per_shingle) for t in texts], np.uint64)
-        return pd.Series(values.view(np.int64), index=texts.index)
+    def run(texts: list[str | None]) -> pa.Array:
+        return pa.array(np.array([fingerprint(t, words_per_shingle) for t in texts], np.uint64).view(np.int64))
 
-    return run(text)
+    return text_udf(run, "long")(text)
 
 
 def hex_column(value: Column) -> Column:

@@ -12,7 +12,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import fresh, slices_by_bytes
+from .common import fresh, give_back_memory, slices_by_bytes
 
 BATCH_BYTES = 1 << 20
 SPLIT_CHARS = 1 << 16
@@ -44,12 +44,12 @@ def load_encoder(path: str):
     return lambda texts: [len(ids) for ids in sp.encode(texts, num_threads=1)]
 
 
-def split_safely(text: str, limit: int = SPLIT_CHARS) -> list[str]:
+def split_safely(text: str, limit: int | None = None) -> list[str]:
     """Cut ``text`` after about every ``limit`` characters, at safe boundaries only.
 
     Joined again the parts are the text. A stretch without any boundary stays whole.
     """
-    parts, start = [], 0
+    parts, start, limit = [], 0, limit or SPLIT_CHARS
     while len(text) - start > limit:
         found = _BOUNDARY.search(text, start + limit)
         if found is None:
@@ -61,16 +61,24 @@ def split_safely(text: str, limit: int = SPLIT_CHARS) -> list[str]:
 
 
 def count_texts(texts: list[str], path: str, split: bool = True) -> list[int]:
-    """Token count of each text; the parts of long texts are encoded in the same batch."""
+    """Token count of each text; parts of long texts are encoded with others, about
+    BATCH_BYTES characters in one call however long a text is."""
     encode = load_encoder(path)
-    parts, owner = [], []
+    counts, parts, owner, held = [0] * len(texts), [], [], 0
+
+    def flush() -> None:
+        for i, n in zip(owner, encode(parts), strict=True):
+            counts[i] += n
+
     for i, text in enumerate(texts):
         for part in split_safely(text) if split else [text]:
+            if parts and held + len(part) > BATCH_BYTES:
+                flush()
+                parts, owner, held = [], [], 0
             parts.append(part)
             owner.append(i)
-    counts = [0] * len(texts)
-    for i, n in zip(owner, encode(parts), strict=True):
-        counts[i] += n
+            held += len(part)
+    flush()
     return counts
 
 
@@ -110,5 +118,6 @@ def count_tokens(
                     + [pc.cast(pc.binary_length(part), pa.int64()), n, pc.greater(n, limit)],
                     names=[*kept, *results],
                 )
+        give_back_memory()
 
     return source.mapInArrow(run, schema)

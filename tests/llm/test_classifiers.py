@@ -100,6 +100,18 @@ def test_subwords_are_those_of_single_words():
         assert label == model.labels[int(p.argmax())] and abs(score - p.max()) < 1e-5
 
 
+def test_long_texts_are_read_in_parts(monkeypatch):
+    rng = random.Random(9)
+    texts = ["", "".join(rng.choice("abc dé1 ") for _ in range(900)), "word " * 300, "one two"]
+    logits = np.random.default_rng(0).normal(size=((1 << L.BITS) + 1, 3)).astype(np.float32)
+    logits[-1] = 0
+    model = L.LanguageModel(("p", "q", "r"), logits, np.zeros(3, np.float32), 1.0, 0.0)
+    whole = L.score_texts(model, texts)
+    monkeypatch.setattr(H, "SLICE_CHARS", 64)
+    cut = L.score_texts(model, texts)
+    assert whole[0] == cut[0] and np.allclose(whole[1], cut[1], atol=1e-5)
+
+
 def test_quality_on_held_out_documents(spark, documents):
     labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
     got = {r.doc_id: r for r in Q.score_quality(documents, labels).collect()}

@@ -33,6 +33,12 @@ def test_special_strings():
         assert np.frombuffer(P.BlankFreeIds(PATH).encode([text])[0], "<u4").tolist() == library_ids(text)
 
 
+def test_long_texts_are_read_in_parts(monkeypatch):
+    text = "It's a Wörd, <|endoftext|> and 12 more.\n\x0b" * 30 + "x" * 300
+    monkeypatch.setattr(P, "BATCH_BYTES", 50)
+    assert np.frombuffer(P.BlankFreeIds(PATH).encode_long(text)[0], "<u4").tolist() == library_ids(text)
+
+
 def test_best_fit_and_crossover_keep_every_piece_once():
     rng = np.random.default_rng(1)
     lengths = rng.integers(1, 100, 400)

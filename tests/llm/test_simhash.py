@@ -45,6 +45,16 @@ def test_fingerprint_of_edge_texts(text):
     assert fingerprint(text) == plain_fingerprint(text)
 
 
+def test_long_texts_are_read_in_segments(monkeypatch):
+    from claimlens.llm import simhash
+
+    rng = random.Random(5)
+    texts = [" ".join(rng.choice(["a", "Bb", "ccc", "é"]) + rng.choice(["", "\n", "  "]) for _ in range(n)) for n in (1, 3, 4, 5, 40, 400)]
+    for size in (1, 7, 50):
+        monkeypatch.setattr(simhash, "SEGMENT_BYTES", size)
+        assert [fingerprint(t) for t in texts] == [plain_fingerprint(t) for t in texts]
+
+
 def test_components_match_brute_force(spark):
     rng = random.Random(3)
     prints = {0, 1, 2**64 - 1}
