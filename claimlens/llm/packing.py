@@ -140,7 +140,7 @@ def _ids_of(path: str) -> BlankFreeIds:
 
 def cut_pieces(
     docs: DataFrame, tokenizer_path: str, capacity: int = 2048, end_id: int = 0, id_col: str = "doc_id",
-    text_col: str = "text", with_ids: bool = False,
+    text_col: str = "text", with_ids: bool = False, keep_words: int = CACHE_WORDS,
 ) -> DataFrame:
     """One row per piece: ``doc_id, piece, start, length, ids_crc32`` (and ``ids``), one narrow pass.
 
@@ -173,6 +173,8 @@ def cut_pieces(
                     pa.array([k * capacity for k in piece], pa.int64()), pa.array(length, pa.int64()), pa.array(crc, pa.int64()),
                 ]
                 yield pa.RecordBatch.from_arrays(columns + [pa.array(held, pa.list_(pa.int32()))] * with_ids, names=names)
+        if len(encoder.numbers) > keep_words:
+            encoder.forget()
         give_back_memory()
 
     kind = source.schema["doc_id"].dataType.simpleString()
@@ -290,6 +292,7 @@ def pack_documents(
     epochs: int = 3,
     generations: int = 10,
     seed: int = 11,
+    keep_words: int = CACHE_WORDS,
 ) -> DataFrame:
     """Pack all documents into sequences of at most ``capacity`` tokens.
 
@@ -302,12 +305,15 @@ def pack_documents(
     key for the migration. A shard leaves at most one sequence more than one packing of
     everything would, so the loss is below one in some thousand sequences.
 
+    ``keep_words`` is how many cached words a worker may take from one task to the next;
+    where its memory is shared with other stages, 0 empties the cache with each task.
+
     An empty table gives no rows. Other columns of ``docs`` are not read.
     """
 
     uid = "piece_uid"
     pieces, _ = stored(
-        cut_pieces(docs, tokenizer_path, capacity, end_id, id_col, text_col, with_ids).withColumn(uid, F.monotonically_increasing_id()),
+        cut_pieces(docs, tokenizer_path, capacity, end_id, id_col, text_col, with_ids, keep_words).withColumn(uid, F.monotonically_increasing_id()),
         "pieces",
     )
     short = pieces.where(F.col("length") < capacity)

@@ -45,7 +45,8 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Places of all pieces in sequences of at most CAPACITY tokens."""
-    return pack_documents(docs, tokenizer("word_bpe_49k.json"), CAPACITY, end_id=0)
+    # the workers serve the other stages too, so none of their memory stays with the words of this one
+    return pack_documents(docs, tokenizer("word_bpe_49k.json"), CAPACITY, end_id=0, keep_words=0)
 
 
 STAGES = [
