@@ -4,7 +4,9 @@ A neighbour graph starts from random-projection cells and is refined by joins of
 of neighbours: the lists of the nodes of one cell, forward and reverse, are joined in one
 block, whose pairs are all compared. A node whose list holds only links (it is saturated)
 gets a longer list. A sample audited by brute force decides when to stop. Edges at or above
-the threshold are the links; their components are the near-duplicate groups.
+the threshold are the links; their components are the near-duplicate groups. Nodes that stay
+saturated are compared exactly: with those of the label's other groups, so that links that no
+list has room for join them, and then within the joined group for their counts.
 """
 
 from __future__ import annotations
@@ -13,7 +15,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import drop_stored, stored
@@ -194,11 +196,17 @@ def _flat(lists: DataFrame) -> DataFrame:
     )
 
 
+def _saturated(threshold: float) -> Column:
+    """Whether a node's list is full of links, so that there may be links it has no room for."""
+    return (F.size("near") >= F.col("keep")) & (F.col("near")[F.size("near") - 1]["cos"] >= threshold)
+
+
 def audited_recall(nodes: DataFrame, lists: DataFrame, threshold: float, sample: int, seed: int) -> float:
     """Share of the links of ``sample`` nodes that the graph has, against brute force.
 
     The sampled vectors (a stated number) go to every task, which compares its nodes with
-    them; of a node whose list is full of links as many are expected as it may keep.
+    them. All links of a sampled node are expected; those between two saturated nodes are not in
+    the lists but are always found, as such nodes are compared exactly afterwards.
     """
     chosen = nodes.orderBy(F.xxhash64("node", F.lit(seed)), "node").limit(sample).select("label_key", "node", "v").collect()
     if not chosen:
@@ -229,12 +237,12 @@ def audited_recall(nodes: DataFrame, lists: DataFrame, threshold: float, sample:
     truth = nodes.select("label_key", "node", "v").mapInArrow(compare, "node long, other long")
     found = _flat(lists).where(F.col("cos") >= threshold).select("node", "other", F.lit(1).alias("hit"))
     found = found.unionByName(found.select(F.col("other").alias("node"), F.col("node").alias("other"), "hit")).distinct()
-    each = (
-        truth.join(found, ["node", "other"], "left").groupBy("node").agg(F.count("*").alias("links"), F.count("hit").alias("hits"))
-        .join(lists.select("node", "keep"), "node", "left")
-        .select(F.least("links", F.coalesce("keep", "links")).alias("links"), "hits")
+    full = lists.where(_saturated(threshold)).select("node", F.lit(1).alias("full"))
+    total, hits = (
+        truth.join(found, ["node", "other"], "left").join(full, "node", "left")
+        .join(full.select(F.col("node").alias("other"), F.col("full").alias("other_full")), "other", "left")
+        .agg(F.count("*"), F.count(F.coalesce("hit", F.col("full") * F.col("other_full")))).first()
     )
-    total, hits = each.agg(F.sum("links"), F.sum(F.least("hits", "links"))).first()
     return 1.0 if not total else hits / total
 
 
@@ -251,7 +259,7 @@ def neighbour_graph(
     lists, path = stored(_merge(_first_lists(nodes, cells, k), None, k, most), "lists")
     audits = [audited_recall(nodes, lists, threshold, sample, seed)]
     for round_ in range(rounds):
-        saturated = (F.size("near") >= F.col("keep")) & (F.col("near")[F.size("near") - 1]["cos"] >= threshold)
+        saturated = _saturated(threshold)
         wanted, wanted_path = stored(
             lists.select("node", F.when(saturated, F.least(F.col("keep") * 2, F.lit(most))).otherwise(F.col("keep")).alias("keep"), saturated.alias("more"))
             .where((F.col("keep") > k) | F.col("more")), "wanted",
@@ -269,8 +277,81 @@ def neighbour_graph(
         audits.append(audited_recall(nodes, lists, threshold, sample, seed))
         if not changed:
             break
-    full = (F.size("near") >= F.col("keep")) & (F.col("near")[F.size("near") - 1]["cos"] >= threshold)
-    return lists, lists.where(full).select("node"), audits
+    return lists, lists.where(_saturated(threshold)).select("node"), audits
+
+
+def _joined_groups(nodes: DataFrame, full: DataFrame, threshold: float) -> DataFrame:
+    """``(root, joined)`` for each root of ``full(node, root)`` that links between saturated nodes
+    of different groups join to others: the links that their lists have no room for.
+
+    A group's saturated nodes are dealt into pieces of about BLOCK. Pieces of one label are
+    compared by centre and widest angle, which rules out only pairs that cannot hold a link; the
+    nodes of the others are all compared. A pair of pieces returns one row at most, never its links.
+    """
+    sizes = full.groupBy("root").agg(F.ceil(F.count("*") / float(BLOCK)).cast("int").alias("pieces"))
+    dealt, dealt_path = stored(
+        full.join(sizes, "root").join(nodes.select("node", "label_key", "v"), "node")
+        .select("label_key", "root", F.pmod(F.xxhash64("node"), F.col("pieces")).cast("int").alias("piece"), "node", "v"),
+        "dealt",
+    )
+
+    def ball(group: pa.Table) -> pa.Table:
+        rows = unit_rows(group.column("v"))
+        centre = rows.mean(axis=0)
+        length = np.linalg.norm(centre)
+        centre = centre / length if length > 1e-6 else rows[0]
+        wide = np.arccos(np.clip(rows @ centre, -1, 1)).max()
+        return group.select(["label_key", "root", "piece"]).slice(0, 1).append_column("v", pa.array([centre])).append_column("wide", pa.array([wide]))
+
+    balls, balls_path = stored(
+        dealt.groupBy("label_key", "root", "piece").applyInArrow(ball, "label_key string, root long, piece int, v array<double>, wide double"), "balls"
+    )
+    blocks = balls.groupBy("label_key").agg(F.ceil(F.count("*") / float(BLOCK)).cast("int").alias("blocks"))
+    placed = balls.join(blocks, "label_key").withColumn("block", F.pmod(F.xxhash64("root", "piece"), F.col("blocks")).cast("int"))
+    paired = placed.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
+        "label_key", F.least("block", "with").alias("i"), F.greatest("block", "with").alias("j"), "block", "root", "piece", "v", "wide"
+    )
+    reach = float(np.arccos(np.clip(threshold, -1, 1))) + 1e-6  # the margin covers rounding
+
+    def close(group: pa.Table) -> pa.Table:
+        block, root, piece, wide = (np.asarray(group.column(c).combine_chunks()) for c in ("block", "root", "piece", "wide"))
+        rows = unit_rows(group.column("v"))
+        split = block.min() != block.max()
+        at, to = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+        for start in range(0, len(rows), STRIP):
+            strip = slice(start, start + STRIP)
+            good = np.arccos(np.clip(rows[strip] @ rows.T, -1, 1)) - wide[strip, None] - wide[None, :] <= reach
+            good &= root[strip, None] > root[None, :]
+            if split:
+                good &= block[strip, None] != block[None, :]  # pairs within a block are met where it meets itself
+            a, b = np.nonzero(good)
+            at.append(a + start)
+            to.append(b)
+        a, b = np.concatenate(at), np.concatenate(to)
+        return pa.table({"u": root[a], "u_piece": piece[a], "v": root[b], "v_piece": piece[b]})
+
+    near, near_path = stored(paired.groupBy("label_key", "i", "j").applyInArrow(close, "u long, u_piece int, v long, v_piece int"), "near")
+    pair = ["u", "u_piece", "v", "v_piece"]
+    sides = near.select(*pair, F.col("u").alias("root"), F.col("u_piece").alias("piece")).unionByName(
+        near.select(*pair, F.col("v").alias("root"), F.col("v_piece").alias("piece"))
+    )
+    both = sides.join(dealt.withColumnRenamed("v", "row"), ["root", "piece"])
+
+    def linked(group: pa.Table) -> pa.Table:
+        node, root = (np.asarray(group.column(c).combine_chunks()) for c in ("node", "root"))
+        order = np.argsort(node, kind="stable")
+        rows, root = unit_rows(group.column("row"))[order], root[order]
+        u, v = group.column("u")[0].as_py(), group.column("v")[0].as_py()
+        ours, theirs = np.flatnonzero(root == u), np.flatnonzero(root == v)
+        for start in range(0, len(ours), STRIP):
+            a, b = np.nonzero(rows[ours[start:start + STRIP]] @ rows[theirs].T >= threshold - 1e-9)
+            if (pair_cosines(rows, ours[start + a], theirs[b]) >= threshold).any():
+                return pa.table({"u": [u], "v": [v]})
+        return pa.table({"u": pa.array([], pa.int64()), "v": pa.array([], pa.int64())})
+
+    joined = connected_components(both.groupBy(*pair).applyInArrow(linked, "u long, v long"))
+    drop_stored(nodes.sparkSession, [dealt_path, balls_path, near_path])
+    return joined.select(F.col("node").alias("root"), F.col("root").alias("joined"))
 
 
 def _counted_in_blocks(nodes: DataFrame, members: DataFrame, threshold: float) -> DataFrame:
@@ -319,7 +400,8 @@ def embedding_groups(
     that a third of the rows share costs one node. Links are pairs of rows with one label and a
     cosine of at least ``threshold``, in doubles. ``n_links`` counts linked rows, copies
     included; ``component_id`` is the least vec_id that links reach; ``kept`` marks it. The lists
-    are capped, so groups with a saturated node are counted exactly, block by block.
+    are capped, so groups with a saturated node are compared with each other and counted
+    exactly, block by block.
 
     Vectors that are null, empty, zero or hold null or non-finite components, and rows without a
     label, link with nothing: no links, their own id, kept. Null ids never are a group's
@@ -333,6 +415,12 @@ def embedding_groups(
         "links",
     )
     parts, _ = stored(connected_components(links), "components")
+    full, _ = stored(parts.join(saturated, "node"), "full")
+    several = full.select("root").distinct().join(nodes.select(F.col("node").alias("root"), "label_key"), "root").groupBy("label_key").count().where("count > 1")
+    if several.limit(1).count():
+        parts, _ = stored(
+            parts.join(_joined_groups(nodes, full, threshold), "root", "left").select("node", F.coalesce("joined", "root").alias("root")), "joined"
+        )
     least = parts.join(nodes.select("node", "least_id"), "node").groupBy("root").agg(F.min("least_id").alias("component_id"))
     both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
     listed = both.join(nodes.select(F.col("node").alias("v"), "copies"), "v").groupBy("u").agg(F.sum("copies").alias("others"))

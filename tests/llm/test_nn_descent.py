@@ -82,3 +82,29 @@ def test_copies_and_empty_table(spark):
     rows = [(i, [0.5, 0.5, 0.1], 1) for i in range(400)] + [(1000, [0.5, 0.1, 0.5], 1)]
     assert sorted(run(spark, rows)) == sorted([(i, 399, 0, i == 0) for i in range(400)] + [(1000, 0, 1000, True)])
     assert run(spark, []) == []
+
+
+def clumps(n, rng, dims=32, across=0.985, spread=0.003):
+    """Two clumps of ``n`` vectors each, cosine about 0.999 inside a clump and ``across`` between them."""
+    a, b = np.linalg.qr(rng.standard_normal((dims, 2)))[0].T
+    centres = [a, across * a + np.sqrt(1 - across**2) * b]
+    return [(i, (centres[i % 2] + spread * rng.standard_normal(dims)).tolist(), 1) for i in range(2 * n)]
+
+
+def test_clumps_joined_by_links_that_no_list_has_room_for(spark, monkeypatch):
+    rows = clumps(200, np.random.default_rng(3))
+    rows += [(1000 + i, v, 2) for i, v, _ in clumps(100, np.random.default_rng(4), across=0.9)]  # two groups that stay apart
+    want = sorted(brute(rows))
+    assert want[0][1] > 300 and sum(r[3] for r in want) == 3
+    assert sorted(run(spark, rows)) == want
+    monkeypatch.setattr(N, "BLOCK", 60)  # several pieces a group and several blocks of pieces
+    assert sorted(run(spark, rows)) == want
+
+
+def test_audit_expects_all_links(spark):
+    rows = clumps(60, np.random.default_rng(3))
+    df = spark.createDataFrame([(i, v, label, "x", 1) for i, v, label in rows], SCHEMA)
+    _, nodes = N._nodes(df, "vec_id", "embedding", "label")
+    cells, _ = N.stored(N._cells(nodes, 1, 7), "parts")
+    short = N._merge(N._first_lists(nodes, cells, 5), None, 5, 5).withColumn("keep", N.F.lit(50))  # not full: these lists have lost links
+    assert N.audited_recall(nodes, short, 0.98, 256, 7) < 0.2
