@@ -3,7 +3,8 @@
 For a candidate next to a sensitive word, zstandard measures what it adds: the compressed
 size of the surrounding code with the candidate less the size without it, with a dictionary
 of identifiers primed. Names, paths and prose repeat the dictionary or their surroundings
-and add few bytes; a key adds about as many bytes as it has characters.
+and add few bytes; a key adds about as many bytes as it has characters. Other copies of the
+candidate are taken out of its surroundings first, so a key that is repeated is found at each place.
 """
 
 from __future__ import annotations
@@ -30,6 +31,7 @@ CANDIDATE = re.compile(
     r"""(?ai:pass(?:word|wd|phrase|code)?|pwd|secret|token|api[_-]?key|access[_-]?key|auth|credential|private[_-]?key|bearer|signature)"""
     r"""[A-Za-z0-9_\]-]{0,24}["']?\s{0,4}(?::=|=>|[:=(,]|\s)\s{0,4}["'(]?([A-Za-z0-9+/_.=~!@#$%^&*-]{12,})"""
 )
+PIECE = re.compile(r"[A-Za-z0-9_-]{12,}")
 CONTEXT_CHARS = 256
 LEAST_NOVELTY = 0.7  # bytes a character that a candidate must add
 # Identifiers and values that stand beside keys in code and configuration.
@@ -65,6 +67,27 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
     return out + [(m.start(), m.end(), "hex") for m in LONG_HEX.finditer(text)]
 
 
+def _without(text: str, start: int, end: int, copies: list[str], low: int, high: int) -> str:
+    """``text[start:end]`` without the characters of any of ``copies`` found in ``text[low:high]``."""
+    kept = bytearray(b"\1" * (end - start))
+    for copy in copies:
+        at = text.find(copy, max(low, start - len(copy) + 1), min(high, end + len(copy) - 1))
+        while at >= 0:
+            a, b = max(at, start) - start, min(at + len(copy), end) - start
+            kept[a:b] = bytes(b - a)
+            at = text.find(copy, at + len(copy), min(high, end + len(copy) - 1))
+    return "".join(c for c, k in zip(text[start:end], kept, strict=True) if k)
+
+
+def surroundings(text: str, start: int, end: int) -> tuple[str, str]:
+    """What stands before and after a value, without its other occurrences: a key that stands
+    twice would only repeat its copy, and be novel in neither place. Other ends may be joined to
+    the copy, so long pieces of the value between punctuation are taken out as well."""
+    copies = list(dict.fromkeys([text[start:end], *PIECE.findall(text, start, end)]))
+    low, high = max(0, start - CONTEXT_CHARS), min(len(text), end + CONTEXT_CHARS)
+    return _without(text, low, start, copies, 0, start), _without(text, end, high, copies, end, len(text))
+
+
 def novel_spans(text: str, known: list[tuple[int, int, str]]) -> list[tuple[int, int, str]]:
     """Candidates outside the known spans that add at least LEAST_NOVELTY bytes a character."""
     out = []
@@ -75,7 +98,7 @@ def novel_spans(text: str, known: list[tuple[int, int, str]]) -> list[tuple[int,
             continue
         if not (re.search(r"\d", value) and re.search(r"[A-Za-z]", value)):
             continue  # prose and plain numbers
-        before, after = text[max(0, a - CONTEXT_CHARS):a], text[b:b + CONTEXT_CHARS]
+        before, after = surroundings(text, a, b)
         if added_bytes(before, value, after) >= LEAST_NOVELTY * len(value):
             out.append((a, b, "novel"))
     return out

@@ -116,3 +116,17 @@ def test_query_digest(spark, tmp_path):
     assert (one.n_assign, one.n_access, one.n_hex, one.spans) == (1, 0, 1, base)
     assert one.base_sha256 == hashlib.sha256(base.encode()).hexdigest() and two.base_sha256 == hashlib.sha256(b"").hexdigest()
     assert re.fullmatch(r"[0-9a-f]{64}", two.base_sha256) and two.spans == ""
+
+
+def test_key_in_neighbouring_lines_is_found_at_each():
+    key = "q7RtZ2mXc9Lw4VbN8sKd1Hy6PfGj3TuEa5Qo0WiM"
+    texts = [
+        f'client_credential("{key}")\ncurl -H "Authorization: Bearer {key}" https://www.example.com/\n',
+        f"aws_secret_access_key {key}\n" * 2,
+        f"bearer {key}. Then\nbearer {key}&user\n",
+        f"bearer {key}\n" + "x = 1\n" * 38 + f"bearer {key}\n",  # the edge of the context cuts the copy
+    ]
+    for text in texts:
+        found = [text[a:b] for a, b, kind in S.find_spans(text) if kind == "novel"]
+        assert len(found) == 2 and all(key in f for f in found), text
+        assert key not in S.redact_text(text)
