@@ -89,17 +89,23 @@ def surroundings(text: str, start: int, end: int) -> tuple[str, str]:
 
 
 def novel_spans(text: str, known: list[tuple[int, int, str]]) -> list[tuple[int, int, str]]:
-    """Candidates outside the known spans that add at least LEAST_NOVELTY bytes a character."""
+    """Candidates that known spans do not cover wholly and that add at least LEAST_NOVELTY bytes a
+    character, as a whole or by what known spans leave of them."""
     out = []
     for m in CANDIDATE.finditer(text):
         a, b = m.span(1)
         value = m[1]
-        if any(s < b and a < e for s, e, _ in known):
+        own = bytearray(b"\1" * len(value))
+        for s, e, _ in known:
+            if s < b and a < e:
+                own[max(s - a, 0):e - a] = bytes(min(e, b) - max(s, a))
+        rest = "".join(c for c, k in zip(value, own, strict=True) if k)
+        if not rest:
             continue
         if not (re.search(r"\d", value) and re.search(r"[A-Za-z]", value)):
             continue  # prose and plain numbers
         before, after = surroundings(text, a, b)
-        if added_bytes(before, value, after) >= LEAST_NOVELTY * len(value):
+        if any(added_bytes(before, v, after) >= LEAST_NOVELTY * len(v) for v in dict.fromkeys([value, rest])):
             out.append((a, b, "novel"))
     return out
 
@@ -138,8 +144,8 @@ def spans_column(text: Column) -> Column:
 def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, found``: the spans of every whole text, one row per row of ``docs``, no shuffle.
 
-    A null text is scanned as an empty one: no spans. Spans of one kind never overlap; a
-    "novel" span overlaps no base span. Repeated rows and null ids stay as they are; other
+    A null text is scanned as an empty one: no spans. Spans of one kind never overlap; a "novel"
+    span may overlap base spans that hold a part of its value, but none covers it. Repeated rows and null ids stay as they are; other
     columns are not read. An empty table gives no rows.
     """
     return docs.select(F.col(f"`{id_col}`").alias("doc_id"), spans_column(F.col(f"`{text_col}`").cast("string")).alias("found"))
