@@ -5,6 +5,8 @@ size of the surrounding code with the candidate less the size without it, with a
 of identifiers primed. Names, paths and prose repeat the dictionary or their surroundings
 and add few bytes; a key adds about as many bytes as it has characters. Other copies of the
 candidate are taken out of its surroundings first, so a key that is repeated is found at each place.
+Every candidate is measured; one without a digit or without a letter must add more, as words and
+plain numbers look like it.
 """
 
 from __future__ import annotations
@@ -34,6 +36,7 @@ CANDIDATE = re.compile(
 PIECE = re.compile(r"[A-Za-z0-9_-]{12,}")
 CONTEXT_CHARS = 256
 LEAST_NOVELTY = 0.7  # bytes a character that a candidate must add
+PLAIN_NOVELTY = 0.9  # the same for one without a digit or without a letter, as words and numbers are
 # Identifiers and values that stand beside keys in code and configuration.
 IDENTIFIERS = (
     "password passwd passphrase secret token api_key apikey access_key secret_access_key client_secret private_key "
@@ -90,7 +93,7 @@ def surroundings(text: str, start: int, end: int) -> tuple[str, str]:
 
 def novel_spans(text: str, known: list[tuple[int, int, str]]) -> list[tuple[int, int, str]]:
     """Candidates that known spans do not cover wholly and that add at least LEAST_NOVELTY bytes a
-    character, as a whole or by what known spans leave of them."""
+    character (PLAIN_NOVELTY without a digit or a letter), as a whole or by what known spans leave of them."""
     out = []
     for m in CANDIDATE.finditer(text):
         a, b = m.span(1)
@@ -102,10 +105,9 @@ def novel_spans(text: str, known: list[tuple[int, int, str]]) -> list[tuple[int,
         rest = "".join(c for c, k in zip(value, own, strict=True) if k)
         if not rest:
             continue
-        if not (re.search(r"\d", value) and re.search(r"[A-Za-z]", value)):
-            continue  # prose and plain numbers
+        least = LEAST_NOVELTY if re.search(r"\d", value) and re.search(r"[A-Za-z]", value) else PLAIN_NOVELTY
         before, after = surroundings(text, a, b)
-        if any(added_bytes(before, v, after) >= LEAST_NOVELTY * len(v) for v in dict.fromkeys([value, rest])):
+        if any(added_bytes(before, v, after) >= least * len(v) for v in dict.fromkeys([value, rest])):
             out.append((a, b, "novel"))
     return out
 

@@ -141,3 +141,11 @@ def test_value_that_a_base_span_covers_in_part_is_found_whole():
         text = f"bearer Zk!{part}$Vb8!nM4#Rt\n"
         assert [k for _, _, k in S.find_spans(text)] == ["novel", "hex" if part[0] == "0" else "access"]
         assert S.redact_text(text) == "bearer [SECRET]\n"
+
+
+def test_keys_without_a_digit_or_a_letter_are_measured():
+    for value in ("kXqPzWvRtYbNmLsD", "WqXz+Rt/VbNy+KpJhGfL", "83920174650918273645", "zK$Qw!Rt#Vb@Yn%Lp"):
+        text = f"bearer {value}\n"
+        assert S.redact_text(text) == "bearer [SECRET]\n", value
+    plain = "secret access: abcdefghijklmnopqrstuvwxyz\ntoken 0123456789012345\npassword placeholderplaceholder\n"
+    assert [k for _, _, k in S.find_spans(plain) if k == "novel"] == []
