@@ -11,6 +11,7 @@ list has room for join them, and then within the joined group for their counts.
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,6 +25,7 @@ from .graph import connected_components
 CELL = 128  # nodes that a cell aims at
 BLOCK = 512  # nodes of a cell that are compared in one block
 STRIP = 512  # rows of a similarity matrix that are held at once
+AUDIT_VALUES = 1 << 20  # numbers in the vectors of an audit's sample at most
 EDGES = "label_key string, node long, other long, cos double"
 
 
@@ -201,16 +203,12 @@ def _saturated(threshold: float) -> Column:
     return (F.size("near") >= F.col("keep")) & (F.col("near")[F.size("near") - 1]["cos"] >= threshold)
 
 
-def audited_recall(nodes: DataFrame, lists: DataFrame, threshold: float, sample: int, seed: int) -> float:
-    """Share of the links of ``sample`` nodes that the graph has, against brute force.
+def sampled_links(nodes: DataFrame, threshold: float, sample: int, seed: int) -> DataFrame:
+    """``(node, other)``: all links of ``sample`` nodes, by brute force.
 
-    The sampled vectors (a stated number) go to every task, which compares its nodes with
-    them. All links of a sampled node are expected; those between two saturated nodes are not in
-    the lists but are always found, as such nodes are compared exactly afterwards.
+    The sampled vectors (a stated number) go to every task, which compares its nodes with them.
     """
     chosen = nodes.orderBy(F.xxhash64("node", F.lit(seed)), "node").limit(sample).select("label_key", "node", "v").collect()
-    if not chosen:
-        return 1.0
     by_label: dict[str, tuple[np.ndarray, np.ndarray]] = {}
     for label in {r.label_key for r in chosen}:
         mine = [r for r in chosen if r.label_key == label]
@@ -226,15 +224,49 @@ def audited_recall(nodes: DataFrame, lists: DataFrame, threshold: float, sample:
                 names, rows = by_label[label]
                 part = batch.column(2).take(pa.array(at))
                 own = np.asarray(batch.column(1))[at]
-                hit = rows @ unit_rows(pa.chunked_array([part])).T >= threshold
-                hit &= names[:, None] != own[None, :]
-                a, b = np.nonzero(hit)
-                out_a.append(names[a])
-                out_b.append(own[b])
+                others = unit_rows(pa.chunked_array([part])).T
+                for start in range(0, len(rows), STRIP):
+                    hit = rows[start:start + STRIP] @ others >= threshold
+                    hit &= names[start:start + STRIP, None] != own[None, :]
+                    a, b = np.nonzero(hit)
+                    out_a.append(names[start + a])
+                    out_b.append(own[b])
             if out_a:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(out_a)), pa.array(np.concatenate(out_b))], names=["node", "other"])
 
-    truth = nodes.select("label_key", "node", "v").mapInArrow(compare, "node long, other long")
+    return nodes.select("label_key", "node", "v").mapInArrow(compare, "node long, other long")
+
+
+def enough_links(nodes: DataFrame, threshold: float, sample: int, least_links: int, seed: int) -> tuple[DataFrame, str]:
+    """The stored :func:`sampled_links` of as many nodes, from ``sample`` on, as have ``least_links`` links.
+
+    The sample ends at all nodes or at AUDIT_VALUES numbers; that fewer links were met there is reported.
+    """
+    total, width = nodes.agg(F.count("*"), F.max(F.size("v"))).first()
+    bound = min(total, max(sample, AUDIT_VALUES // max(1, width or 1)))
+    sample = min(sample, bound)
+    while True:
+        truth, path = stored(sampled_links(nodes, threshold, sample, seed), "truth")
+        links = truth.count()
+        if links >= least_links or sample >= bound:
+            if links < least_links and bound < total:
+                warnings.warn(f"recall is audited on {links} links of {sample} nodes, fewer than {least_links}", stacklevel=2)
+            return truth, path
+        drop_stored(nodes.sparkSession, [path])
+        sample = min(bound, 4 * sample)
+
+
+def audited_recall(nodes: DataFrame, lists: DataFrame, threshold: float, sample: int, seed: int) -> float:
+    """:func:`recall_of` the links of ``sample`` nodes."""
+    return recall_of(sampled_links(nodes, threshold, sample, seed), lists, threshold)
+
+
+def recall_of(truth: DataFrame, lists: DataFrame, threshold: float) -> float:
+    """Share of the links ``truth`` that the graph has, 1 if there are none.
+
+    All of them are expected; those between two saturated nodes are not in the lists but are
+    always found, as such nodes are compared exactly afterwards.
+    """
     found = _flat(lists).where(F.col("cos") >= threshold).select("node", "other", F.lit(1).alias("hit"))
     found = found.unionByName(found.select(F.col("other").alias("node"), F.col("node").alias("other"), "hit")).distinct()
     full = lists.where(_saturated(threshold)).select("node", F.lit(1).alias("full"))
@@ -248,35 +280,50 @@ def audited_recall(nodes: DataFrame, lists: DataFrame, threshold: float, sample:
 
 def neighbour_graph(
     nodes: DataFrame, threshold: float, k: int = 10, most: int = 80, trees: int = 4, rounds: int = 8,
-    recall: float = 0.98, sample: int = 256, seed: int = 7,
+    recall: float = 0.98, sample: int = 256, seed: int = 7, least_links: int = 200, more_rounds: int = 24,
 ) -> tuple[DataFrame, DataFrame, list[float]]:
     """(lists, saturated nodes at the longest list, recall audited after every round).
 
-    Rounds go on until the audit reaches ``recall`` and no list can still be enlarged, or
-    no list changes, at most ``rounds`` times. Every round is one stored table.
+    Rounds go on until the audit, on a sample with ``least_links`` links, reaches ``recall`` and
+    no list can still be enlarged or changes. Once no list changes, or after ``rounds``
+    rounds, a round also compares the cells of ``trees`` new trees. A recall that ``more_rounds``
+    of these do not reach is an error. Every round is one stored table.
     """
     cells, _ = stored(_cells(nodes, trees, seed), "parts")
     lists, path = stored(_merge(_first_lists(nodes, cells, k), None, k, most), "lists")
-    audits = [audited_recall(nodes, lists, threshold, sample, seed)]
-    for round_ in range(rounds):
+    truth, truth_path = enough_links(nodes, threshold, sample, least_links, seed)
+    audits = [recall_of(truth, lists, threshold)]
+    changed, added = True, 0
+    for round_ in range(rounds + more_rounds):
         saturated = _saturated(threshold)
         wanted, wanted_path = stored(
             lists.select("node", F.when(saturated, F.least(F.col("keep") * 2, F.lit(most))).otherwise(F.col("keep")).alias("keep"), saturated.alias("more"))
             .where((F.col("keep") > k) | F.col("more")), "wanted",
         )
         enlarged = wanted.where(F.col("more") & (F.col("keep") < most)).limit(1).count()
-        if audits[-1] >= recall and not enlarged and round_:
+        enough = audits[-1] >= recall
+        if enough and (round_ >= rounds or not changed or (not enlarged and round_)):
             break
         longer = lists.drop("keep").join(wanted.select("node", "keep"), "node", "left").withColumn("keep", F.coalesce("keep", F.lit(k)))
-        edges = _flat(lists).unionByName(_local_join(nodes, longer, cells, round_ % trees, k, threshold))
+        edges, grown = _flat(lists), []
+        if not enough and (round_ >= rounds or not changed):
+            if added == more_rounds:
+                break
+            added += 1
+            more, more_path = stored(_cells(nodes, trees, seed + added), "parts")
+            grown.append(more_path)
+            edges = edges.unionByName(_first_lists(nodes, more, k)).unionByName(_local_join(nodes, longer, more, 0, k, threshold))
+        else:
+            edges = edges.unionByName(_local_join(nodes, longer, cells, round_ % trees, k, threshold))
         following, next_path = stored(_merge(edges, wanted.select("node", "keep"), k, most), "lists")
         size = lambda df: tuple(df.agg(F.count("*"), F.sum(F.aggregate("near", F.lit(0.0), lambda s, n: s + n["cos"]))).first())
         changed = size(lists) != size(following)
-        drop_stored(nodes.sparkSession, [path, wanted_path])
+        drop_stored(nodes.sparkSession, [path, wanted_path, *grown])
         lists, path = following, next_path
-        audits.append(audited_recall(nodes, lists, threshold, sample, seed))
-        if not changed:
-            break
+        audits.append(recall_of(truth, lists, threshold))
+    drop_stored(nodes.sparkSession, [truth_path])
+    if audits[-1] < recall:
+        raise RuntimeError(f"recall {audits[-1]:.4f} after {len(audits) - 1} rounds, below {recall}: raise trees, rounds or more_rounds")
     return lists, lists.where(_saturated(threshold)).select("node"), audits
 
 

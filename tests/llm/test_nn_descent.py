@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pytest
 
 from claimlens.llm import nn_descent as N
 
@@ -108,3 +109,16 @@ def test_audit_expects_all_links(spark):
     cells, _ = N.stored(N._cells(nodes, 1, 7), "parts")
     short = N._merge(N._first_lists(nodes, cells, 5), None, 5, 5).withColumn("keep", N.F.lit(50))  # not full: these lists have lost links
     assert N.audited_recall(nodes, short, 0.98, 256, 7) < 0.2
+
+
+def test_recall_below_the_goal_has_consequences(spark, monkeypatch):
+    rows = clustered(300, [2] * 30, 16, np.random.default_rng(9), spread=0.02)
+    df = spark.createDataFrame([(i, v, 1, "x", 1) for i, v, _ in rows], SCHEMA)
+    _, nodes = N._nodes(df, "vec_id", "embedding", "label")
+    truth, _ = N.enough_links(nodes, 0.98, 4, 20, 7)
+    assert truth.count() >= 20  # four nodes have few links or none
+    monkeypatch.setattr(N, "CELL", 2)
+    with pytest.raises(RuntimeError, match="recall"):
+        N.neighbour_graph(nodes, 0.98, trees=1, rounds=0, more_rounds=0)
+    _, _, audits = N.neighbour_graph(nodes, 0.98, trees=2, rounds=0)
+    assert audits[0] < 0.98 <= audits[-1]
