@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .twins import MERKLE
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
@@ -99,6 +101,22 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), modulus=3, held_out=1)
 
 
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .merkle import folded, hex_text, manifest, path_digest, row_digest
+
+    docs = table(spark, sf_dir, "documents")
+    small = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    tampered = row_digest([F.col("doc_id"), F.col("source"), F.col("lang"), F.col("n_chars"), small])
+    hit = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    proofs = manifest(docs, arity=16, others={"tampered": F.when(hit, tampered)})
+    checked = proofs.withColumn("folded_root", folded(F.coalesce("tampered", "leaf"), F.col("path")))
+    return checked.select(
+        F.col("id").alias("doc_id"), *[hex_text(F.col(c)).alias(c) for c in ("leaf", "subroot", "root")],
+        path_digest(F.col("path")).alias("proof_sha256"), hex_text(F.col("folded_root")).alias("folded_root"),
+        (F.col("folded_root") == F.col("root")).alias("verified"),
+    )
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -116,6 +134,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_mixing": op8_mixing,
     "op9_language_id": op9_language_id,
     "op10_quality": op10_quality,
+    "op11_merkle": op11_merkle,
     "pipeline": pipeline,
 }
 
@@ -154,6 +173,7 @@ def _mix_level(name: str, above: str, path: tuple[str, ...]) -> str:
 
 
 ORACLE_SQL: dict[str, str] = {
+    "op11_merkle": MERKLE,
     "op8_mixing": f"""
         WITH docs AS (
             SELECT doc_id, lang AS own_lang, source AS own_source,
