@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .twins import MERKLE
+from .twins import MERKLE, PREFIX_TRIE
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -117,6 +117,14 @@ def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .prefix_trie import prefix_trie
+
+    conv = F.col("conv_id")
+    borrowed = F.crc32(conv.cast("string").cast("binary")) % 4
+    return prefix_trie(table(spark, sf_dir, "conversations"), base_of=conv - conv % 20, borrowed=borrowed)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -135,6 +143,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_language_id": op9_language_id,
     "op10_quality": op10_quality,
     "op11_merkle": op11_merkle,
+    "op13_prefix_trie": op13_prefix_trie,
     "pipeline": pipeline,
 }
 
@@ -174,6 +183,7 @@ def _mix_level(name: str, above: str, path: tuple[str, ...]) -> str:
 
 ORACLE_SQL: dict[str, str] = {
     "op11_merkle": MERKLE,
+    "op13_prefix_trie": PREFIX_TRIE,
     "op8_mixing": f"""
         WITH docs AS (
             SELECT doc_id, lang AS own_lang, source AS own_source,

@@ -75,3 +75,47 @@ MERKLE = f"""
     LEFT JOIN proofs p ON p.part = l.part AND p.leaf_idx = l.idx
     JOIN fold f ON f.part = l.part AND f.leaf_idx = l.idx AND f.step = coalesce(p.steps, 0)
 """
+
+
+PREFIX_TRIE = f"""
+    WITH turns AS (
+        SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+               row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) - 1 AS seq
+        FROM conversations WHERE conv_id IS NOT NULL
+    ), convs AS (
+        SELECT conv_id, conv_id - conv_id % 20 AS base, count(*) AS n, {crc32_sql("CAST(conv_id AS VARCHAR)")} % 4 AS h
+        FROM turns GROUP BY conv_id
+    ), kept AS (
+        SELECT c.*, least(c.h, coalesce(b.n, 0)) AS kept FROM convs c LEFT JOIN convs b ON b.conv_id = c.base
+    ), rebuilt AS (
+        SELECT k.conv_id, t.seq AS pos, t.role, t.text FROM kept k JOIN turns t ON t.conv_id = k.base AND t.seq < k.kept
+        UNION ALL
+        SELECT k.conv_id, t.seq - k.h + k.kept, t.role, t.text FROM kept k JOIN turns t ON t.conv_id = k.conv_id AND t.seq >= k.h
+    ), hashed AS (
+        SELECT *, sha256(CAST(strlen(role) AS VARCHAR) || ':' || role || text) AS own,
+               len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')) AS words FROM rebuilt
+    ), prefixes AS (
+        SELECT conv_id, pos + 1 AS depth, words,
+               string_agg(own, '') OVER (PARTITION BY conv_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS path
+        FROM hashed
+        UNION ALL
+        SELECT conv_id, 0, 0, '' FROM kept
+    ), nodes AS (
+        SELECT path, any_value(depth) AS depth, any_value(words) AS words, min(conv_id) AS conv_id, count(*) AS n_convs,
+               (count(*) - 1) * any_value(words) AS saved FROM prefixes GROUP BY path
+    ), ends AS (
+        SELECT path, string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) AS ids
+        FROM (SELECT conv_id, arg_max(path, depth) AS path FROM prefixes GROUP BY conv_id) GROUP BY path
+    ), children AS (
+        SELECT left(path, strlen(path) - 64) AS path, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY 1
+    ), subtrees AS (
+        -- a node lies below those that its least member passes through
+        SELECT p.path, count(*) FILTER (c.n_children IS NULL) AS n_leaves, sum(y.saved) AS saved_tokens
+        FROM nodes y JOIN prefixes p ON p.conv_id = y.conv_id AND p.depth <= y.depth
+        LEFT JOIN children c ON c.path = y.path GROUP BY p.path
+    )
+    SELECT x.conv_id, CAST(x.depth AS BIGINT) AS depth, u.conv_id AS parent_conv_id, x.n_convs, CAST(coalesce(c.n_children, 0) AS BIGINT) AS n_children,
+           CAST(s.n_leaves AS BIGINT) AS n_leaves, CAST(s.saved_tokens AS BIGINT) AS saved_tokens, sha256(coalesce(e.ids, '')) AS ends_sha256
+    FROM nodes x JOIN subtrees s USING (path) LEFT JOIN children c USING (path) LEFT JOIN ends e USING (path)
+    LEFT JOIN nodes u ON x.depth > 0 AND u.path = left(x.path, strlen(x.path) - 64)
+"""

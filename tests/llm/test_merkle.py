@@ -110,7 +110,7 @@ def test_a_hot_group_is_spread_over_tasks(spark):
     from claimlens.llm.ordering import numbered
 
     rows = spark.range(20_000).select((F.col("id") % 10 < 9).cast("int").alias("g"), F.lit(1).alias("same"))
-    conf = {"spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    conf = {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
     from claimlens.session import session_conf
 
     with session_conf(spark, conf):
