@@ -117,6 +117,12 @@ def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_graph_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .graph_search import nearest_by_inner_product
+
+    return nearest_by_inner_product(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
 def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .prefix_trie import prefix_trie
 
@@ -143,6 +149,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_language_id": op9_language_id,
     "op10_quality": op10_quality,
     "op11_merkle": op11_merkle,
+    "op12_graph_search": op12_graph_search,
     "op13_prefix_trie": op13_prefix_trie,
     "pipeline": pipeline,
 }
