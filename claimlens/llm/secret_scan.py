@@ -4,7 +4,8 @@ For a candidate next to a sensitive word, zstandard measures what it adds: the c
 size of the surrounding code with the candidate less the size without it, with a dictionary
 of identifiers primed. Names, paths and prose repeat the dictionary or their surroundings
 and add few bytes; a key adds about as many bytes as it has characters. Other copies of the
-candidate are taken out of its surroundings first, so a key that is repeated is found at each place.
+candidate and all other candidates are taken out of its surroundings first: a key that is repeated is found at
+each place, and one in a list of keys is not measured against their alphabet.
 Every candidate is measured; one without a digit or without a letter must add more, as words and
 plain numbers look like it.
 """
@@ -12,6 +13,8 @@ plain numbers look like it.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, bisect_right
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
 import pyarrow as pa
@@ -70,43 +73,80 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
     return out + [(m.start(), m.end(), "hex") for m in LONG_HEX.finditer(text)]
 
 
-def _without(text: str, start: int, end: int, copies: list[str], low: int, high: int) -> str:
-    """``text[start:end]`` without the characters of any of ``copies`` found in ``text[low:high]``."""
+def _without(text: str, start: int, end: int, gone: list[tuple[int, int]]) -> str:
+    """``text[start:end]`` without the characters of ``gone``."""
     kept = bytearray(b"\1" * (end - start))
-    for copy in copies:
-        at = text.find(copy, max(low, start - len(copy) + 1), min(high, end + len(copy) - 1))
-        while at >= 0:
-            a, b = max(at, start) - start, min(at + len(copy), end) - start
+    for a, b in gone:
+        a, b = max(a, start) - start, min(b, end) - start
+        if a < b:
             kept[a:b] = bytes(b - a)
-            at = text.find(copy, at + len(copy), min(high, end + len(copy) - 1))
     return "".join(c for c, k in zip(text[start:end], kept, strict=True) if k)
 
 
-def surroundings(text: str, start: int, end: int) -> tuple[str, str]:
-    """What stands before and after a value, without its other occurrences: a key that stands
-    twice would only repeat its copy, and be novel in neither place. Other ends may be joined to
-    the copy, so long pieces of the value between punctuation are taken out as well."""
-    copies = list(dict.fromkeys([text[start:end], *PIECE.findall(text, start, end)]))
+def _copies(text: str, value: str, low: int, high: int) -> Iterator[tuple[int, int]]:
+    """Where ``value`` stands in ``text[low:high]``, without overlaps."""
+    at = text.find(value, low, high)
+    while at >= 0:
+        yield at, at + len(value)
+        at = text.find(value, at + len(value), high)
+
+
+def surroundings(text: str, start: int, end: int, others: Iterable[tuple[int, int]] = ()) -> tuple[str, str]:
+    """What stands before and after a value, without its other occurrences and without ``others``.
+
+    A key that stands twice would only repeat its copy, and one beside other keys would be written in
+    the letters that they have taught the compressor: both would look like nothing new. Other ends may be joined to a
+    copy, so long pieces of the value between punctuation are taken out as well.
+    """
+    pieces = dict.fromkeys([text[start:end], *PIECE.findall(text, start, end)])
     low, high = max(0, start - CONTEXT_CHARS), min(len(text), end + CONTEXT_CHARS)
-    return _without(text, low, start, copies, 0, start), _without(text, end, high, copies, end, len(text))
+    gone = [*others]
+    for piece in pieces:
+        gone += _copies(text, piece, max(0, low - len(piece) + 1), start)
+        gone += _copies(text, piece, end, min(len(text), high + len(piece) - 1))
+    return _without(text, low, start, gone), _without(text, end, high, gone)
+
+
+def _union(spans: Iterable[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Spans as disjoint ones in order."""
+    out: list[tuple[int, int]] = []
+    for a, b in sorted(spans):
+        if out and a <= out[-1][1]:
+            out[-1] = out[-1][0], max(b, out[-1][1])
+        else:
+            out.append((a, b))
+    return out
+
+
+def _meeting(spans: list[tuple[int, int]], starts: list[int], start: int, end: int) -> list[tuple[int, int]]:
+    """Of disjoint spans in order, those that meet ``start`` to ``end``."""
+    first = max(0, bisect_right(starts, start) - 1)
+    return [s for s in spans[first:bisect_left(starts, end)] if s[1] > start]
 
 
 def novel_spans(text: str, known: list[tuple[int, int, str]]) -> list[tuple[int, int, str]]:
     """Candidates that known spans do not cover wholly and that add at least LEAST_NOVELTY bytes a
-    character (PLAIN_NOVELTY without a digit or a letter), as a whole or by what known spans leave of them."""
+    character (PLAIN_NOVELTY without a digit or a letter), as a whole or by what known spans leave of them.
+
+    Other candidates and known spans do not count as surroundings. Each candidate looks only at what
+    stands within its surroundings, so the time follows the length of the text.
+    """
+    found = [m.span(1) for m in CANDIDATE.finditer(text)]
+    covered = _union((a, b) for a, b, _ in known)
+    covered_at = [a for a, _ in covered]
+    values = _union([*found, *covered])
+    values_at = [a for a, _ in values]
     out = []
-    for m in CANDIDATE.finditer(text):
-        a, b = m.span(1)
-        value = m[1]
+    for a, b in found:
+        value = text[a:b]
         own = bytearray(b"\1" * len(value))
-        for s, e, _ in known:
-            if s < b and a < e:
-                own[max(s - a, 0):e - a] = bytes(min(e, b) - max(s, a))
+        for s, e in _meeting(covered, covered_at, a, b):
+            own[max(s - a, 0):max(0, e - a)] = bytes(min(e, b) - max(s, a))
         rest = "".join(c for c, k in zip(value, own, strict=True) if k)
         if not rest:
             continue
         least = LEAST_NOVELTY if re.search(r"\d", value) and re.search(r"[A-Za-z]", value) else PLAIN_NOVELTY
-        before, after = surroundings(text, a, b)
+        before, after = surroundings(text, a, b, _meeting(values, values_at, a - CONTEXT_CHARS, b + CONTEXT_CHARS))
         if any(added_bytes(before, v, after) >= least * len(v) for v in dict.fromkeys([value, rest])):
             out.append((a, b, "novel"))
     return out

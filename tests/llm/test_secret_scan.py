@@ -1,6 +1,8 @@
 import hashlib
+import random
 import re
 
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -149,3 +151,40 @@ def test_keys_without_a_digit_or_a_letter_are_measured():
         assert S.redact_text(text) == "bearer [SECRET]\n", value
     plain = "secret access: abcdefghijklmnopqrstuvwxyz\ntoken 0123456789012345\npassword placeholderplaceholder\n"
     assert [k for _, _, k in S.find_spans(plain) if k == "novel"] == []
+
+
+ALPHABETS = {
+    "lower": "abcdefghijklmnopqrstuvwxyz0123456789", "base32": "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", "upper": "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789",
+    "mixed": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789", "base64": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/",
+    "hex": "0123456789ABCDEF",
+}
+
+
+@pytest.mark.parametrize("alphabet", sorted(ALPHABETS))
+@pytest.mark.parametrize("length", [16, 20, 32, 64])
+def test_keys_in_lists_are_found(alphabet, length):
+    rng = random.Random(length)
+    found = total = 0
+    for _ in range(10):
+        keys = ["".join(rng.choice(ALPHABETS[alphabet]) for _ in range(length)) for _ in range(12)]
+        text = "\n".join(f"auth_{i} => {k}" for i, k in enumerate(keys))
+        spans = {text[a:b] for a, b, _ in S.find_spans(text)}
+        found += sum(k in spans for k in keys)
+        total += len(keys)
+    assert found >= 0.95 * total
+
+
+def test_a_text_of_assignments_takes_time_in_proportion():
+    import time
+
+    rng = random.Random(1)
+    lines = [f'token_{i} = "{"".join(rng.choice(ALPHABETS["mixed"]) for _ in range(24))}"' for i in range(100_000)]
+    began = time.time()
+    assert len(S.find_spans("\n".join(lines))) >= 100_000
+    assert time.time() - began < 60  # the walk over all known spans took hours
+
+
+def test_names_in_lists_are_left_alone():
+    names = ["customer_account_number", "session_storage_location", "request_header_timeout", "password_reset_endpoint_url", "authentication_provider_name"]
+    text = "\n".join(f"auth_{i} => {n}" for i, n in enumerate(names))
+    assert [k for _, _, k in S.find_spans(text) if k == "novel"] == []
