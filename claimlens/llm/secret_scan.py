@@ -128,14 +128,16 @@ def novel_spans(text: str, known: list[tuple[int, int, str]]) -> list[tuple[int,
     """Candidates that known spans do not cover wholly and that add at least LEAST_NOVELTY bytes a
     character (PLAIN_NOVELTY without a digit or a letter), as a whole or by what known spans leave of them.
 
-    Other candidates and known spans do not count as surroundings. Each candidate looks only at what
-    stands within its surroundings, so the time follows the length of the text.
+    Other candidates and known spans do not count as surroundings; for a candidate without a digit or
+    a letter only those that have both are left out, as names in a list tell each other's alphabet. Each candidate
+    looks only at what stands within its surroundings, so the time follows the length of the text.
     """
     found = [m.span(1) for m in CANDIDATE.finditer(text)]
     covered = _union((a, b) for a, b, _ in known)
     covered_at = [a for a, _ in covered]
-    values = _union([*found, *covered])
-    values_at = [a for a, _ in values]
+    mixed = lambda a, b: bool(re.search(r"\d", text[a:b]) and re.search(r"[A-Za-z]", text[a:b]))
+    values, keys = _union([*found, *covered]), _union([*(s for s in found if mixed(*s)), *covered])
+    values_at, keys_at = [a for a, _ in values], [a for a, _ in keys]
     out = []
     for a, b in found:
         value = text[a:b]
@@ -145,8 +147,8 @@ def novel_spans(text: str, known: list[tuple[int, int, str]]) -> list[tuple[int,
         rest = "".join(c for c, k in zip(value, own, strict=True) if k)
         if not rest:
             continue
-        least = LEAST_NOVELTY if re.search(r"\d", value) and re.search(r"[A-Za-z]", value) else PLAIN_NOVELTY
-        before, after = surroundings(text, a, b, _meeting(values, values_at, a - CONTEXT_CHARS, b + CONTEXT_CHARS))
+        least, others, at = (LEAST_NOVELTY, values, values_at) if mixed(a, b) else (PLAIN_NOVELTY, keys, keys_at)
+        before, after = surroundings(text, a, b, _meeting(others, at, a - CONTEXT_CHARS, b + CONTEXT_CHARS))
         if any(added_bytes(before, v, after) >= least * len(v) for v in dict.fromkeys([value, rest])):
             out.append((a, b, "novel"))
     return out
