@@ -32,25 +32,17 @@ def latest_version(df: DataFrame, key: str | Sequence[str], order_by: Sequence[s
     """One row per ``key``: the greatest by ``order_by``, then by the
     remaining columns (a total order, so the result is deterministic).
 
-    The greatest first order column and the number of rows are hash-aggregated (combined
-    map-side: a key repeated a billion times is one row per task); rows that are alone, or
-    alone at that greatest value, come out of an equi-join, and only keys with a tie there
-    are ordered in full. Rows with a null key have no identity and are all kept.
+    One exchange: ``row_number() = 1`` is planned with a group limit before the shuffle, so a
+    task ships one row per key, however often a key repeats. Rows with a null key have no
+    identity and are all kept.
     """
     keys = [key] if isinstance(key, str) else list(key)
-    rest = [c for c in df.columns if c not in keys and c not in order_by]
-    ordered = [*order_by, *rest]
+    ordered = [*order_by, *(c for c in df.columns if c not in keys and c not in order_by)]
     no_key = reduce(operator.or_, [F.col(c).isNull() for c in keys])
     if not ordered:
         return df.filter(~no_key).select(*keys).distinct().unionByName(df.filter(no_key))
-    keyed, first = df.filter(~no_key), ordered[0]
-    newest = keyed.groupBy(*keys).agg(F.max(first).alias("_newest"))
-    same_key = [F.col(f"a.{c}") == F.col(f"b.{c}") for c in keys]
-    at_newest = reduce(operator.and_, same_key) & F.col(f"a.{first}").eqNullSafe(F.col("b._newest"))
-    last = keyed.alias("a").join(newest.alias("b"), at_newest).select("a.*")
-    # the joined rows are partitioned by key: the window sorts ties without another shuffle
-    order = [F.col(c).desc_nulls_last() for c in ordered[1:]] or [F.lit(0)]
-    one = last.withColumn("_n", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).filter("_n = 1").drop("_n")
+    newest = Window.partitionBy(*keys).orderBy(*[F.col(c).desc_nulls_last() for c in ordered])
+    one = df.filter(~no_key).withColumn("_n", F.row_number().over(newest)).filter("_n = 1").drop("_n")
     return one.unionByName(df.filter(no_key))
 
 

@@ -60,3 +60,27 @@ def read_if_exists(spark: SparkSession, path: str, schema: T.StructType | None =
         if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             return None
         raise
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file so that it is there whole or not at all; an existing one is an error."""
+    target, fs = _filesystem(spark, path)
+    if fs.exists(target):
+        raise FileExistsError(path)
+    draft, _ = _filesystem(spark, f"{path}.draft")
+    out = fs.create(draft, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+    if not fs.rename(draft, target):
+        raise OSError(f"cannot publish {path}")
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small text file as a whole."""
+    return spark.read.text(path, wholetext=True).first()[0]
+
+
+def file_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the entries of a folder, sorted; none where it does not exist."""
+    target, fs = _filesystem(spark, path)
+    return sorted(f.getPath().getName() for f in fs.listStatus(target)) if fs.exists(target) else []
