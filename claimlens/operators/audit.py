@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import datetime as _dt
+import operator
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -61,10 +63,12 @@ def audit_entries(results: DataFrame, quality: DataFrame, created_at,
 
 
 def new_entries_only(new: DataFrame, existing: DataFrame | None) -> DataFrame:
-    """Entries not already in the log (idempotent append)."""
+    """Entries not already in the log (idempotent append); null versions and ids are equal."""
     if existing is None:
         return new
-    return new.join(existing.select(*AUDIT_KEY), AUDIT_KEY, "left_anti")
+    log = existing.select(*[F.col(c).alias(f"_log_{c}") for c in AUDIT_KEY])
+    same = reduce(operator.and_, [F.col(c).eqNullSafe(F.col(f"_log_{c}")) for c in AUDIT_KEY])
+    return new.join(log, same, "left_anti")
 
 
 def filter_audit(

@@ -124,7 +124,9 @@ def append_audit(spark: SparkSession, entries: DataFrame, path: str) -> int:
     existing = read_if_exists(spark, path, AUDIT_ENTRY)
     if existing is not None:
         versions = [r[0] for r in entries.select("model_version").distinct().collect()]
-        existing = existing.filter(F.col("model_version").isin([v for v in versions if v is not None]))
+        own = F.col("model_version").isin([v for v in versions if v is not None])
+        # entries without a version are compared with the log's own such partition
+        existing = existing.filter(own | F.col("model_version").isNull() if None in versions else own)
     fresh, obs = _observed(new_entries_only(entries, existing), "audit")
     fresh.write.mode("append").partitionBy("model_version").parquet(path)
     return obs.get["rows"]

@@ -169,3 +169,19 @@ def test_quality_json_and_parquet_writers(spark):
     assert K.write_quality_results(q, os.path.join(folder, "quality")) == 2
     assert spark.read.json(os.path.join(folder, "quality")).filter("is_quality_concern").count() == 1
     assert K.write_parquet(q, os.path.join(folder, "pq")) == 2
+
+
+def test_audit_append_compares_null_versions_and_ids(spark):
+    import tempfile
+
+    from claimlens.schemas import AUDIT_ENTRY
+    from claimlens.sinks.writers import append_audit
+
+    names = AUDIT_ENTRY.fieldNames()
+    entry = lambda entity, version: tuple({"event_type": "fraud_flag", "entity_type": "claim", "entity_id": entity, "model_version": version}.get(c) for c in names)
+    rows = [entry("A", "v1"), entry("A", None), entry(None, "v1"), entry(None, None)]
+    path = tempfile.mkdtemp(prefix="audit-") + "/log"
+    assert append_audit(spark, spark.createDataFrame(rows, AUDIT_ENTRY), path) == 4
+    assert append_audit(spark, spark.createDataFrame(rows, AUDIT_ENTRY), path) == 0
+    assert append_audit(spark, spark.createDataFrame([*rows, entry("B", None)], AUDIT_ENTRY), path) == 1
+    assert spark.read.parquet(path).count() == 5
