@@ -388,6 +388,26 @@ SELECT claim_id, round(avg(s), 6) AS raw_score FROM walk WHERE done GROUP BY cla
 seen AS (SELECT *, coalesce(updated_at >= TIMESTAMP '2000-01-01 00:00:00', false) AS twice FROM claims)
 SELECT claim_id, CASE WHEN twice THEN 'reviewed' ELSE status END AS status,
   strftime(CASE WHEN twice THEN updated_at + INTERVAL 1 DAY ELSE updated_at END, '%Y-%m-%d %H:%M:%S') AS updated_at FROM seen"""
+    # the incremental core: every result is that of the plain computation over the final versions
+    of = "CAST(split_part(claim_id, '-', 2) AS BIGINT) % 100"
+    q["bucket_upsert"] = f"""WITH {sql_views()}
+SELECT claim_id, CASE WHEN {of} = 7 THEN 'reviewed' ELSE status END AS status,
+  strftime(CASE WHEN {of} = 7 THEN updated_at + INTERVAL 1 DAY ELSE updated_at END, '%Y-%m-%d %H:%M:%S') AS updated_at FROM claims"""
+    q["incremental_rollup"] = f"""WITH {sql_views()},
+last AS (SELECT sku, CASE WHEN {of} = 7 THEN 'repair' ELSE claim_type END AS claim_type FROM claims)
+SELECT manufacturer_id, coalesce(nullif(product_category, ''), 'unknown') AS product_category, count(*) AS total_claims,
+  count(*) FILTER (WHERE claim_type = 'repair') AS repair_count,
+  round(count(*) FILTER (WHERE claim_type = 'repair') / count(*), 6) AS repair_claim_rate
+FROM last JOIN sku_catalog USING (sku) GROUP BY ALL"""
+    q["streaming_current"] = f"""WITH {sql_views()},
+halves AS (SELECT *, CAST(split_part(claim_id, '-', 3) AS INTEGER) % 2 = 0 AS updated FROM claims)
+SELECT claim_id, CASE WHEN updated THEN 'reviewed' ELSE status END AS status,
+  strftime(CASE WHEN updated THEN updated_at + INTERVAL 1 DAY ELSE updated_at - INTERVAL 400 DAY END, '%Y-%m-%d %H:%M:%S') AS updated_at,
+  CAST(CASE WHEN updated THEN 1 ELSE 0 END AS BIGINT) AS late_rows FROM halves"""
+    q["keyless_score_files"] = q["parse_score_lines"]
+    q["medians_from_sketches"] = chain + "\n" + "\nUNION ALL ".join(
+        f"SELECT '{c}' AS name, round(CAST({c} AS DOUBLE), 6) AS median FROM med" for c in _CT
+    )
     files = chain + f""",
 {_score_lines()},
 good AS (SELECT claim_id, max(raw_score) AS raw_score FROM parsed2 WHERE parse_error IS NULL GROUP BY claim_id)"""
