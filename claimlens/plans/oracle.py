@@ -382,6 +382,30 @@ walk AS (
     LEFT JOIN nodes b ON b.tree_id = n.tree_id AND b.node_id = CASE WHEN w.x[n.dim + 1] <= n.cut THEN n.rgt ELSE n.lft END
     WHERE NOT w.done))
 SELECT claim_id, round(avg(s), 6) AS raw_score FROM walk WHERE done GROUP BY claim_id"""
+    exts = [f"(greatest(n.lo[{j}] - w.x[{j}], 0) + greatest(w.x[{j}] - n.hi[{j}], 0))" for j in range(1, len(_CT) + 1)]
+    added = [f"g{j} + pi * greatest(r, mass) * e{j} + CASE WHEN leaf AND at_cut = {j - 1} THEN pi * (1 - p) * r ELSE 0 END" for j in range(1, len(_CT) + 1)]
+    ranked = ", ".join(f"{{'neg': -round(avg(g{j}), 6), 'pos': {j}, 'name': '{c}'}}" for j, c in enumerate(_CT, 1))
+    q["forest_factors_fixed"] = "WITH RECURSIVE" + chain.removeprefix("WITH") + f""",
+nodes(tree_id, node_id, dim, cut, lft, rgt, mass, lo, hi) AS (VALUES {_fixed_forest()}),
+walk AS (
+  SELECT claim_id, [{", ".join(_CT)}] AS x, tree_id, 0 AS node_id, CAST(1 AS DOUBLE) AS pi, CAST(0 AS DOUBLE) AS r, 0 AS at_cut,
+    {", ".join(f"CAST(0 AS DOUBLE) AS g{j}" for j in range(1, len(_CT) + 1))}, false AS done
+  FROM scaled, (SELECT DISTINCT tree_id FROM nodes)
+  UNION ALL
+  SELECT claim_id, x, tree_id, next_id, pi * (1 - p), CASE WHEN leaf THEN r ELSE greatest(r, ratio) END,
+    CASE WHEN NOT leaf AND ratio > r THEN dim ELSE at_cut END, {", ".join(added)}, leaf
+  FROM (
+    SELECT w.*, n.mass, n.dim, n.dim < 0 AS leaf, c.node_id AS next_id, b.mass / (c.mass + 1.0) AS ratio,
+      CASE WHEN {_extent()} = 0 THEN 0.0 ELSE {_extent()} / ({_extent()} + {_span()}) END AS p,
+      {", ".join(f"CASE WHEN {_extent()} = 0 THEN 0.0 ELSE {e} / ({_extent()} + {_span()}) END AS e{j}" for j, e in enumerate(exts, 1))}
+    FROM walk w JOIN nodes n ON n.tree_id = w.tree_id AND n.node_id = w.node_id
+    LEFT JOIN nodes c ON c.tree_id = n.tree_id AND c.node_id = CASE WHEN w.x[n.dim + 1] <= n.cut THEN n.lft ELSE n.rgt END
+    LEFT JOIN nodes b ON b.tree_id = n.tree_id AND b.node_id = CASE WHEN w.x[n.dim + 1] <= n.cut THEN n.rgt ELSE n.lft END
+    WHERE NOT w.done))
+SELECT claim_id, round({" + ".join(f"avg(g{j})" for j in range(1, len(_CT) + 1))}, 6) AS raw_score,
+  {", ".join(f"round(avg(g{j}), 6) AS {c}_share" for j, c in enumerate(_CT, 1))},
+  array_to_string(list_transform(list_slice(list_sort([{ranked}]), 1, 3), lambda e: e.name), ',') AS contributing_factors
+FROM walk WHERE done GROUP BY claim_id"""
     q["streaming_ingest"] = f"WITH {sql_views()}\nSELECT claim_id, true AS as_delivered FROM claims"
     q["claims_redelivered"] = chain + "\nSELECT manufacturer_id, total_claims, repair_count FROM rollup"
     q["ingest_two_runs_same_day"] = f"""WITH {sql_views()},
