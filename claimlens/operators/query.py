@@ -92,11 +92,11 @@ def filter_results(df: DataFrame, filters: ResultFilters, kind: str = "fraud") -
 def sort_results(df: DataFrame, kind: str = "fraud", sort_by: str | None = None, descending: bool = True) -> DataFrame:
     """O1: sort by any column (missing number -> 0, other missing values last), key as the
     unique tie-break."""
-    value = _sort_value(df, kind, sort_by)
+    value = sort_value(df, kind, sort_by)
     return df.orderBy(value.desc_nulls_last() if descending else value.asc_nulls_last(), F.col(KEYS[kind][0]).asc())
 
 
-def _sort_value(df: DataFrame, kind: str, sort_by: str | None) -> Column:
+def sort_value(df: DataFrame, kind: str, sort_by: str | None) -> Column:
     col = sort_by or KEYS[kind][1]
     if col not in df.columns:
         return F.lit(0.0)  # a whole number would be read as a column position
@@ -111,7 +111,7 @@ def page_after(df: DataFrame, last_value, last_key, page_size: int = DEFAULT_PAG
     page x size rows per task and is for shallow pages. ``last_value`` None means that the
     last row's value was missing.
     """
-    key, value = F.col(KEYS[kind][0]), _sort_value(df, kind, sort_by)
+    key, value = F.col(KEYS[kind][0]), sort_value(df, kind, sort_by)
     if last_value is None:
         later = value.isNull() & (key > last_key)
     else:

@@ -428,6 +428,24 @@ halves AS (SELECT *, CAST(split_part(claim_id, '-', 3) AS INTEGER) % 2 = 0 AS up
 SELECT claim_id, CASE WHEN updated THEN 'reviewed' ELSE status END AS status,
   strftime(CASE WHEN updated THEN updated_at + INTERVAL 1 DAY ELSE updated_at - INTERVAL 400 DAY END, '%Y-%m-%d %H:%M:%S') AS updated_at,
   CAST(CASE WHEN updated THEN 1 ELSE 0 END AS BIGINT) AS late_rows FROM halves"""
+    q["cobucketed_days"] = q["days_feature"]
+    q["page_directory"] = chain + """,
+placed AS (SELECT claim_id, claim_amount, row_number() OVER (ORDER BY coalesce(claim_amount, 0) DESC, claim_id) - 1 AS pos, count(*) OVER () AS n FROM results)
+SELECT CAST(pos // 70 + 1 AS BIGINT) AS page, claim_id, claim_amount FROM placed WHERE pos // 70 + 1 IN (1, 3, greatest(1, (n + 69) // 70))"""
+    texts = ("claim_id", "contract_id", "sku", "claim_type", "status")
+    counted = [f"SELECT '{c}' AS \"column\", 'string' AS stored_type, 'string' AS inferred_type, 2 * count({c}) AS v, 2 * count_if({c} IS NULL) AS e, 0 AS b FROM claims" for c in texts]
+    counted += [
+        f"SELECT 'claim_amount', 'double', 'string', count(claim_amount) + count_if(claim_amount IS NOT NULL OR {of} = 7), "
+        f"count_if(claim_amount IS NULL) + count_if(claim_amount IS NULL AND {of} <> 7), count_if({of} = 7) FROM claims",
+        f"SELECT 'claim_date', 'date', 'string', 2 * count(*), 0, count_if({of} = 8) FROM claims",
+        *[f"SELECT '{c}', 'timestamp', 'timestamp', 2 * count(*), 0, 0 FROM claims" for c in ("created_at", "updated_at")],
+        "SELECT 'line', NULL, 'int', count(*), 0, NULL FROM claims",
+        "SELECT 'description', 'string', NULL, NULL, NULL, NULL",
+    ]
+    q["schema_drift"] = f"WITH {sql_views()}" + """
+SELECT "column", stored_type, inferred_type, CAST(v AS DOUBLE) AS "values", CAST(e AS DOUBLE) AS nulls, CAST(b AS DOUBLE) AS bad_values,
+  CASE WHEN v IS NULL THEN 'missing' WHEN stored_type IS NULL THEN 'new' WHEN b > 0 THEN 'drifted' ELSE 'ok' END AS status FROM (
+""" + "\nUNION ALL ".join(counted) + ")"
     q["keyless_score_files"] = q["parse_score_lines"]
     q["medians_from_sketches"] = chain + "\n" + "\nUNION ALL ".join(
         f"SELECT '{c}' AS name, round(CAST({c} AS DOUBLE), 6) AS median FROM med" for c in _CT
