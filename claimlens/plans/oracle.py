@@ -428,6 +428,13 @@ halves AS (SELECT *, CAST(split_part(claim_id, '-', 3) AS INTEGER) % 2 = 0 AS up
 SELECT claim_id, CASE WHEN updated THEN 'reviewed' ELSE status END AS status,
   strftime(CASE WHEN updated THEN updated_at + INTERVAL 1 DAY ELSE updated_at - INTERVAL 400 DAY END, '%Y-%m-%d %H:%M:%S') AS updated_at,
   CAST(CASE WHEN updated THEN 1 ELSE 0 END AS BIGINT) AS late_rows FROM halves"""
+    box = ", ".join(f"round({end}(CAST({c} AS DOUBLE)), 6) AS {c}_{end}" for c in _CT for end in ("min", "max"))
+    q["forest_update"] = chain + f""",
+dealt AS (
+  SELECT *, CAST('0x' || substr(md5(claim_id), 1, 8) AS BIGINT) % 20 AS tree_id, substr(md5(claim_id), 9, 24) AS h FROM scaled),
+held AS (SELECT * FROM dealt QUALIFY row_number() OVER (PARTITION BY tree_id ORDER BY h, claim_id) <= 64)
+SELECT tree_id, count(*) AS points, count(*) AS leaf_mass, min(claim_id) AS first_claim, max(claim_id) AS last_claim, {box}
+FROM held GROUP BY tree_id"""
     q["cobucketed_days"] = q["days_feature"]
     q["page_directory"] = chain + """,
 placed AS (SELECT claim_id, claim_amount, row_number() OVER (ORDER BY coalesce(claim_amount, 0) DESC, claim_id) - 1 AS pos, count(*) OVER () AS n FROM results)
