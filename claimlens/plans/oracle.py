@@ -428,6 +428,7 @@ halves AS (SELECT *, CAST(split_part(claim_id, '-', 3) AS INTEGER) % 2 = 0 AS up
 SELECT claim_id, CASE WHEN updated THEN 'reviewed' ELSE status END AS status,
   strftime(CASE WHEN updated THEN updated_at + INTERVAL 1 DAY ELSE updated_at - INTERVAL 400 DAY END, '%Y-%m-%d %H:%M:%S') AS updated_at,
   CAST(CASE WHEN updated THEN 1 ELSE 0 END AS BIGINT) AS late_rows FROM halves"""
+    q["audit_log_by_bucket"] = f"SELECT * FROM ({q['audit_entries']})\nUNION ALL BY NAME\nSELECT * REPLACE (CAST(NULL AS VARCHAR) AS model_version) FROM ({q['audit_entries']})"
     box = ", ".join(f"round({end}(CAST({c} AS DOUBLE)), 6) AS {c}_{end}" for c in _CT for end in ("min", "max"))
     q["forest_update"] = chain + f""",
 dealt AS (
