@@ -8,6 +8,7 @@ with its own population, and between epochs an island's best solution moves to t
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import zlib
@@ -22,9 +23,15 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .boundaries import with_blanks
 from .common import give_back_memory, slices_by_bytes, stored
 
 CACHE_WORDS = 800_000  # kept by a worker from task to task, about 120 MB
+CACHE_BYTES = 1 << 27  # the same, as bytes of words and ids
+LONG_CHARS = 1 << 15  # a run without blanks is read in parts of about this length
+CALL_CHARS = 1 << 18  # that the library is given at once
+# Fixed value: the pre-token pattern of the files that are read by chunks.
+_PRE_TOKENS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 BATCH_BYTES = 1 << 23
 # A word of Latin letters and the marks after it: two pre-tokens, whatever stands around them.
 _LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
@@ -39,7 +46,9 @@ class BlankFreeIds:
     Such a tokenizer gives a text the ids of its blank-separated chunks one after the
     other. So the distinct chunks of a batch are looked up, not its words: a chunk is a word
     and its marks, or else itself, and what was not met before goes to the library.
-    The ids of the batch are then gathered by number. The cache is emptied when full.
+    The ids of the batch are then gathered by number. The cache is emptied when full. Long runs without
+    blanks are parted where a letter meets a mark; one endless pre-token stays whole. Files with
+    other pre-tokens or that do not lower-case are left to the library, text by text.
     """
 
     def __init__(self, path: str):
@@ -49,6 +58,12 @@ class BlankFreeIds:
         self.tok = Tokenizer.from_file(path)
         self.tok.no_truncation()
         self.tok.no_padding()
+        with open(path, encoding="utf-8") as fh:
+            made = json.load(fh)
+        steps = (made.get("pre_tokenizer") or {}).get("pretokenizers", [])
+        cases = (made.get("normalizer") or {}).get("normalizers", [])
+        splits = [s["pattern"].get("Regex") for s in steps if s["type"] == "Split"]
+        self.by_chunks = splits == [_PRE_TOKENS] and any(c["type"] == "Lowercase" for c in cases)
         self.suffix = getattr(self.tok.model, "end_of_word_suffix", None)
         vocabulary = self.tok.get_vocab(with_added_tokens=True)
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
@@ -58,15 +73,37 @@ class BlankFreeIds:
 
     def forget(self) -> None:
         """Empty the cache."""
+        self.held = self.held_ids = 0
         self.numbers: dict[str, int] = {"": 0}
         self.ids = np.empty(0, "<u4")
         self.offsets = np.zeros(2, np.int64)
 
+    def full(self, words: int) -> bool:
+        """Whether the cache holds more than ``words`` or CACHE_BYTES."""
+        return len(self.numbers) > words or self.held > CACHE_BYTES
+
+    def _library(self, texts: list[str]) -> Iterator[np.ndarray]:
+        """The library's ids of each text, about CALL_CHARS characters in one call."""
+        at = 0
+        while at < len(texts):
+            to, size = at + 1, len(texts[at])
+            while to < len(texts) and size + len(texts[to]) <= CALL_CHARS:
+                size += len(texts[to])
+                to += 1
+            for one in self.tok.encode_batch_fast(texts[at:to], add_special_tokens=False):
+                yield np.array(one.ids, "<u4")
+            at = to
+
     def encode(self, texts: list[str] | pa.Array) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers."""
-        chunks = pc.ascii_split_whitespace(pa.array(texts, pa.string()) if isinstance(texts, list) else texts)
+        texts = pa.array(texts, pa.string()) if isinstance(texts, list) else texts
+        if not self.by_chunks:
+            return [ids.tobytes() for ids in self._library(texts.to_pylist())]
+        if (pc.max(pc.binary_length(texts)).as_py() or 0) > LONG_CHARS:
+            texts = pa.array([with_blanks(t, LONG_CHARS) for t in texts.to_pylist()], pa.string())
+        chunks = pc.ascii_split_whitespace(texts)
         coded = chunks.flatten().dictionary_encode()
-        if len(self.numbers) > CACHE_WORDS:
+        if self.full(CACHE_WORDS):
             self.forget()
         parts = pc.extract_regex(coded.dictionary, _CHUNK)
         simple = parts.is_valid()
@@ -82,6 +119,9 @@ class BlankFreeIds:
 
     def encode_long(self, text: str) -> list[bytes]:
         """The ids of one text, as a list of one: long ones are read in parts, cut at blanks."""
+        if not self.by_chunks:
+            return self.encode([text])
+        text = with_blanks(text, LONG_CHARS)
         parts, at = [], 0
         while len(text) - at > BATCH_BYTES:
             blank = _BLANK.search(text, at + BATCH_BYTES)
@@ -118,12 +158,14 @@ class BlankFreeIds:
             sizes.append(np.diff(ends, prepend=-1))
         words = [w for w in words if w in plain]
         if others:
-            singles = [single.ids for single in self.tok.encode_batch_fast(others, add_special_tokens=False)]
-            found.append(np.array(list(chain.from_iterable(singles)), "<u4"))
+            singles = list(self._library(others))
+            found += singles
             sizes.append(np.array(list(map(len, singles))))
         self.numbers.update(zip(chain(words, others), count(len(self.numbers)), strict=False))
         self.ids = np.concatenate([self.ids, *found])
         self.offsets = np.concatenate([self.offsets, self.offsets[-1] + np.cumsum(np.concatenate(sizes))])
+        self.held = self.ids.nbytes + self.offsets.nbytes + 2 * sum(map(len, new)) + (self.held - self.held_ids)
+        self.held_ids = self.ids.nbytes + self.offsets.nbytes
 
 
 def _gathered(ids: np.ndarray, offsets: np.ndarray, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -173,7 +215,7 @@ def cut_pieces(
                     pa.array([k * capacity for k in piece], pa.int64()), pa.array(length, pa.int64()), pa.array(crc, pa.int64()),
                 ]
                 yield pa.RecordBatch.from_arrays(columns + [pa.array(held, pa.list_(pa.int32()))] * with_ids, names=names)
-        if len(encoder.numbers) > keep_words:
+        if encoder.full(keep_words):
             encoder.forget()
         give_back_memory()
 

@@ -12,16 +12,12 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .boundaries import ANY, boundary_of, cut
 from .common import fresh, give_back_memory, slices_by_bytes
 
 BATCH_BYTES = 1 << 20
 SPLIT_CHARS = 1 << 16
 
-# A letter or digit followed by a blank or line end. Every pre-token pattern of the
-# byte-level family starts a new pre-token at white space that follows other text, and
-# no special string holds white space, so both sides encode as they do together.
-_BOUNDARY = re.compile(r"[^\W_](?=[ \n])")
-
 
 @lru_cache(maxsize=4)
 def load_encoder(path: str):
@@ -44,26 +40,19 @@ def load_encoder(path: str):
     return lambda texts: [len(ids) for ids in sp.encode(texts, num_threads=1)]
 
 
-def split_safely(text: str, limit: int | None = None) -> list[str]:
+def split_safely(text: str, limit: int | None = None, boundary: re.Pattern = ANY) -> list[str]:
     """Cut ``text`` after about every ``limit`` characters, at safe boundaries only.
 
-    Joined again the parts are the text. A stretch without any boundary stays whole.
+    Joined again the parts are the text. A stretch without any boundary (one endless pre-token) stays
+    whole: its merges depend on all of it.
     """
-    parts, start, limit = [], 0, limit or SPLIT_CHARS
-    while len(text) - start > limit:
-        found = _BOUNDARY.search(text, start + limit)
-        if found is None:
-            break
-        parts.append(text[start:found.end()])
-        start = found.end()
-    parts.append(text[start:])
-    return parts
+    return cut(text, limit or SPLIT_CHARS, boundary)
 
 
 def count_texts(texts: list[str], path: str, split: bool = True) -> list[int]:
     """Token count of each text; parts of long texts are encoded with others, about
     BATCH_BYTES characters in one call however long a text is."""
-    encode = load_encoder(path)
+    encode, boundary = load_encoder(path), boundary_of(path) if split else ANY
     counts, parts, owner, held = [0] * len(texts), [], [], 0
 
     def flush() -> None:
@@ -71,7 +60,7 @@ def count_texts(texts: list[str], path: str, split: bool = True) -> list[int]:
             counts[i] += n
 
     for i, text in enumerate(texts):
-        for part in split_safely(text) if split else [text]:
+        for part in split_safely(text, None, boundary) if split else [text]:
             if parts and held + len(part) > BATCH_BYTES:
                 flush()
                 parts, owner, held = [], [], 0

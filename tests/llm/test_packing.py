@@ -100,3 +100,34 @@ def test_repeated_rows_over_shards_pack_tightly(spark):
 
 def test_empty_table(spark):
     assert P.pack_documents(spark.createDataFrame([], DOCS), PATH).collect() == []
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.sampled_from(["a", "É", "中", "の", "б", "1", "。", "，", ".", "(", "'s", "'", "<|endoftext|>", "́", "_", " ", "!?"]), max_size=60).map("".join))
+def test_runs_parted_at_marks_keep_their_ids(text):
+    from claimlens.llm.boundaries import with_blanks
+
+    assert library_ids(with_blanks(text, 3)) == library_ids(text)
+
+
+def test_a_long_text_without_blanks_is_read_in_parts():
+    import resource
+
+    text = "这是没有空格的文字，一句接着一句。" * 300_000  # about 15 MB
+    encoder = P.BlankFreeIds(PATH)
+    one = library_ids("这是没有空格的文字，一句接着一句。")
+    before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+    assert np.array_equal(np.frombuffer(encoder.encode_long(text)[0], "<u4"), np.tile(np.array(one, "<u4"), 300_000))
+    assert (resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before) / 1024 < 900
+    encoder.held = P.CACHE_BYTES + 1
+    encoder.encode(["a b"])
+    assert len(encoder.numbers) < 10  # full by bytes: emptied
+
+
+def test_other_tokenizers_go_to_the_library():
+    other = P.BlankFreeIds(public_tokenizers.path("byte_bpe_50k.json"))
+    assert not other.by_chunks and P.BlankFreeIds(PATH).by_chunks
+    from tokenizers import Tokenizer
+
+    text = "Two  words\n and <|endoftext|> More"
+    assert np.frombuffer(other.encode([text])[0], "<u4").tolist() == Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json")).encode(text, add_special_tokens=False).ids

@@ -46,3 +46,23 @@ def test_documents(spark, name):
         (i, len((t or "").encode()), whole(t or "", path), whole(t or "", path) > 10) for i, t, *_ in rows
     ]
     assert T.count_tokens(spark.createDataFrame([], DOCS), path).collect() == []
+
+
+NO_BLANKS = st.lists(st.sampled_from(["a", "é", "中", "文", "の", "カ", "한", "б", "1", "。", "，", ".", ",", "(", "）", "'s", "'", "<|endoftext|>", "|", "́", "😀", "_", "…", "!?"]), max_size=80).map("".join)
+
+
+@settings(max_examples=300, deadline=None)
+@given(NO_BLANKS)
+def test_texts_without_blanks_are_split_between_letters_and_marks(text):
+    parts = T.split_safely(text, 4)
+    assert "".join(parts) == text and sum(T.count_texts(parts, PATH)) == whole(text)
+
+
+def test_a_long_text_without_blanks_stays_in_bounded_memory():
+    import resource
+
+    text = "这是没有空格的文字，一句接着一句。" * 600_000  # about 30 MB
+    T.count_texts([text[:1000]], PATH)
+    before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+    assert T.count_texts([text], PATH) == [whole("这是没有空格的文字，一句接着一句。" * 10) * 60_000]
+    assert (resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before) / 1024 < 700  # MB; whole it took gigabytes
