@@ -7,7 +7,8 @@ meet, and whoever shares one is a pair at most ``2 r`` bits apart.
 The variants are shuffled by ``b`` of their bits: a fingerprint is sent once to every
 bucket that one of its variants falls into, and the bucket's task derives the variants
 inside it. That moves ``1 + b + b(b-1)/2`` rows per fingerprint instead of 2,081, while
-each variant still meets its equals in exactly one task.
+each variant still meets its equals in exactly one task. Crowded buckets are halved at their
+own evenest bits within the task, and sent on by further bits where too many reach them.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ from __future__ import annotations
 import math
 import re
 from collections.abc import Iterator
+from functools import reduce
 from itertools import combinations
 
 import numpy as np
@@ -28,6 +30,8 @@ from .graph import connected_components
 
 SEED = 42
 VARIANTS_PER_BUCKET = 1 << 21
+MOST_IN_BUCKET = 1 << 20  # fingerprints that one task walks
+FURTHER_BITS = 8  # by which a fuller bucket is sent on
 SEGMENT_BYTES = 1 << 21  # of a text whose words are held at once
 _CHUNK = 1 << 16
 _BLANK = re.compile(rb"[\x20\x09-\x0d]")
@@ -93,13 +97,6 @@ def _masks(bits: list[int], most: int) -> list[np.ndarray]:
     ]
 
 
-def _bucket_of(values: np.ndarray, bits: list[int]) -> np.ndarray:
-    out = np.zeros(values.shape, np.uint64)
-    for to, i in enumerate(bits):
-        out |= ((values >> np.uint64(i)) & np.uint64(1)) << np.uint64(to)
-    return out
-
-
 def bucket_bits(fps: DataFrame, rows: int, radius: int, variants_per_bucket: int = VARIANTS_PER_BUCKET) -> list[int]:
     """The bits of a variant that name its bucket: as many as keep a bucket's variants at
     the stated number on average, the evenest ones (one narrow aggregate over ``fps``)."""
@@ -111,104 +108,161 @@ def bucket_bits(fps: DataFrame, rows: int, radius: int, variants_per_bucket: int
     return sorted(sorted(range(64), key=lambda i: (abs(ones[i] - rows / 2), i))[:wanted])
 
 
-def _star_links(fps: np.ndarray, bits: list[int], bucket: int, radius: int, limit: int) -> tuple[np.ndarray, np.ndarray]:
-    """Links between the fingerprints that share a variant in this bucket, as a spanning forest.
+def _fixed(fps: np.ndarray, mask: int, value: int) -> tuple[np.ndarray, np.ndarray]:
+    """(each fingerprint with the bits of ``mask`` set as in ``value``, how many of them that flips)."""
+    m, v = np.uint64(mask), np.uint64(value)
+    return (fps & ~m) | v, np.bitwise_count((fps ^ v) & m)
+
+
+def _even_bits(values: np.ndarray, free: list[int], wanted: int) -> list[int]:
+    """The ``wanted`` bits of ``free`` that split ``values`` most evenly."""
+    off = [abs(2 * int(((values >> np.uint64(i)) & np.uint64(1)).sum()) - len(values)) for i in free]
+    return [free[i] for i in sorted(range(len(free)), key=lambda i: (off[i], i))[:wanted]]
+
 
-    Everyone with a variant in common is within ``2 * radius`` bits of everyone else there,
-    so a star around the least of them keeps the connection without all pairs; each link is
-    checked on its bits all the same. A bucket with more variants than ``limit`` is
-    walked in slices by further bits, so memory is bounded and nothing is left out.
+def _slices(at: np.ndarray, base: np.ndarray, spent: np.ndarray, free: list[int], radius: int, limit: int, joined) -> Iterator[tuple]:
+    """Parts of one bucket with at most ``limit`` variants each; every variant lies in exactly one.
+
+    A part with more is halved at its own evenest bit: those with the other value of the bit spend
+    a flip on it or drop out. Parts whose members ``joined`` says are linked already are left out.
     """
-    own = _bucket_of(fps, bits)
-    used = np.bitwise_count(own ^ np.uint64(bucket))
-    base = fps.copy()  # the fingerprint with the bucket's bits set as the bucket has them
-    for to, i in enumerate(bits):
-        flag = np.uint64(1 << i)
-        base = base | flag if bucket >> to & 1 else base & ~flag
-    rest = [i for i in range(64) if i not in bits]
-    total = sum(int((used == n).sum()) * math.comb(len(rest), k) for n in range(radius + 1) for k in range(radius - n + 1))
-    extra = rest[: min(len(rest), max(0, math.ceil(math.log2(max(1, total / limit)))))]
-    inner = [i for i in rest if i not in extra]
-    extra_masks, inner_masks = _masks(extra, radius), _masks(inner, radius)
-    n_extra = _bucket_of(base, extra)
-    us, vs = [], []
-    for part in range(1 << len(extra)):
-        more = np.bitwise_count(n_extra ^ np.uint64(part)) + used
-        into = base.copy()
-        for to, i in enumerate(extra):
-            flag = np.uint64(1 << i)
-            into = into | flag if part >> to & 1 else into & ~flag
-        values, owners = [], []
-        for spent in range(radius + 1):
-            at = np.flatnonzero(more == spent)
-            for masks in inner_masks[: radius - spent + 1]:
-                if len(at) and len(masks):
-                    values.append((into[at, None] ^ masks[None, :]).ravel())
-                    owners.append(np.repeat(at.astype(np.int32), len(masks)))
-        if not values:
+    todo = [(at, base, spent, free)]
+    while todo:
+        at, base, spent, free = todo.pop()
+        if len(at) < 2 or joined(at):
             continue
-        value, owner = np.concatenate(values), np.concatenate(owners)
-        order = np.argsort(value)
-        value, owner = value[order], owner[order]
-        same = value[1:] == value[:-1]
-        met = np.flatnonzero(np.concatenate([[False], same]) | np.concatenate([same, [False]]))
-        if not len(met):
+        left = np.bincount(spent, minlength=radius + 1).tolist()
+        total = sum(left[n] * math.comb(len(free), k) for n in range(radius + 1) for k in range(radius - n + 1))
+        if total <= limit or not free:
+            yield at, base, spent, free
             continue
-        value, owner = value[met], owner[met]
-        starts = np.flatnonzero(np.concatenate([[True], value[1:] != value[:-1]]))
-        least = np.minimum.reduceat(owner, starts)  # fps are sorted, so the least index is the least fingerprint
+        (bit,) = _even_bits(base, free, 1)
+        flag, rest, halves = np.uint64(1 << bit), [i for i in free if i != bit], []
+        for value in (0, 1):
+            into = base | flag if value else base & ~flag
+            more = spent + (into != base)
+            stay = np.flatnonzero(more <= radius)
+            halves.append((at[stay], into[stay], more[stay], rest))
+        todo += sorted(halves, key=lambda h: int((h[2] == 0).sum()))  # the fuller one first: its links spare others
+
+
+def _unite(label: np.ndarray, u: np.ndarray, v: np.ndarray) -> np.ndarray:
+    """``label`` (least member of each one's component) once ``u`` and ``v`` are linked."""
+    while True:
+        a, b = label[u], label[v]
+        apart = np.flatnonzero(a != b)
+        if not len(apart):
+            return label
+        u, v, a, b = u[apart], v[apart], a[apart], b[apart]
+        np.minimum.at(label, np.maximum(a, b), np.minimum(a, b))
+        while True:
+            up = label[label]
+            if (up == label).all():
+                break
+            label = up
+
+
+def _star_links(fps: np.ndarray, mask: int, value: int, radius: int, limit: int) -> tuple[np.ndarray, np.ndarray]:
+    """Links between the fingerprints that share a variant in this bucket, as a spanning forest.
+
+    ``fps`` are distinct and ascending. Everyone with a variant in common is within
+    ``2 * radius`` bits of everyone else there, so a star around the least of them keeps the
+    connection without all pairs; each link is checked on its bits all the same. Variants are
+    derived in slices of at most ``limit``, so memory is bounded however tight a cluster is.
+    """
+    base, spent = _fixed(fps, mask, value)
+    label, masks = np.arange(len(fps)), {}
+    at = np.flatnonzero(spent <= radius)
+    free = [i for i in range(64) if not mask >> i & 1]
+    joined = lambda some: bool((label[some] == label[some[0]]).all())
+    for at, base, spent, free in _slices(at, base[at], spent[at].astype(np.int64), free, radius, limit, joined):
+        if tuple(free) not in masks:
+            masks = {tuple(free): _masks(free, radius)}
+        values, owners = [], []
+        for n in range(radius + 1):
+            own = np.flatnonzero(spent == n)
+            for flips in masks[tuple(free)][: radius - n + 1]:
+                if len(own) and len(flips):
+                    values.append((base[own, None] ^ flips[None, :]).ravel())
+                    owners.append(np.repeat(at[own].astype(np.int32), len(flips)))
+        variant, owner = np.concatenate(values), np.concatenate(owners)
+        order = np.argsort(variant)
+        variant, owner = variant[order], owner[order]
+        starts = np.flatnonzero(np.concatenate([[True], variant[1:] != variant[:-1]]))
+        least = np.minimum.reduceat(owner, starts)  # fps ascend, so the least index is the least fingerprint
         other = np.repeat(least, np.diff(np.append(starts, len(owner))))
-        pairs = np.unique(np.stack([owner, other], 1)[owner != other], axis=0)
-        us.append(pairs[:, 0])
-        vs.append(pairs[:, 1])
-    if not us:
-        return np.empty(0, np.uint64), np.empty(0, np.uint64)
-    u, v = np.concatenate(us), np.concatenate(vs)
-    close = np.bitwise_count(fps[u] ^ fps[v]) <= 2 * radius
-    u, v = u[close], v[close]
-    label = np.arange(len(fps))
-    while True:  # least index that the links of this bucket reach
-        before = label.copy()
-        np.minimum.at(label, u, label[v])
-        np.minimum.at(label, v, label[u])
-        label = label[label]
-        if (label == before).all():
-            break
+        apart = np.flatnonzero(label[owner] != label[other])
+        packed = np.unique(owner[apart].astype(np.int64) << 32 | other[apart])
+        u, v = packed >> 32, packed & 0xFFFFFFFF
+        close = np.bitwise_count(fps[u] ^ fps[v]) <= 2 * radius
+        label = _unite(label, u[close], v[close])
     linked = np.flatnonzero(label != np.arange(len(fps)))
     return fps[linked], fps[label[linked]]
 
 
-def ball_links(fps: DataFrame, max_bits: int = 4, variants_per_bucket: int = VARIANTS_PER_BUCKET) -> DataFrame:
+def _spread(fps: np.ndarray, mask: int, value: int, bits: list[int], radius: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(bucket value, fingerprint) for each bucket of ``mask`` and ``bits`` that a variant of a fingerprint
+    of bucket ``(mask, value)`` falls into, some at a time."""
+    base, spent = _fixed(fps, mask, value)
+    now = mask | sum(1 << i for i in bits)
+    for n, flips in enumerate(_masks(bits, radius)):
+        at = np.flatnonzero(spent <= radius - n)
+        for some in np.array_split(at, -(-len(at) * max(1, len(flips)) // _CHUNK) or 1):
+            if len(some) and len(flips):
+                yield ((base[some] & np.uint64(now))[:, None] ^ flips[None, :]).ravel(), np.repeat(fps[some], len(flips))
+
+
+def _long(values: np.ndarray) -> pa.Array:
+    return pa.array(values.view(np.int64))
+
+
+def _same(value: int, n: int) -> pa.Array:
+    return _long(np.full(n, value, np.uint64))
+
+
+def ball_links(
+    fps: DataFrame, max_bits: int = 4, variants_per_bucket: int = VARIANTS_PER_BUCKET, most_in_bucket: int = MOST_IN_BUCKET
+) -> DataFrame:
     """Edges ``(u, v)`` whose components are those of "at most ``max_bits`` bits apart".
 
     ``fps``: a stored table with one row per distinct fingerprint, column ``fp`` (long).
     ``max_bits`` is even; half of it is the ball's radius.
+
+    A bucket is ``(mask, value)``: the variants with these bits. One that more than
+    ``most_in_bucket`` fingerprints reach is not walked; its task sends them on to buckets of further
+    bits, even within it, and the next round meets them there.
     """
     if max_bits % 2:
         raise ValueError("max_bits must be even: each side spends half of it")
     radius = max_bits // 2
     bits = bucket_bits(fps, fps.count(), radius, variants_per_bucket)
-    masks = [m for group in _masks(list(range(len(bits))), radius) for m in group.tolist()]
+    first = sum(1 << i for i in bits)
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        flips = np.array(masks, np.uint64)
         for batch in batches:
-            fp = np.asarray(batch.column(0)).view(np.uint64)
-            for at in range(0, len(fp), _CHUNK // 8):
-                some = fp[at:at + _CHUNK // 8]
-                bucket = (_bucket_of(some, bits)[:, None] ^ flips[None, :]).ravel()
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(bucket.astype(np.int64)), pa.array(np.repeat(some, len(flips)).view(np.int64))],
-                    names=["bucket", "fp"],
-                )
+            for value, fp in _spread(np.asarray(batch.column(0)).view(np.uint64), 0, 0, bits, radius):
+                yield pa.RecordBatch.from_arrays([_same(first, len(fp)), _long(value), _long(fp)], names=["mask", "value", "fp"])
 
     def meet(group: pa.Table) -> pa.Table:
+        mask, value = (int(group.column(c)[0].as_py()) & (1 << 64) - 1 for c in ("mask", "value"))
         found = np.unique(np.asarray(group.column("fp").combine_chunks()).view(np.uint64))
-        u, v = _star_links(found, bits, int(group.column("bucket")[0].as_py()), radius, variants_per_bucket)
-        return pa.table({"u": u.view(np.int64), "v": v.view(np.int64)})
-
-    sent = fps.select("fp").mapInArrow(send, "bucket long, fp long")
-    return sent.groupBy("bucket").applyInArrow(meet, "u long, v long").distinct()
+        free = [i for i in range(64) if not mask >> i & 1]
+        if len(found) <= most_in_bucket or not free:
+            u, v = _star_links(found, mask, value, radius, variants_per_bucket)
+            return pa.table({"mask": pa.nulls(len(u), pa.int64()), "u": _long(u), "v": _long(v)})
+        more = _even_bits(found, free, FURTHER_BITS)
+        parts = list(_spread(found, mask, value, more, radius))
+        u, v = (np.concatenate(c) for c in zip(*parts, strict=True))
+        return pa.table({"mask": _same(mask | sum(1 << i for i in more), len(u)), "u": _long(u), "v": _long(v)})
+
+    sent, links = fps.select("fp").mapInArrow(send, "mask long, value long, fp long"), []
+    while True:
+        met, _ = stored(sent.groupBy("mask", "value").applyInArrow(meet, "mask long, u long, v long"), "met")
+        links.append(met.where(F.col("mask").isNull()).select("u", "v"))
+        over = met.where(F.col("mask").isNotNull())
+        if over.isEmpty():
+            return reduce(DataFrame.unionByName, links).distinct()
+        sent = over.select("mask", F.col("u").alias("value"), F.col("v").alias("fp"))
 
 
 def _classes(prints: DataFrame, id_col: str, max_bits: int) -> DataFrame:

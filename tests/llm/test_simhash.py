@@ -67,8 +67,9 @@ def test_components_match_brute_force(spark):
     prints = sorted(prints)
     fps = spark.createDataFrame([(int(np.uint64(p).astype(np.int64)),) for p in prints], "fp long")
     truth = components(range(len(prints)), lambda a, b: bin(prints[a] ^ prints[b]).count("1") <= 4)
-    for limit in (1 << 21, 5_000, 60):  # one bucket, several, and buckets walked in slices
-        links = ball_links(fps, 4, limit)
+    # one bucket, several, buckets walked in slices, and buckets sent on (once, again and again)
+    for limit, most in ((1 << 21, 1 << 20), (5_000, 1 << 20), (60, 1 << 20), (1 << 21, 60), (5_000, 20)):
+        links = ball_links(fps, 4, limit, most)
         got = {r.node: r.root for r in connected_components(links).collect()}
         at = {int(np.uint64(p).astype(np.int64)): i for i, p in enumerate(prints)}
         groups = {}
@@ -80,6 +81,45 @@ def test_components_match_brute_force(spark):
         assert sorted(map(sorted, found.values())) == sorted(map(sorted, groups.values()))
 
 
+def cluster(size, flips, seed):
+    """Distinct fingerprints, each ``flips`` bits off one centre."""
+    rng = random.Random(seed)
+    centre, out = rng.getrandbits(64), set()
+    while len(out) < size:
+        out.add(centre ^ sum(1 << i for i in rng.sample(range(64), flips)))
+    return np.array(sorted(out), np.uint64)
+
+
+@pytest.mark.parametrize("flips", [2, 3, 7])
+def test_slices_hold_each_variant_once_within_the_limit(flips):
+    from claimlens.llm.simhash import _masks, _slices
+
+    fps, limit, seen = cluster(150, flips, 8), 2_000, []
+    start = (np.arange(len(fps)), fps, np.zeros(len(fps), np.int64), list(range(64)))
+    for at, base, spent, free in _slices(*start, 2, limit, lambda some: False):
+        masks, part = _masks(free, 2), []
+        for i, value, used in zip(at.tolist(), base.tolist(), spent.tolist(), strict=True):
+            part += [(i, value ^ m) for group in masks[: 3 - used] for m in group.tolist()]
+        assert len(part) <= limit
+        seen += part
+    assert len(seen) == len(set(seen))
+    met = {}
+    for i, f in enumerate(fps.tolist()):
+        for m in np.concatenate(_masks(list(range(64)), 2)).tolist():
+            met.setdefault(f ^ m, set()).add(i)
+    # parts with one member hold nothing to meet and are left out; every variant that two share is there
+    assert {(i, v) for v, who in met.items() if len(who) > 1 for i in who} <= set(seen)
+
+
+@pytest.mark.parametrize(("size", "flips"), [(30_000, 3), (100_000, 4)])
+def test_tight_cluster_above_the_limit(size, flips):
+    from claimlens.llm.simhash import _star_links
+
+    fps = cluster(size, flips, 9)
+    u, v = _star_links(fps, 0, 0, 2, 1 << 19)
+    assert len(u) == size - 1 and set(v.tolist()) == {int(fps[0])}  # all of them are one component
+
+
 DOCS = "doc_id long, text string, fp string, row_no int"
 
 
