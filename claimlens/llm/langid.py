@@ -4,8 +4,9 @@ A text is the average of the embeddings of its subwords: the 2-, 3- and 4-grams
 word edges included, hashed into buckets. The embeddings and the softmax are learned by
 stochastic gradient descent in numpy from a bounded sample of labelled rows. As the
 softmax's logits are linear in the average, scoring needs only each bucket's logits:
-one table that every task gets. Temperature and rejection threshold are calibrated
-on rows of the sample that were left out of the descent.
+one table that every task gets. The temperature, and a rejection threshold for each class of
+text length (a few words can't be as sure as a page), are calibrated on rows of the sample
+that were left out of the descent.
 """
 
 from __future__ import annotations
@@ -27,6 +28,9 @@ from .hashing import bags, code_points, gram_buckets, remainder_of_id, runs_of_c
 GRAMS = (2, 3, 4)
 BITS = 15
 UNKNOWN = "und"
+LENGTHS = (32, 128, 512)  # subwords at which the next class of text length begins
+LEAST_WINDOWS = 50  # a class with fewer is calibrated on all windows
+MOST_ODDS = 1.0  # log odds that are never rejected: a confidence of 0.73
 _GAP = re.compile(r"[\W\d_]")
 
 
@@ -36,7 +40,7 @@ class LanguageModel:
     logits: np.ndarray  # (2 ** BITS + 1, labels): of each bucket, the last row is zero
     bias: np.ndarray
     temperature: float
-    threshold: float  # a lower confidence is rejected
+    threshold: tuple[float, ...]  # of each class of length: a lower confidence is rejected
 
 
 def _subwords(texts: list[str]):
@@ -65,7 +69,19 @@ def parts_of(text: str, limit: int) -> list[str]:
 
 def score_texts(model: LanguageModel, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
     """(label, confidence) of each whole text; ``und`` and 0 where there is no letter."""
-    labels, scores = [], np.zeros(len(texts))
+    return _scored(model, texts)[:2]
+
+
+def rejections(model: LanguageModel, texts: list[str | None]) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """:func:`score_texts`, and whether the confidence is below that of the text's class of length."""
+    labels, scores, subwords = _scored(model, texts)
+    least = np.array(model.threshold or (0.0,) * (len(LENGTHS) + 1))[np.searchsorted(LENGTHS, subwords, side="right")]
+    return labels, scores, (np.array(labels, object) == UNKNOWN) | (scores < least)
+
+
+def _scored(model: LanguageModel, texts: list[str | None]) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """(label, confidence, number of subwords) of each whole text."""
+    labels, scores, subwords = [], np.zeros(len(texts)), np.zeros(len(texts), np.int64)
     for a, b in runs_of_chars([t or "" for t in texts]):
         part = [t or "" for t in texts[a:b]]
         total, count = np.zeros((b - a, len(model.labels)), np.float32), np.zeros(b - a, np.int64)
@@ -74,6 +90,7 @@ def score_texts(model: LanguageModel, texts: list[str | None]) -> tuple[list[str
             for buckets, offsets in _subwords(some):
                 total += segment_sums(model.logits[buckets], offsets)
                 count += segment_sums(buckets != 1 << BITS, offsets)
+        subwords[a:b] = count
         if not model.labels:
             labels += [UNKNOWN] * (b - a)
             continue
@@ -84,7 +101,7 @@ def score_texts(model: LanguageModel, texts: list[str | None]) -> tuple[list[str
         known = count > 0  # a gram needs a letter
         labels += [model.labels[i] if k else UNKNOWN for i, k in zip(best, known, strict=True)]
         scores[a:b] = np.where(known, p[np.arange(b - a), best], 0.0)
-    return labels, scores
+    return labels, scores, subwords
 
 
 def training_windows(text: str, window_chars: int) -> list[str]:
@@ -105,11 +122,32 @@ def _features(texts: pd.Series, window_chars: int) -> pd.Series:
         for window in training_windows(text, window_chars):
             found = np.concatenate([b for b, _ in _subwords([window])])
             bucket, count = np.unique(found[found != 1 << BITS], return_counts=True)
-            rows.append({"bucket": bucket.astype(np.int32), "share": (count / max(1, count.sum())).astype(np.float32)})
+            rows.append({"bucket": bucket.astype(np.int32), "share": (count / max(1, count.sum())).astype(np.float32), "subwords": int(count.sum())})
         out.append(rows)
     return pd.Series(out, index=texts.index)
 
 
+def _subword_counts(column: pa.ChunkedArray) -> list[np.ndarray]:
+    """Per row, the number of subwords of each of its windows."""
+    out = []
+    for chunk in column.chunks:
+        offsets, counts = np.asarray(chunk.offsets), np.asarray(chunk.values.field("subwords"))
+        out += [counts[a:b] for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
+    return out
+
+
+def _thresholds(confidence: np.ndarray, subwords: np.ndarray, false_rejects: float) -> tuple[float, ...]:
+    """Per class of length: half the log odds that all but ``false_rejects`` of its windows reach, at most
+    ``MOST_ODDS`` (log odds below zero are taken as they are)."""
+    p = np.clip(confidence.astype(np.float64), 1e-9, 1 - 1e-9)
+    odds, group, out = np.log(p / (1 - p)), np.searchsorted(LENGTHS, subwords, side="right"), []
+    for g in range(len(LENGTHS) + 1):
+        own = odds[group == g] if (group == g).sum() >= LEAST_WINDOWS else odds
+        low = float(np.quantile(own, false_rejects))
+        out.append(1 / (1 + float(np.exp(-min(MOST_ODDS, low, low / 2)))))
+    return tuple(out)
+
+
 def _descend(x: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, classes: int, dims: int, epochs: int, rate: float, rng) -> tuple:
     """SGD over the average embedding and the softmax; batches are dense, so every step is a few products."""
     embedding = rng.uniform(-1 / dims, 1 / dims, ((1 << BITS) + 1, dims)).astype(np.float32)
@@ -147,14 +185,14 @@ def fit_language_model(
     The bounds of the fit: ``per_label`` rows a label, ``most`` rows in all, and windows of
     ``window_chars`` characters of each (and a short one, as texts may be a few words long),
     whose hashed counts are all that reaches the driver. A fifth of the rows calibrates the
-    temperature, and the threshold that rejects at most ``false_rejects`` of them.
+    temperature and the thresholds, which reject at most ``false_rejects`` of them.
     Without labelled rows the model knows no language.
     """
     text, label = F.col(f"`{text_col}`").cast("string"), F.col(f"`{label_col}`").cast("string")
     key = F.concat_ws("|", F.col(f"`{id_col}`").cast("string"), F.md5(text))  # the draw's, never the model's
     labelled = docs.where(learn & label.isNotNull() & text.rlike(r"\p{L}")).select(label.alias("label"), text.alias("text"), key.alias("key"))
 
-    @F.pandas_udf("array<struct<bucket:array<int>,share:array<float>>>")
+    @F.pandas_udf("array<struct<bucket:array<int>,share:array<float>,subwords:int>>")
     def features(texts):
         return _features(texts, window_chars)
 
@@ -163,12 +201,13 @@ def fit_language_model(
     names, parts = rows.column("label").to_pylist(), rows.column("part").to_pylist()
     labels = tuple(sorted(set(names)))
     if not labels:
-        return LanguageModel((), np.zeros(((1 << BITS) + 1, 0), np.float32), np.zeros(0, np.float32), 1.0, 0.0)
-    x, y, held = [], [], []
-    for name, part, windows in zip(names, parts, bags(rows.column("x")), strict=True):
-        for window in windows:
+        return LanguageModel((), np.zeros(((1 << BITS) + 1, 0), np.float32), np.zeros(0, np.float32), 1.0, ())
+    x, y, held, subwords = [], [], [], []
+    for name, part, windows, counts in zip(names, parts, bags(rows.column("x")), _subword_counts(rows.column("x")), strict=True):
+        for window, count in zip(windows, counts, strict=True):
             if len(window[0]):
                 x.append(window)
+                subwords.append(count)
                 y.append(labels.index(name))
                 held.append(part == 0)
     y, held = np.array(y), np.array(held)
@@ -182,8 +221,7 @@ def fit_language_model(
     temperature = min((0.25 * 1.15**k for k in range(30)), key=lambda t: _log_loss(z / t, y[calibrate]))
     p = np.exp(z / temperature - (z / temperature).max(axis=1, keepdims=True))
     confidence = p.max(axis=1) / p.sum(axis=1)
-    threshold = min(0.5, float(np.quantile(confidence, false_rejects)))
-    return LanguageModel(labels, logits, bias, temperature, threshold)
+    return LanguageModel(labels, logits, bias, temperature, _thresholds(confidence, np.array(subwords)[calibrate], false_rejects))
 
 
 def _log_loss(z: np.ndarray, y: np.ndarray) -> float:
@@ -195,8 +233,7 @@ def language_column(model: LanguageModel, text: Column) -> Column:
     """``struct<lang_pred, score, rejected>`` of each whole text."""
 
     def run(texts: list[str | None]) -> pa.Array:
-        labels, scores = score_texts(model, texts)
-        rejected = [k == UNKNOWN or s < model.threshold for k, s in zip(labels, scores, strict=True)]
+        labels, scores, rejected = rejections(model, texts)
         columns = [pa.array(labels, pa.string()), pa.array(scores, pa.float64()), pa.array(rejected, pa.bool_())]
         return pa.StructArray.from_arrays(columns, names=["lang_pred", "score", "rejected"])
 

@@ -42,6 +42,40 @@ def test_language_ignores_labels_sources_and_ids_of_what_it_scores(spark, docume
     assert np.array_equal(model.logits, again.logits) and model.threshold == again.threshold
 
 
+OTHER_LANGUAGES = [
+    "Dzisiaj jest piękny dzień i jedziemy pociągiem nad morze aby pływać i jeść razem z przyjaciółmi",
+    "Bugün hava çok güzel ve denize gitmek için hep birlikte trene biniyoruz sonra akşam eve döneceğiz",
+    "Сегодня прекрасный день и мы едем на поезде к морю чтобы купаться и обедать с друзьями",
+    "今天天气很好我们一起坐火车去海边游泳然后和朋友们一起吃晚饭再慢慢走回家里休息睡觉",
+    "Tänään on kaunis päivä ja matkustamme junalla meren rannalle uimaan ja syömään ystävien kanssa",
+    "Het is een mooie dag en wij gaan met de trein naar de zee om te zwemmen en daarna te eten",
+]
+
+
+def test_language_rejects_gibberish_and_languages_it_never_saw(documents):
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2
+    model = L.fit_language_model(documents, ~held_out)
+    rng = random.Random(6)
+    for words, least in ((12, 0.9), (60, 0.99), (400, 1.0)):
+        texts = [" ".join("".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=rng.randint(2, 9))) for _ in range(words)) for _ in range(200)]
+        assert L.rejections(model, texts)[2].mean() >= least
+    assert L.rejections(model, OTHER_LANGUAGES)[2].sum() >= len(OTHER_LANGUAGES) - 1
+    assert L.rejections(model, [f"{t} " * 30 for t in OTHER_LANGUAGES])[2].sum() >= len(OTHER_LANGUAGES) - 1
+    kept = [r.text for r in documents.where(held_out & F.col("text").rlike(r"\p{L}")).collect()]
+    assert L.rejections(model, kept)[2].mean() <= 0.004
+    short = [" ".join(t.split()[:4]) for t in kept]  # a few words of clean documents
+    assert L.rejections(model, short)[2].mean() <= 0.02
+
+
+def test_thresholds_by_length():
+    rng = np.random.default_rng(2)
+    short, long = rng.uniform(0.4, 0.9, 500), rng.uniform(0.97, 1.0, 500)
+    got = L._thresholds(np.concatenate([short, long]), np.repeat([10, 1000], 500), 0.002)
+    assert got[0] <= np.quantile(short, 0.002) and 0.7 < got[-1] < 0.74
+    assert got[1] == got[2]  # classes without windows of their own
+    assert L._thresholds(np.ones(3), np.full(3, 10), 0.002) == (1 / (1 + np.exp(-L.MOST_ODDS)),) * 4  # one label
+
+
 def test_language_of_odd_rows(spark, documents):
     odd = [(1, None, "en", "s", "x", "y"), (2, "", "en", "s", "x", "y"), (3, "12 34 ...", None, "s", "x", "y"), (None, "the and of", None, None, None, None),
            (4, "é" * 300_000, None, "s", "x", "y"), (4, "é" * 300_000, None, "s", "x", "y"), (5, "x", "zz", "s", "x", "y")]
