@@ -81,14 +81,15 @@ def format_turns(
 
 
 def with_examples(turns: DataFrame) -> DataFrame:
-    """:func:`format_turns` with the ``example`` that each trainable turn is the target of (else null).
+    """:func:`format_turns` expanded: every turn's row (``example`` null) and a row of its own for each example.
 
-    ``target_seq, end`` (the example is the formatted text up to there) and ``loss_start, loss_end``
-    (the escaped reply, the only trainable characters). It stays on the row of its reply, so
-    expanding moves no text.
+    An example's row repeats its target turn and has ``example``: ``target_seq, end`` (the example is the
+    formatted text up to there: all before ``start`` is its context) and ``loss_start, loss_end`` (the escaped
+    reply, the only trainable characters). Rows are added where the target turn lies, so expanding shuffles no text.
     """
     example = F.struct(F.col("seq").alias("target_seq"), "end", F.col("text_start").alias("loss_start"), F.col("text_end").alias("loss_end"))
-    return turns.withColumn("example", F.when(F.col("trainable"), example))
+    own = F.lit(None).cast("struct<target_seq: int, end: bigint, loss_start: bigint, loss_end: bigint>")
+    return turns.withColumn("example", F.explode(F.when(F.col("trainable"), F.array(own, example)).otherwise(F.array(own))))
 
 
 def prefix_targets(turns: DataFrame) -> DataFrame:
@@ -123,15 +124,14 @@ def read_back(turns: DataFrame) -> DataFrame:
 
     ``turns``: :func:`with_examples`. Gives ``conv_id, n_turns, turns_sha256, n_examples, loss_chars,
     loss_sha256, formatted_chars, example_chars``. Turns are parsed and unescaped from the formatted
-    text; the loss text is cut from it by the examples' masks. A conversation streams through its task turn by
+    text of their own rows; the loss text is cut by the masks from the examples' rows. A conversation streams through its task turn by
     turn (the digests run along), so none is ever held whole. The window that marks a
     conversation's last turn brings its turns together; after :func:`format_turns` they are already.
     """
-    own_turns = Window.partitionBy("conv_id").orderBy("seq")
+    own_turns = Window.partitionBy("conv_id").orderBy("seq", "loss_start")
     rows = turns.select(
         "conv_id", "seq", "formatted", "start", F.col("example.end").alias("example_end"), "example.loss_start", "example.loss_end",
-        F.lead("seq").over(own_turns).isNull().alias("last"),
-    ).sortWithinPartitions("conv_id", "seq")
+    ).withColumn("last", F.lead("seq").over(own_turns).isNull()).sortWithinPartitions("conv_id", "seq", "loss_start")  # a turn, then its example
     kind = turns.schema["conv_id"].dataType.simpleString()
     names = ["conv_id", "n_turns", "turns_sha256", "n_examples", "loss_chars", "loss_sha256", "formatted_chars", "example_chars"]
 
@@ -146,11 +146,12 @@ def read_back(turns: DataFrame) -> DataFrame:
             for conv, _, formatted, start, example_end, loss_start, loss_end, last in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if state is None:
                     state = [hashlib.sha256(), hashlib.sha256(), 0, 0, 0, 0, 0]
-                role, text = _parse_turn(formatted)
-                state[0].update(f"{role}\n{text}\n".encode())
-                state[2] += 1
-                state[5] += len(formatted)
-                if loss_start is not None:
+                if loss_start is None:
+                    role, text = _parse_turn(formatted)
+                    state[0].update(f"{role}\n{text}\n".encode())
+                    state[2] += 1
+                    state[5] += len(formatted)
+                else:
                     reply = unescape(formatted[loss_start - start:loss_end - start])
                     state[1].update(reply.encode())
                     state[3] += 1

@@ -75,3 +75,15 @@ def test_texts_are_shuffled_once(spark):
     df = C.read_back(C.with_examples(C.format_turns(make(spark, sample()))))
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1 and "Exchange RoundRobin" not in plan
+
+
+def test_every_reply_is_expanded_into_an_example_of_its_own(spark):
+    rows = sample()
+    expanded = C.with_examples(C.format_turns(make(spark, rows))).collect()
+    examples = [r for r in expanded if r.example is not None]
+    assert len(expanded) - len(examples) == len(rows)
+    assert len(examples) == sum(r[2] == "assistant" for r in rows)
+    for r in examples:  # its context ends where its target begins, and its target is all that is trained on
+        assert r.example.end == r.start + len(r.formatted) and r.example.target_seq == r.seq
+        mask = r.formatted[r.example.loss_start - r.start:r.example.loss_end - r.start]
+        assert r.formatted == f"{C.START}assistant\n{mask}{C.END}\n"
