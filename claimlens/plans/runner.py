@@ -52,7 +52,7 @@ class BatchRun:
         path, observed = f"{self.folder}/{name}", Observation(name)
         t0 = time.time()
         counts = [F.count(F.lit(1)).alias("rows"), *[m.alias(k) for k, m in metrics.items()]]
-        df.observe(observed, *counts).write.mode("overwrite").parquet(path)
+        df.observe(observed, *counts).write.mode("overwrite").option("compression", "zstd").parquet(path)
         self.seconds[name] = round(time.time() - t0, 3)
         self.tables[name] = path
         got = observed.get

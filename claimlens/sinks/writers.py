@@ -31,6 +31,7 @@ def write_partitioned(df: DataFrame, base: str, dt: str, run_id: str = "full", *
     (
         out.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
+        .option("compression", "zstd")
         .partitionBy("dt", "run_id")
         .parquet(base)
     )
@@ -90,16 +91,16 @@ def write_training_csv(features: DataFrame, path: str) -> int:
 
 def write_fraud_results(results: DataFrame, path: str, serving_path: str | None = None,
                         serving_limit: int | None = None) -> int:
-    """K6: all results as JSON lines. Results are served from this full table; a top-n
+    """K6: all results as JSON lines, gzipped (as plain text they take some ten times the space). Results are served from this full table; a top-n
     report by score is written only where the caller names its path and its n."""
     if serving_path and serving_limit is None:
         raise ValueError("a serving extract is a top-n report: give serving_limit")
     out, obs = _observed(results, "fraud", flagged=F.count_if(F.col("is_suspected_fraud")))
-    out.write.mode("overwrite").option("ignoreNullFields", False).json(path)
+    out.write.mode("overwrite").option("ignoreNullFields", False).option("compression", "gzip").json(path)
     if serving_path:
         serving_extract(results, serving_limit).write.mode("overwrite").option(
             "ignoreNullFields", False
-        ).json(serving_path)
+        ).option("compression", "gzip").json(serving_path)
     return obs.get["rows"]
 
 

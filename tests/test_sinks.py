@@ -185,3 +185,16 @@ def test_audit_append_compares_null_versions_and_ids(spark):
     assert append_audit(spark, spark.createDataFrame(rows, AUDIT_ENTRY), path) == 0
     assert append_audit(spark, spark.createDataFrame([*rows, entry("B", None)], AUDIT_ENTRY), path) == 1
     assert spark.read.parquet(path).count() == 5
+
+
+def test_result_files_are_gzipped_and_read_back(spark):
+    from claimlens.schemas import FRAUD_RESULT
+    from claimlens.sources.files import read_json_records
+
+    folder = _tmp()
+    df = spark.range(2000).selectExpr("concat('C', id) AS claim_id", "'K1' AS contract_id", "id / 2000 AS fraud_score", "id > 1990 AS is_suspected_fraud", "array('a', 'b') AS contributing_factors")
+    assert K.write_fraud_results(df, os.path.join(folder, "lines"), os.path.join(folder, "top"), 10) == 2000
+    for name, n in (("lines", 2000), ("top", 10)):
+        parts = [f for f in os.listdir(os.path.join(folder, name)) if f.startswith("part-")]
+        assert parts and all(f.endswith(".json.gz") for f in parts)
+        assert read_json_records(spark, os.path.join(folder, name), FRAUD_RESULT).select("claim_id").distinct().count() == n
