@@ -95,3 +95,11 @@ def test_retry_replay_latest_wins(spark):
                                   "claim_id string, sku string, updated_at timestamp")
     out = {r.claim_id: r.sku for r in E.replay_retry(ingested, retry).collect()}
     assert out == {"1": "b", "2": "c"}
+
+
+def test_latest_version_sorts_rows_only_once(spark):
+    """No sort in the scan tasks, which hold a whole file split: one after the exchange."""
+    df = spark.createDataFrame([("A", 1), ("A", 2), ("B", 1), (None, 1)], "k string, v int")
+    plan = latest_version(df, "k", ["v"])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Sort [") == 1 and plan.index("Sort [") < plan.index("Exchange hashpartitioning")
+    assert sorted((r.k or "", r.v) for r in latest_version(df, "k", ["v"]).collect()) == [("", 1), ("A", 2), ("B", 1)]
