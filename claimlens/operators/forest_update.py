@@ -23,6 +23,7 @@ from .forest import NODE_SCHEMA
 # as in forest.py: Python workers need no install of the package
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
+DIGITS = 4  # of the hash, for bottom_k: 65,536 counts a tree
 RESERVOIR = "tree_id int, claim_id string, h string, x array<double>"
 
 
@@ -39,9 +40,19 @@ def candidates(features: DataFrame, cols: Sequence[str], trees: int) -> DataFram
 
 
 def bottom_k(rows: DataFrame, samples: int) -> DataFrame:
-    """The ``samples`` smallest hashes of each tree (cut in every task before the shuffle)."""
+    """The ``samples`` smallest hashes of each tree.
+
+    Counts by the first digits of the hash say up to which digits a tree's smallest lie; only rows
+    up to there (some few over ``samples``) are ranked, so no task sorts or ships the others.
+    """
+    digits = F.coalesce(F.substring("h", 1, DIGITS), F.lit(""))
+    before = Window.partitionBy("tree").orderBy("digits").rowsBetween(Window.unboundedPreceding, -1)
+    counts = rows.groupBy(F.col("tree_id").alias("tree"), digits.alias("digits")).agg(F.count(F.lit(1)).alias("rows"))
+    needed = counts.withColumn("before", F.coalesce(F.sum("rows").over(before), F.lit(0))).filter(F.col("before") < samples)
+    upto = needed.groupBy("tree").agg(F.max("digits").alias("upto"))  # one row per tree
+    near = rows.join(F.broadcast(upto), F.col("tree_id").eqNullSafe(F.col("tree")) & (digits <= F.col("upto"))).select(*rows.columns)
     order = Window.partitionBy("tree_id").orderBy("h", "claim_id")
-    return rows.withColumn("n", F.row_number().over(order)).filter(F.col("n") <= samples).drop("n")
+    return near.withColumn("n", F.row_number().over(order)).filter(F.col("n") <= samples).drop("n")
 
 
 def updated_reservoir(reservoir: DataFrame, delta: DataFrame, samples: int, gone: DataFrame | None = None) -> DataFrame:
@@ -50,9 +61,10 @@ def updated_reservoir(reservoir: DataFrame, delta: DataFrame, samples: int, gone
     Equal to the bottom-k of all claims while claims only come or change; where claims go, keep a reservoir
     with spare points (a greater ``samples`` here than the trees take), as what was cut off earlier is not known.
     """
-    kept = reservoir.join(delta.select("claim_id"), "claim_id", "left_anti")
-    if gone is not None:
-        kept = kept.join(gone.select("claim_id"), "claim_id", "left_anti")
+    kept = reservoir
+    for other in [delta] if gone is None else [delta, gone]:  # the reservoir's few ids go to the other's rows
+        met = other.select("claim_id").join(F.broadcast(reservoir.select("claim_id")), "claim_id", "left_semi").distinct()
+        kept = kept.join(met, "claim_id", "left_anti")
     return bottom_k(kept.select("tree_id", "claim_id", "h", "x").unionByName(delta), samples)
 
 

@@ -88,3 +88,17 @@ def test_deleting_what_is_not_there_is_an_error(spark):
     rows = train_forest(start(spark, features(spark, range(20), 1), 1, 8)[0].select("tree_id", "claim_id", "x")).toPandas()
     with pytest.raises(ValueError, match="does not hold"):
         FU.Tree(rows).delete(np.array([99.0, 99.0]))
+
+
+def test_bottom_k_ranks_only_rows_near_the_smallest(spark):
+    """The window's input is cut to the counted digits first: far rows are neither sorted nor shipped."""
+    rows = FU.candidates(spark.range(30_000).selectExpr("concat('C', id) AS claim_id", "double(id) AS a"), ["a"], 3)
+    got = {(r.tree_id, r.claim_id) for r in FU.bottom_k(rows, 5).collect()}
+    by_tree = {}
+    for r in rows.collect():
+        by_tree.setdefault(r.tree_id, []).append((r.h, r.claim_id))
+    assert got == {(t, c) for t, own in by_tree.items() for _, c in sorted(own)[:5]}
+    plan = FU.bottom_k(rows, 5)._jdf.queryExecution().optimizedPlan().toString()
+    ranked = plan[plan.index("WindowGroupLimit"):]
+    assert "Join Inner" in ranked and "upto" in ranked
+    assert FU.bottom_k(rows, 50_000).count() == 30_000
