@@ -57,8 +57,10 @@ def align_by_line(features: DataFrame, lines: DataFrame) -> tuple[DataFrame, Dat
     A file whose counts differ may have lost any of its lines, so all its matched rows are
     withheld as ``count_mismatch`` errors: no score goes to the wrong claim.
     """
-    f = features.select("file", "line", "claim_id", F.lit(True).alias("has_row"))
-    s = lines.select("file", "line", "value", F.lit(True).alias("has_line"))
+    # an even deal over all partitions: rows without their texts pack so small that AQE would join millions in one task
+    dealt = int(features.sparkSession.conf.get("spark.sql.shuffle.partitions")), "file", "line"
+    f = features.select("file", "line", "claim_id", F.lit(True).alias("has_row")).repartition(*dealt)
+    s = lines.select("file", "line", "value", F.lit(True).alias("has_line")).repartition(*dealt)
     both = f.join(s, ["file", "line"], "full_outer")
     odd = both.filter(F.col("has_row").isNull() | F.col("has_line").isNull())
     known = features.select("file").distinct().withColumn("known", F.lit(True))

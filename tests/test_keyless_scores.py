@@ -60,3 +60,12 @@ def test_empty_inputs(spark):
     none = features(spark, {}).select("file", "line", F.lit("1").alias("value"))
     matched, errors = KS.align_by_line(features(spark, {"a": ["A0"]}), none)
     assert matched.count() == 0 and [tuple(r) for r in errors.collect()] == [("a", 0, "missing_score")]
+
+
+def test_rows_are_joined_in_every_partition(spark):
+    """Narrow rows are not packed into one task, however small their bytes."""
+    features = spark.range(4000).selectExpr("'a' AS file", "id AS line", "concat('C', id) AS claim_id")
+    lines = spark.range(4000).selectExpr("'a' AS file", "id AS line", "'1.5' AS value")
+    matched, _ = KS.align_by_line(features, lines)
+    plan = matched._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("REPARTITION_BY_NUM") >= 2
