@@ -84,3 +84,28 @@ def test_random_deliveries_equal_the_latest_versions(spark):
     assert spark.read.schema(schema).parquet(f"{root}/t/history").count() == kinds["late"]
     feed = spark.read.schema(change_schema(schema)).parquet(f"{root}/t/changes")
     assert feed.filter(F.col("change") == "update").count() == kinds["update"]
+
+
+def test_state_is_per_cell_and_the_feed_per_row(spark):
+    """Python is called once per cell, not per key; whole numbers beside nulls stay exact."""
+    rng, root = random.Random(5), tempfile.mkdtemp(prefix="follow-")
+    schema = spark.createDataFrame([], "claim_id string, big bigint, updated_at timestamp, status string").schema
+    order = lambda r: tuple((v is not None, v if v is not None else 0) for v in (r[2], r[1], r[3]))
+    held, want = {}, []
+    for _ in range(3):
+        rows = [
+            (f"C{rng.randrange(90)}", rng.choice([None, 2**62 + 1, 2**62 + 3]), rng.choice([None, dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 2)]), rng.choice(["a", None]))
+            for _ in range(150)
+        ]
+        for r in sorted(rows, key=order):
+            old = held.get(r[0])
+            kind = "insert" if old is None else "update" if order(r) > order(old) else "late" if order(r) < order(old) else "repeat"
+            want.append((kind, *r, *(old or (None,) * 4)))
+            if kind in ("insert", "update"):
+                held[r[0]] = r
+        spark.createDataFrame(rows, schema).write.mode("append").parquet(f"{root}/src")
+        follow_claims(spark, f"{root}/src", f"{root}/t", f"{root}/c", schema, "parquet", buckets=4, cells=3)
+    feed = spark.read.schema(change_schema(schema)).parquet(f"{root}/t/feed").drop("batch")
+    assert sorted(map(tuple, feed.collect()), key=str) == sorted(want, key=str)
+    assert sorted(map(tuple, current_claims(spark, f"{root}/t", schema, buckets=4).collect()), key=str) == sorted(held.values(), key=str)
+    assert spark.read.format("statestore").load(f"{root}/c/feed").count() == 3
