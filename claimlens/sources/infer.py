@@ -22,27 +22,38 @@ def read_texts(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("header", True).option("inferSchema", False).option("escape", '"').csv(path)
 
 
+def _shapes(v: Column) -> dict[str, Column]:
+    """Whether a value looks like a moment or a number. A pattern is only tried on values of its first byte."""
+    number = (v >= "+") & (v < ":")  # begins with + , - . / or a digit
+    moment = number & (F.substring(v, 5, 1) == "-") & v.rlike(r"^\d{4}-\d{2}-\d{2}([T ].+)?$")
+    return {"moment": moment, "decimal": number & v.rlike(r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$")}
+
+
 def _holds(v: Column) -> dict[str, Column]:
-    """Whether each type can hold a value."""
-    whole, decimal = v.rlike(r"^[+-]?\d+$"), v.rlike(r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$")
-    day, moment = v.rlike(r"^\d{4}-\d{2}-\d{2}$"), v.rlike(r"^\d{4}-\d{2}-\d{2}([T ].+)?$")
+    """Whether each type can hold a value, by its shapes."""
+    moment, decimal = F.col("moment"), F.col("decimal")
+    whole = decimal & v.rlike(r"^[+-]?\d+$")
     return {
-        "boolean": F.lower(v).isin("true", "false"),
+        "boolean": F.length(v).between(4, 5) & F.lower(v).isin("true", "false"),
         "int": whole & v.try_cast("int").isNotNull(), "bigint": whole & v.try_cast("bigint").isNotNull(),
         "double": decimal & v.try_cast("double").isNotNull(),
-        "date": day & v.try_cast("date").isNotNull(), "timestamp": moment & v.try_cast("timestamp").isNotNull(),
+        "date": moment & (F.length(v) == 10) & v.try_cast("date").isNotNull(), "timestamp": moment & v.try_cast("timestamp").isNotNull(),
     }
 
 
 def type_counts(texts: DataFrame) -> DataFrame:
-    """``column, rows, nulls`` and a count per type: a partial aggregate, one row per column."""
-    aggregates = []
-    for c in texts.columns:
-        v = F.trim(F.col(f"`{c}`"))
-        v = F.when(v != "", v)
-        counts = [F.count_if(F.coalesce(ok, F.lit(False))).alias(t) for t, ok in _holds(v).items()]
-        aggregates.append(F.struct(F.lit(c).alias("column"), F.count(F.lit(1)).alias("rows"), F.count_if(v.isNull()).alias("nulls"), *counts))
-    return texts.agg(F.array(*aggregates).alias("columns")).select(F.inline("columns"))
+    """``column, rows, nulls`` and a count per type: a partial aggregate, one row per column.
+
+    Values are laid out as rows, so that one small compiled expression serves all columns, however many.
+    """
+    none = texts.sparkSession.range(1).select(F.inline(F.array(*[F.struct(F.lit(c).alias("column"), *[F.lit(0).cast("long").alias(n) for n in ("rows", "nulls", *LATTICE)]) for c in texts.columns])))
+    value = lambda c: F.trim(F.col(f"`{c}`"))
+    laid = texts.select(F.inline(F.array(*[F.struct(F.lit(i).alias("i"), value(c).alias("v")) for i, c in enumerate(texts.columns)])))
+    counts = [F.count_if(F.coalesce(ok, F.lit(False))).alias(t) for t, ok in _holds(F.col("v")).items()]
+    values = laid.select("i", F.when(F.col("v") != "", F.col("v")).alias("v"))
+    counted = values.withColumns(_shapes(F.col("v"))).groupBy("i").agg(F.count(F.lit(1)).alias("rows"), F.count_if(F.col("v").isNull()).alias("nulls"), *counts)
+    named = counted.select(F.array(*map(F.lit, texts.columns))[F.col("i")].alias("column"), "rows", "nulls", *LATTICE)
+    return merge_counts(named, none)  # also a column of a file without rows
 
 
 def merge_counts(*parts: DataFrame) -> DataFrame:

@@ -48,3 +48,22 @@ def test_drift_lists_every_difference(spark):
 
 def test_header_only(spark):
     assert types(counts(spark, "a,b")) == {"a": "void", "b": "void"}
+
+
+def test_patterns_do_not_grow_with_the_columns(spark):
+    """One compiled expression serves all columns; a plan with all patterns per column ran uncompiled."""
+    tried = []
+    for n in (2, 30):
+        texts = spark.createDataFrame([tuple("1" for _ in range(n))], ", ".join(f"c{i} string" for i in range(n)))
+        tried.append(I.type_counts(texts)._jdf.queryExecution().optimizedPlan().toString().count("RLIKE"))
+        assert {(r.rows, r.nulls, r.int, r.double, r.date) for r in I.type_counts(texts).collect()} == {(1, 0, 1, 1, 0)}
+    assert tried[0] == tried[1]
+
+
+def test_first_bytes_and_lengths_do_not_hide_a_value(spark):
+    values = ["+1", "-2.5e-5", ".5", "1e-5", "TRUE", "False", "0001-01-01", "2024-02-30", "2024-01-01 01:02:03", "2024-01-01Tx", "/1", "trues", "\u017ftrue", "\u0661"]
+    got = {r.v: [t for t in I.LATTICE if r[t]] for v in values for r in I.type_counts(spark.createDataFrame([(v,)], "c string")).selectExpr(f"'{v}' AS v", *I.LATTICE).collect()}
+    assert got == {
+        "+1": ["int", "bigint", "double"], "-2.5e-5": ["double"], ".5": ["double"], "1e-5": ["double"], "TRUE": ["boolean"], "False": ["boolean"],
+        "0001-01-01": ["date", "timestamp"], "2024-02-30": [], "2024-01-01 01:02:03": ["timestamp"], "2024-01-01Tx": [], "/1": [], "trues": [], "\u017ftrue": [], "\u0661": [],
+    }
