@@ -69,7 +69,7 @@ def top_k_names(scores: Sequence[tuple[str, Column]], k: int) -> Column:
         F.struct((-score).alias("neg"), F.lit(i).alias("pos"), F.lit(name).alias("name"))
         for i, (name, score) in enumerate(scores)
     ]
-    ranked = F.slice(F.array_sort(F.array(*entries)), 1, k)
+    ranked = F.slice(F.sort_array(F.array(*entries)), 1, k)  # compiled; array_sort calls a comparator expression per pair
     return F.transform(ranked, lambda e: e["name"])
 
 

@@ -55,10 +55,10 @@ def _inputs(spark: SparkSession, sf: str) -> W.Inputs:
 
 
 def _features(spark: SparkSession, sf: str) -> FE.FeatureSet:
-    """Scaled features; the unscaled base and the scaled frame are stage tables."""
+    """Scaled features. The unscaled base and its statistics are stage tables; a reader imputes and
+    scales the columns that it takes, which costs less than to write and read all of them again."""
     imputed, params = _imputed(spark, sf)
-    frame = stage(spark, sf, "features", lambda: FE.standard_scale(imputed, list(CONTINUOUS_FEATURES), params).frame)
-    return FE.FeatureSet(frame, params)
+    return FE.FeatureSet(FE.standard_scale(imputed, list(CONTINUOUS_FEATURES), params).frame, params)
 
 
 def _results(spark: SparkSession, sf: str) -> DataFrame:

@@ -39,11 +39,19 @@ def _category(p_type: Column) -> Column:
     return expr
 
 
+def _numbered(prefix: str, n: Column, digits: int) -> Column:
+    """``prefix`` and the number, with zeros before it up to ``digits``: the text of ``format_string``, which is
+    left only those that it writes otherwise (null, negative), as it parses its format for every row."""
+    text = n.cast("string")
+    padded = F.when(F.length(text) < digits, F.lpad(text, digits, "0")).otherwise(text)
+    return F.when(n >= 0, F.concat(F.lit(prefix), padded)).otherwise(F.format_string(f"{prefix}%0{digits}d", n))
+
+
 def sku_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = read_table(spark, sf_dir, "part")
     brand_no = F.substr(F.col("p_brand"), F.lit(7))
     return part.filter(F.col("p_size") != _MISSING_PART_SIZE).select(
-        F.format_string("SKU-%05d", F.col("p_partkey")).alias("sku"),
+        _numbered("SKU-", F.col("p_partkey"), 5).alias("sku"),
         F.concat(F.lit("MFR-"), F.lpad(brand_no, 5, "0")).alias("manufacturer_id"),
         F.concat(F.lit("Manufacturer_"), brand_no).alias("manufacturer_name"),
         _category(F.col("p_type")).alias("product_category"),
@@ -58,8 +66,8 @@ def contracts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return orders.filter(
         ~((F.col("o_orderstatus") == "P") & (F.col("o_orderpriority") == "5-LOW"))
     ).select(
-        F.format_string("CONTRACT-%09d", F.col("o_orderkey")).alias("contract_id"),
-        F.format_string("CUST-%09d", F.col("o_custkey")).alias("customer_id"),
+        _numbered("CONTRACT-", F.col("o_orderkey"), 9).alias("contract_id"),
+        _numbered("CUST-", F.col("o_custkey"), 9).alias("customer_id"),
         F.lit(None).cast("string").alias("sku"),
         start.alias("start_date"),
         F.date_add(start, 730).alias("end_date"),
@@ -88,8 +96,8 @@ def claims(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.col("l_suppkey").cast("string"),
             F.date_format(F.col("l_shipdate"), "yyyyMMdd"),
         ).alias("claim_id"),
-        F.format_string("CONTRACT-%09d", F.col("l_orderkey")).alias("contract_id"),
-        F.format_string("SKU-%05d", F.col("l_partkey")).alias("sku"),
+        _numbered("CONTRACT-", F.col("l_orderkey"), 9).alias("contract_id"),
+        _numbered("SKU-", F.col("l_partkey"), 5).alias("sku"),
         F.to_date(F.col("l_shipdate")).alias("claim_date"),
         F.when(F.col("l_quantity") == 49, F.lit(None).cast("string"))
         .when(rflag == "R", "repair")

@@ -65,3 +65,17 @@ def test_compat_double_scale_reproduces_reference(spark):
     compat = S.contributing_factors(df, params, cols=["a", "b"], k=2).collect()[0].contributing_factors
     assert pure == ["b", "a"]      # |0.5| < |2.0|
     assert compat == ["a", "b"]    # |0.5 - 100| / 10 = 9.95 > |2 - 0| / 1
+
+
+def test_ranked_names_are_sorted_without_a_comparator_per_pair(spark):
+    from pyspark.sql import functions as F
+
+    from claimlens.functions.scalar import top_k_names
+
+    rows = spark.createDataFrame([(1.0, 3.0, 3.0, 0.0), (None, 2.0, float("nan"), 5.0), (0.0, -0.0, 0.0, 0.0)], "a double, b double, c double, d double")
+    out = rows.select(top_k_names([(c, F.col(c)) for c in "abcd"], 3).alias("n"))
+    assert "lambdafunction(CASE" not in out._jdf.queryExecution().optimizedPlan().toString() and "array_sort" not in out._jdf.queryExecution().optimizedPlan().toString().lower()
+    assert [r.n for r in out.collect()] == [["b", "c", "a"], ["a", "d", "b"], ["a", "b", "c"]]
+    entries = F.array(*[F.struct((-F.col(c)).alias("neg"), F.lit(i).alias("pos"), F.lit(c).alias("name")) for i, c in enumerate("abcd")])
+    plain = rows.select(F.slice(F.transform(F.array_sort(entries), lambda e: e["name"]), 1, 3).alias("n"))
+    assert [r.n for r in plain.collect()] == [r.n for r in out.collect()]

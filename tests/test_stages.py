@@ -120,3 +120,20 @@ def test_batch_run_with_forest(spark, sf_small):
                        folder=os.path.join(folder, "run2"), scorer="forest", models_dir=run.folder, reuse_model=True)
     same = spark.read.parquet(reused.tables["fraud_results"]).select("claim_id", "fraud_score")
     assert same.exceptAll(results.select("claim_id", "fraud_score")).count() == 0 and reused.model_version == run.model_version
+
+
+def test_view_numbers_equal_the_formatter(spark):
+    from pyspark.sql import functions as F
+
+    from claimlens.sources.warranty_views import _numbered
+
+    rows = spark.createDataFrame([(n,) for n in (None, 0, 7, 99999, 100000, -3, 2**40)], "n bigint")
+    got = rows.select(_numbered("SKU-", F.col("n"), 5).alias("a"), F.format_string("SKU-%05d", F.col("n")).alias("b")).collect()
+    assert [r.a for r in got] == [r.b for r in got]
+
+
+def test_scaled_features_are_not_stored(spark, sf_small):
+    from claimlens.plans import catalogue as C
+
+    frame = C._features(spark, sf_small).frame
+    assert any("feature_base-" in f for f in frame.inputFiles()) and not any("/features-" in f for f in frame.inputFiles())
