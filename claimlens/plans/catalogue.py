@@ -545,7 +545,7 @@ def _file_results(spark, sf):
     def build():
         lines = score_lines(spark, sf).select(F.concat_ws(",", "claim_id", F.trim("value")).alias("value"))
         folder = f"{stage_root(spark)}/score-files-{uuid.uuid4().hex[:12]}"
-        lines.write.text(folder)
+        lines.write.option("compression", "gzip").text(folder)
         return parse_score_lines(key_score_lines(read_score_lines(spark, folder))).select("claim_id", "raw_score", "parse_error")
 
     parsed = stage(spark, sf, "score_file_lines", build)

@@ -137,3 +137,15 @@ def test_scaled_features_are_not_stored(spark, sf_small):
 
     frame = C._features(spark, sf_small).frame
     assert any("feature_base-" in f for f in frame.inputFiles()) and not any("/features-" in f for f in frame.inputFiles())
+
+
+def test_score_files_are_compressed(spark, sf_small):
+    from claimlens.plans import catalogue as C
+    from claimlens.plans.stages import forget, stage_root
+    from claimlens.sources.storage import file_names
+
+    forget(spark)
+    C._file_results(spark, sf_small)
+    folders = [n for n in file_names(spark, stage_root(spark)) if n.startswith("score-files-")]
+    newest = [n for f in folders for n in file_names(spark, f"{stage_root(spark)}/{f}") if n.startswith("part-")]
+    assert newest and all(n.endswith(".txt.gz") for n in newest)
