@@ -67,3 +67,15 @@ def test_first_bytes_and_lengths_do_not_hide_a_value(spark):
         "+1": ["int", "bigint", "double"], "-2.5e-5": ["double"], ".5": ["double"], "1e-5": ["double"], "TRUE": ["boolean"], "False": ["boolean"],
         "0001-01-01": ["date", "timestamp"], "2024-02-30": [], "2024-01-01 01:02:03": ["timestamp"], "2024-01-01Tx": [], "/1": [], "trues": [], "\u017ftrue": [], "\u0661": [],
     }
+
+
+def test_texts_of_the_drift_query_are_compressed(spark, sf_small):
+    from claimlens.plans.incremental import q_schema_drift
+    from claimlens.plans.stages import stage_root
+    from claimlens.sources.storage import file_names
+
+    before = set(file_names(spark, stage_root(spark)))
+    assert q_schema_drift(spark, sf_small).count() == 11
+    folder = next(n for n in file_names(spark, stage_root(spark)) if n.startswith("texts-") and n not in before)
+    files = [n for name in ("whole", "damaged") for n in file_names(spark, f"{stage_root(spark)}/{folder}/{name}") if n.startswith("part-")]
+    assert files and all(n.endswith(".csv.gz") for n in files)
