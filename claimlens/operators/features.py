@@ -27,8 +27,13 @@ def manufacturer_frequency(claims: DataFrame) -> DataFrame:
     return claims.groupBy("manufacturer_id").agg(F.count(F.lit(1)).alias(FREQUENCY))
 
 
-def with_manufacturer_frequency(claims: DataFrame) -> DataFrame:
-    """Attach each claim's manufacturer frequency.
+def stored_frequency(claims: DataFrame) -> DataFrame:
+    """The claim counts of known manufacturers as a stored lookup table."""
+    return stored_lookup(manufacturer_frequency(claims).filter(F.col("manufacturer_id").isNotNull()))
+
+
+def with_manufacturer_frequency(claims: DataFrame, frequency: DataFrame | None = None) -> DataFrame:
+    """Attach each claim's manufacturer frequency (of ``claims``, if no ``frequency`` is given).
 
     The count table has one row per manufacturer (map-side combined, so a
     manufacturer with a third of all claims is one row per task). It is stored,
@@ -36,7 +41,7 @@ def with_manufacturer_frequency(claims: DataFrame) -> DataFrame:
     the claims are then not shuffled by a skewed key. A null manufacturer never
     matches, so its claims get null (then imputed).
     """
-    freq = stored_lookup(manufacturer_frequency(claims).filter(F.col("manufacturer_id").isNotNull()))
+    freq = stored_frequency(claims) if frequency is None else frequency
     return claims.join(freq, "manufacturer_id", "left").select(
         *claims.columns, F.col(FREQUENCY).cast("double").alias(FREQUENCY)
     )
@@ -166,12 +171,12 @@ class FeatureSet:
 def feature_base(enriched: DataFrame, contracts: DataFrame) -> DataFrame:
     """Unscaled features: frequency, start date, days, one-hot.
 
-    Frequency is computed before the contract join so the count table reads only
-    the enriched claims.
+    The count table reads only the enriched claims. Columns are added after the contract join, which
+    exchanges whole rows.
     """
-    base = with_manufacturer_frequency(enriched.withColumn(RAW_AMOUNT, F.col("claim_amount")))
-    base = with_days_feature(with_contract_start(base, contracts))
-    return one_hot_encode(base)
+    frequency = stored_frequency(enriched)
+    base = with_contract_start(enriched, contracts).withColumn(RAW_AMOUNT, F.col("claim_amount"))
+    return one_hot_encode(with_days_feature(with_manufacturer_frequency(base, frequency)))
 
 
 def engineer_features(

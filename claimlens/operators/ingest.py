@@ -28,6 +28,34 @@ def apply_watermark(df: DataFrame, since: str | _dt.datetime | None, column: str
     return df.filter(F.col(column) >= F.lit(bound).cast("timestamp"))
 
 
+#: Repeated keys up to which rows are split by them: hashes of 8 bytes, 8 MB that Spark sends to the tasks.
+FEW_REPEATED = 1_000_000
+
+
+def repeated_keys(df: DataFrame, key: str | Sequence[str]) -> DataFrame:
+    """``key_hash`` of the keys that several rows have (and of any that share their hash). Only hashes are exchanged."""
+    keys = [key] if isinstance(key, str) else list(key)
+    has_key = reduce(operator.and_, [F.col(c).isNotNull() for c in keys])
+    hashes = df.filter(has_key).select(F.xxhash64(*keys).alias("key_hash")).repartition("key_hash")
+    return hashes.groupBy("key_hash").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("key_hash")
+
+
+def latest_of_repeated(df: DataFrame, key: str | Sequence[str], order_by: Sequence[str], repeated: DataFrame) -> DataFrame:
+    """:func:`latest_version`, by a stored table of :func:`repeated_keys`: a row whose key comes once is the
+    latest as it is, so only rows of repeated keys are exchanged and ranked.
+
+    Where over ``FEW_REPEATED`` keys repeat, all rows are exchanged once, as splitting them would do it twice.
+    """
+    many = repeated.limit(FEW_REPEATED + 1).count()
+    if not many:
+        return df
+    if many > FEW_REPEATED:
+        return latest_version(df, key, order_by)
+    keys = [key] if isinstance(key, str) else list(key)
+    met = F.xxhash64(*[df[c] for c in keys]) == repeated["key_hash"]
+    return df.join(repeated, met, "left_anti").unionByName(latest_version(df.join(repeated, met, "left_semi"), key, order_by))
+
+
 def latest_version(df: DataFrame, key: str | Sequence[str], order_by: Sequence[str]) -> DataFrame:
     """One row per ``key``: the greatest by ``order_by``, then by the
     remaining columns (a total order, so the result is deterministic).

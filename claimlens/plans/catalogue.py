@@ -141,7 +141,9 @@ def q_retry_replay(spark, sf):
 # -- features -------------------------------------------------------------------
 
 def _feature_base(spark, sf):
-    return stage(spark, sf, "feature_base", lambda: FE.feature_base(_enriched(spark, sf), _inputs(spark, sf).contracts))
+    """Unscaled features, without the claim columns that no feature, score or result record has."""
+    enriched = lambda: _enriched(spark, sf).drop("created_at", "updated_at", "manufacturer_unknown")
+    return stage(spark, sf, "feature_base", lambda: FE.feature_base(enriched(), _inputs(spark, sf).contracts))
 
 
 def q_manufacturer_frequency(spark, sf):
@@ -291,8 +293,7 @@ def q_manufacturer_anomaly(spark, sf):
 def _enriched(spark, sf):
     """Enriched claims: the enrichment stage's output table (K1 in a run)."""
     def build():
-        inp = _inputs(spark, sf)
-        return E.enrich_claims(inp.claims, inp.catalog)
+        return W.enriched_table(_inputs(spark, sf))
 
     return stage(spark, sf, "enriched", build)
 

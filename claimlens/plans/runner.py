@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from ..config import RunSettings, feature_columns
 from ..operators.audit import audit_entries
-from ..operators.enrich import dedupe_catalog, enrich_claims, enrich_or_queue, replay_retry
+from ..operators.enrich import dedupe_catalog, enrich_or_queue, replay_retry
 from ..operators.features import engineer_features, feature_matrix, feature_metadata, scaler_params_map
 from ..operators.forest import sample_for_trees, score_forest, train_forest
 from ..operators.ingest import apply_watermark, latest_version, nan_to_null, split_corrupt, split_null_key, stage_status
@@ -101,7 +101,7 @@ def _run_batch(spark, inputs, settings, run_ts, folder, scorer, enriched, score_
     run = BatchRun(folder or run_folder(spark))
     if enriched is None:
         unknown = F.count_if(F.col("manufacturer_unknown"))
-        enriched = run.store(spark, enrich_claims(inputs.claims, inputs.catalog), "enriched", unknown_manufacturer=unknown)
+        enriched = run.store(spark, W.enriched_table(inputs), "enriched", unknown_manufacturer=unknown)
     t0 = time.time()
     fs = engineer_features(enriched, inputs.contracts, settings, lambda df, name: run.store(spark, df, name))
     run.seconds["features_chain"] = round(time.time() - t0, 3)

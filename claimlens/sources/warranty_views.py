@@ -80,10 +80,17 @@ def contracts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def claims(spark: SparkSession, sf_dir: str) -> DataFrame:
-    line = read_table(spark, sf_dir, "lineitem")
-    part = read_table(spark, sf_dir, "part").select("p_partkey", "p_brand")
-    joined = line.join(part, line["l_partkey"] == part["p_partkey"], "inner")
+def claims(spark: SparkSession, sf_dir: str, by_sku: bool = False) -> DataFrame:
+    """``by_sku`` joins parts by the text of their key, which stands for one key only: where that join exchanges
+    the line items, claims are dealt by sku, and a join by sku that follows needs no exchange of whole claims."""
+    line, part = read_table(spark, sf_dir, "lineitem"), read_table(spark, sf_dir, "part").select("p_partkey", "p_brand")
+    sku = _numbered("SKU-", F.col("l_partkey"), 5).alias("sku")
+    if by_sku:
+        line, sku = line.select("*", sku), F.col("sku")
+        part = part.filter(F.col("p_partkey").isNotNull()).select(_numbered("SKU-", F.col("p_partkey"), 5).alias("part_sku"), "p_brand")
+        joined = line.join(part, line["sku"] == part["part_sku"], "inner")
+    else:
+        joined = line.join(part, line["l_partkey"] == part["p_partkey"], "inner")
     rflag = F.col("l_returnflag")
     shipped = F.col("l_shipdate").cast("timestamp")
     return joined.select(
@@ -97,7 +104,7 @@ def claims(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.date_format(F.col("l_shipdate"), "yyyyMMdd"),
         ).alias("claim_id"),
         _numbered("CONTRACT-", F.col("l_orderkey"), 9).alias("contract_id"),
-        _numbered("SKU-", F.col("l_partkey"), 5).alias("sku"),
+        sku,
         F.to_date(F.col("l_shipdate")).alias("claim_date"),
         F.when(F.col("l_quantity") == 49, F.lit(None).cast("string"))
         .when(rflag == "R", "repair")

@@ -103,3 +103,19 @@ def test_latest_version_sorts_rows_only_once(spark):
     plan = latest_version(df, "k", ["v"])._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Sort [") == 1 and plan.index("Sort [") < plan.index("Exchange hashpartitioning")
     assert sorted((r.k or "", r.v) for r in latest_version(df, "k", ["v"]).collect()) == [("", 1), ("A", 2), ("B", 1)]
+
+
+def test_only_rows_of_repeated_keys_are_exchanged(spark, monkeypatch):
+    from claimlens.operators import ingest as G
+
+    rows = [(f"K{i % 40}" if i % 7 else None, i % 3, f"v{i % 11}") for i in range(90)]
+    df = spark.createDataFrame(rows + [("once", 1, "a"), ("twice", 1, "a"), ("twice", None, "b")], "k string, v int, w string")
+    key = lambda d: sorted(map(str, d.collect()))
+    repeated = lambda d: G.repeated_keys(d, "k").cache()
+    want = key(latest_version(df, "k", ["v"]))
+    assert key(G.latest_of_repeated(df, "k", ["v"], repeated(df))) == want
+    monkeypatch.setattr(G, "FEW_REPEATED", 1)  # many keys repeat: one exchange of all rows
+    assert key(G.latest_of_repeated(df, "k", ["v"], repeated(df))) == want
+    single = df.filter("k is null or k in ('once', 'K1')").dropDuplicates(["k", "v", "w"]).filter("k is null or k = 'once'").localCheckpoint()
+    plan = G.latest_of_repeated(single, "k", ["v"], repeated(single))
+    assert "Exchange" not in plan._jdf.queryExecution().executedPlan().toString() and key(plan) == key(latest_version(single, "k", ["v"]))

@@ -122,3 +122,22 @@ def test_no_machine_local_folder_on_a_cluster(spark, monkeypatch):
 
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         session.ensure_checkpoint_dir(Cluster())
+
+
+def test_claims_are_exchanged_once_up_to_enrichment(spark, sf_small):
+    """Where neither parts nor catalog can be broadcast, one exchange by sku serves both joins, and none ranks claims by id."""
+    from claimlens.operators.enrich import enrich_claims
+    from claimlens.plans import warranty as W
+    from claimlens.session import session_conf
+
+    with session_conf(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}):
+        inputs = W.view_inputs(spark, sf_small)
+        exchanges = [line for line in _plan(enrich_claims(inputs.claims, inputs.catalog)).splitlines() if "Exchange hashpartitioning" in line]
+    assert len([e for e in exchanges if "hashpartitioning(sku" in e or "hashpartitioning(part_sku" in e]) == len(exchanges)
+    assert not any("claim_id" in e for e in exchanges) and len(exchanges) <= 4  # claims, parts, catalog by sku (its rows without one apart)
+
+
+def test_features_carry_no_column_that_no_result_has(spark, sf_small):
+    base = C._feature_base(spark, sf_small)
+    assert not {"created_at", "updated_at", "manufacturer_unknown"} & set(base.columns)
+    assert {"claim_id", "contract_id", "status", "description", "manufacturer_id", "claim_amount_raw"} <= set(base.columns)
