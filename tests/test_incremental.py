@@ -139,3 +139,21 @@ def test_latest_version_takes_one_exchange_of_the_rows(spark):
     df = frame(spark, some_rows(random.Random(2), 50, 10))
     plan = latest_version(df, "claim_id", ["updated_at"])._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange") == 1 and "WindowGroupLimit" in plan and "Join" not in plan
+
+
+def test_a_first_load_is_staged_once_and_large_buckets_are_several_files(spark, monkeypatch):
+    from claimlens.sinks import buckets as B
+
+    t = table(spark)
+    rows = some_rows(random.Random(4), 300, 200)
+    commit = t.upsert(frame(spark, rows))
+    staged = [f for f in os.listdir(f"{t.path}/staged")]
+    assert len(staged) == 1 and os.listdir(f"{t.path}/staged/{staged[0]}") == ["newest"]  # no second copy beside it
+    assert commit.late.count() == 0 and commit.changes.filter("old is not null").count() == 0
+    assert rows_of(commit.changes.select("new.*")) == rows_of(t.current())
+    monkeypatch.setattr(B, "TASK_BYTES", 500)
+    t.upsert(frame(spark, some_rows(random.Random(5), 300, 200)).filter("updated_at is not null"))
+    files = [len([f for f in os.listdir(folder) if f.endswith(".parquet")]) for folder in t.folders()]
+    assert max(files) > 1
+    both = frame(spark, rows).unionByName(frame(spark, some_rows(random.Random(5), 300, 200)).filter("updated_at is not null"))
+    assert rows_of(t.current()) == rows_of(latest_version(both, "claim_id", ["updated_at"]))
