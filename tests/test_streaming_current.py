@@ -109,3 +109,14 @@ def test_state_is_per_cell_and_the_feed_per_row(spark):
     assert sorted(map(tuple, feed.collect()), key=str) == sorted(want, key=str)
     assert sorted(map(tuple, current_claims(spark, f"{root}/t", schema, buckets=4).collect()), key=str) == sorted(held.values(), key=str)
     assert spark.read.format("statestore").load(f"{root}/c/feed").count() == 3
+
+
+def test_tables_of_a_stream_are_zstd(spark):
+    import glob
+
+    root = tempfile.mkdtemp(prefix="follow-zstd-")
+    schema = spark.createDataFrame([], "claim_id string, status string, updated_at timestamp").schema
+    spark.createDataFrame([("A", "new", None), ("A", "old", None)], schema).write.parquet(f"{root}/src")
+    follow_claims(spark, f"{root}/src", f"{root}/t", f"{root}/ckpt", schema, "parquet", buckets=2, cells=2)
+    files = [f for kind in ("feed", "changes", "current/data") for f in glob.glob(f"{root}/t/{kind}/**/*.parquet", recursive=True)]
+    assert files and all(f.endswith(".zstd.parquet") for f in files)
